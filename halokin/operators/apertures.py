@@ -48,20 +48,19 @@ def species_mass(df: DataFrame, species: str, h: float = H_CATALOG) -> DataFrame
     return with_constant_mass(df, dm_particle_mass(h)) if species == "dm" else df
 
 
+def suffixed_name(name: str, suffix: str) -> str:
+    """Notebook naming: ``<measure>_<suffix>``, with an axis/variant tail of a
+    dispersion after the suffix (``..._dispersion_30_x``)."""
+    base, _, tail = name.partition("_dispersion_")
+    if name.startswith("mass_weighted_velocity_dispersion_") and tail:
+        return f"{base}_dispersion_{suffix}_{tail}"
+    return f"{name}_{suffix}"
+
+
 def _suffixed(df: DataFrame, suffix: Optional[str]) -> DataFrame:
-    """Notebook-style names: ``<measure>_<suffix>`` with axis letters after the suffix."""
     if suffix is None:
         return df
-    renames = {}
-    for name in (*MEASURES, *UNIT_J):
-        if name not in df.columns:
-            continue
-        base, _, tail = name.partition("_dispersion_")
-        if name.startswith("mass_weighted_velocity_dispersion_") and tail:
-            renames[name] = f"{base}_dispersion_{suffix}_{tail}"
-        else:
-            renames[name] = f"{name}_{suffix}"
-    return df.withColumnsRenamed(renames)
+    return df.withColumnsRenamed({n: suffixed_name(n, suffix) for n in (*MEASURES, *UNIT_J) if n in df.columns})
 
 
 def aperture_kinematics(pairs: DataFrame, aperture: Optional[float] = None, species: str = "star", *,

@@ -189,3 +189,27 @@ def kinematics(rows: DataFrame, keys: Sequence[str] = ("subhalo_id",), *,
         raise ValueError(f"unknown method {method!r}")
     rows2 = attach(base, stats, keys, **join_opts)
     return _measures(_final_sums(rows2, keys), keys, with_unit_j)
+
+
+def velocity_moments(rows: DataFrame, keys: Sequence[str] = ("subhalo_id",), *,
+                     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+                     salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+    """Per group, over all rows: total kinetic energy 1/2 sum m u.u and the
+    mass-weighted variances sum m u_k^2 / M (k = x, y, z) and their sum.
+
+    Unlike ``kinematics`` every group is returned, including groups whose
+    angular momentum is zero.
+    """
+    keys = list(keys)
+    base = kinematic_input(rows, keys)
+    s1 = materialize(_mean_velocity(base, keys, two_pass=False), "moments-vbar")
+    r = attach(base, s1, keys, salt_cols=_SALT_COLS, broadcast_max_rows=broadcast_max_rows,
+               salt_buckets=salt_buckets)
+    m = F.col("mass")
+    u = sub(_vec(V), _vec(["_vb0", "_vb1", "_vb2"]))
+    s = r.groupBy(*keys, "_M").agg(
+        (F.sum(m * dot(u, u)) * F.lit(0.5)).alias(MEASURES[0]),
+        *[F.sum(sq(c) * m).alias(f"_S{i}") for i, c in enumerate(u)])
+    sx, sy, sz = (safe_div(F.col(f"_S{i}"), F.col("_M")) for i in range(3))
+    return s.select(*keys, MEASURES[0], sx.alias(MEASURES[1]), sy.alias(MEASURES[2]),
+                    sz.alias(MEASURES[3]), (sx + sy + sz).alias(MEASURES[4]))

@@ -156,7 +156,7 @@ def _k(keys: Sequence[str], alias: str | None = None) -> str:
 
 
 def kinematics_sql(rows_sql: str, keys: Sequence[str], with_unit_j: bool = False,
-                   decimals: int = MEASURE_DECIMALS) -> str:
+                   decimals: int | None = MEASURE_DECIMALS) -> str:
     """Direct evaluation of the kinematics equations over ``rows_sql``.
 
     ``rows_sql`` yields the keys, rel_px..pz, sq_dist_subhalo2ptl, vx..vz, mass.
@@ -167,7 +167,10 @@ def kinematics_sql(rows_sql: str, keys: Sequence[str], with_unit_j: bool = False
     if with_unit_j:
         unit = ", " + ", ".join(
             f"{qround(f'J{ax} / NULLIF(Jn, 0)', UNIT_DECIMALS)} AS unitJ_{ax}" for ax in "xyz")
-    R = lambda e, name: f"{qround(e, decimals)} AS {name}"
+    if decimals is None:
+        R = lambda e, name: f"{e} AS {name}"
+    else:
+        R = lambda e, name: f"{qround(e, decimals)} AS {name}"
     m = MEASURES
     return f"""
 WITH f AS (

@@ -126,6 +126,9 @@ def q_catalog_2d(spark: SparkSession, d: str) -> DataFrame:
     return rounded(catalog_2d(jobs.full_sweep(jobs.pair_tables(spark, d))))
 
 
+from . import more_queries  # noqa: E402,F401  (registers the remaining queries)
+
+
 def queries() -> Dict[str, QueryFn]:
     return dict(_QUERIES)
 
