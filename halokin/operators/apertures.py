@@ -26,15 +26,22 @@ def fixed_aperture(pairs: DataFrame, aperture: Optional[float], h: float = H_CAT
     return pairs.filter(F.col(D2) <= F.lit(fixed_limit2(aperture, h)))
 
 
-def scaled_limit(column: str = "StarHalfRad", scale: float = 1, h: float = H_CATALOG) -> Column:
-    """Per-row aperture radius ``scale * column * h`` (the column is the subhalo's own)."""
-    return F.lit(scale) * F.col(column) * F.lit(h)
+def scaled_radius(column: str = "StarHalfRad", scale: float = 1, h: float = H_CATALOG) -> Column:
+    """Per-row aperture radius ``scale * column * h`` (the column is the subhalo's own).
+
+    An integral scale multiplies in the column's own precision (a float column
+    gives a float product, as without ANSI type widening); then times h in double.
+    """
+    s = float(scale)
+    factor = F.lit(s).cast("float") if s.is_integer() else F.lit(s)
+    return (F.col(column) * factor).cast("double") * F.lit(h)
+
 
 
 def scaled_aperture(pairs: DataFrame, column: str = "StarHalfRad", scale: float = 1,
                     h: float = H_CATALOG) -> DataFrame:
     """Rows with ``sq_dist <= (scale*column*h)^2`` (inclusive)."""
-    r = scaled_limit(column, scale, h)
+    r = scaled_radius(column, scale, h)
     return pairs.filter(F.col(D2) <= r * r)
 
 

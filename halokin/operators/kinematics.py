@@ -125,29 +125,33 @@ def _final_sums(rows2: DataFrame, keys: Sequence[str]) -> DataFrame:
     mv_rot = F.when(valid, safe_div(F.col("_jrot"), F.sqrt(F.col("_q"))))
     u_r, u_phi, u_theta = dot(uu, rh), dot(uu, ph), dot(uu, th)
 
-    def vsum(expr: Column, cond: Column = valid) -> Column:
-        return F.sum(F.when(cond, expr))
+    def when_ok(expr: Column, cond: Column = valid) -> Column:
+        return F.when(cond, expr)
 
+    # every per-row term in one projection (common subexpressions evaluated
+    # once), so that the aggregation below is a list of plain column sums
     phi_ok = valid & u_phi.isNotNull() & m.isNotNull()
-    aggs = [
-        (F.sum(m * dot(uu, uu)) * F.lit(0.5)).alias("_Ktot"),
-        *[F.sum(sq(c) * m).alias(f"_S{i}") for i, c in enumerate(uu)],
-        F.count_if(valid).alias("_nvalid"),
-        vsum(safe_div(F.lit(0.5) * (mv_rot * mv_rot), m)).alias("_Krot"),
-        vsum(mv_rot).alias("_SmV"),
-        vsum(m).alias("_W"),
-        vsum(sq(u_r) * m).alias("_Sr"),
-        vsum(sq(u_theta) * m).alias("_St"),
-        vsum(sq(u_phi) * m).alias("_Sp"),
-        vsum(m * u_phi, phi_ok).alias("_Ap"),
-        vsum(m, phi_ok).alias("_Bp"),
-    ]
+    terms = {
+        "_Ktot": m * dot(uu, uu),
+        **{f"_S{i}": sq(c) * m for i, c in enumerate(uu)},
+        "_Krot": when_ok(safe_div(F.lit(0.5) * (mv_rot * mv_rot), m)),
+        "_SmV": mv_rot,
+        "_W": when_ok(m),
+        "_Sr": when_ok(sq(u_r) * m),
+        "_St": when_ok(sq(u_theta) * m),
+        "_Sp": when_ok(sq(u_phi) * m),
+        "_Ap": when_ok(m * u_phi, phi_ok),
+        "_Bp": when_ok(m, phi_ok),
+    }
     for i, (uk, pk) in enumerate(zip(uu, ph)):
         ok = valid & uk.isNotNull() & pk.isNotNull() & m.isNotNull()
-        aggs += [vsum(m * sq(uk), ok).alias(f"_E{i}"), vsum(m * uk * pk, ok).alias(f"_C{i}"),
-                 vsum(m * sq(pk), ok).alias(f"_D{i}")]
+        terms.update({f"_E{i}": when_ok(m * sq(uk), ok), f"_C{i}": when_ok(m * uk * pk, ok),
+                      f"_D{i}": when_ok(m * sq(pk), ok)})
     group = [*keys, "_M", "_J0", "_J1", "_J2"]
-    return r.groupBy(*group).agg(*aggs)
+    t = r.select(*group, "_valid", *[c.alias(n) for n, c in terms.items()])
+    aggs = [F.count_if(F.col("_valid")).alias("_nvalid")]
+    aggs += [(F.sum(n) * F.lit(0.5)).alias(n) if n == "_Ktot" else F.sum(n).alias(n) for n in terms]
+    return t.groupBy(*group).agg(*aggs)
 
 
 def _measures(s: DataFrame, keys: Sequence[str], with_unit_j: bool) -> DataFrame:
@@ -181,13 +185,15 @@ def kinematics(rows: DataFrame, keys: Sequence[str] = ("subhalo_id",), *,
                      salt_buckets=salt_buckets)
     if method == "three_pass":
         s1 = materialize(_mean_velocity(base, keys, two_pass=False), "kin-vbar")
-        rows1 = attach(base, s1, keys, **join_opts)
+        n_groups = s1.count()  # exact size of every per-group table below
+        rows1 = attach(base, s1, keys, n_stats=n_groups, **join_opts)
         stats = materialize(_angular_momentum(rows1, keys), "kin-J")
     elif method == "two_pass":
         stats = materialize(_mean_velocity(base, keys, two_pass=True), "kin-J")
+        n_groups = stats.count()
     else:
         raise ValueError(f"unknown method {method!r}")
-    rows2 = attach(base, stats, keys, **join_opts)
+    rows2 = attach(base, stats, keys, n_stats=n_groups, **join_opts)
     return _measures(_final_sums(rows2, keys), keys, with_unit_j)
 
 

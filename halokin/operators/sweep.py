@@ -16,10 +16,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import FIXED_APERTURES, H_CATALOG, HALF_RADIUS_SCALES, H_JOIN, join_radius
-from .apertures import species_mass
+from .apertures import scaled_radius, species_mass
 from .kinematics import D2, V, X, kinematics
 
-SWEEP_KEYS = ("species", "aperture", "subhalo_id", "aperture_radius")
+ID_KEYS = ("species_id", "aperture_id", "subhalo_id", "aperture_radius")
 
 
 @dataclass(frozen=True)
@@ -34,7 +34,7 @@ class Aperture:
         """Aperture radius in pair units (kpc/h), as double."""
         if self.radius_kpc is not None:
             return F.lit(float(self.radius_kpc * h))
-        return (F.lit(self.scale) * F.col(self.column) * F.lit(h)).cast("double")
+        return scaled_radius(self.column, self.scale, h)
 
 
 def fixed_apertures(radii: Sequence[float] = FIXED_APERTURES) -> list[Aperture]:
@@ -48,17 +48,23 @@ def scaled_apertures(scales: Sequence[float] = HALF_RADIUS_SCALES, column: str =
             for s in scales]
 
 
-def aperture_rows(pairs: DataFrame, species: str, apertures: Sequence[Aperture],
+def aperture_rows(pairs: DataFrame, species_id: int, apertures: Sequence[Aperture], species: str,
                   h: float = H_CATALOG) -> DataFrame:
-    """One row per (pair, aperture containing it), with species and mass set."""
+    """One row per (pair, aperture containing it), with species and mass set.
+
+    Every pair row is exploded over the aperture list and filtered by the
+    aperture's radius: both steps stay in one whole-stage-codegen span
+    (a higher-order ``filter`` on the array would be interpreted per row).
+    Species and apertures are small integer ids until the final projection.
+    """
     extra = sorted({a.column for a in apertures if a.radius_kpc is None})
     base = species_mass(pairs, species, h).select("subhalo_id", *X, D2, *V, "mass", *extra)
-    tagged = F.array(*[F.struct(F.lit(a.label).alias("label"), a.radius(h).alias("radius"))
-                       for a in apertures])
-    inside = F.filter(tagged, lambda a: F.col(D2) <= a["radius"] * a["radius"])
-    return (base.withColumn("_ap", F.explode(inside))
-            .select(F.lit(species).alias("species"), F.col("_ap.label").alias("aperture"),
-                    "subhalo_id", F.col("_ap.radius").alias("aperture_radius"), *X, D2, *V, "mass"))
+    tagged = F.array(*[F.struct(F.lit(i).alias("aid"), a.radius(h).alias("radius"))
+                       for i, a in enumerate(apertures)])
+    rows = base.select("subhalo_id", *X, D2, *V, "mass", F.explode(tagged).alias("_ap"))
+    rows = rows.filter(F.col(D2) <= F.col("_ap.radius") * F.col("_ap.radius"))
+    return rows.select(F.lit(species_id).alias("species_id"), F.col("_ap.aid").alias("aperture_id"),
+                       "subhalo_id", F.col("_ap.radius").alias("aperture_radius"), *X, D2, *V, "mass")
 
 
 def sweep(pairs_by_species: Mapping[str, DataFrame], apertures: Sequence[Aperture], *,
@@ -69,9 +75,15 @@ def sweep(pairs_by_species: Mapping[str, DataFrame], apertures: Sequence[Apertur
     radius: the pair table holds no particle beyond it, so such an aperture
     silently sees only the join sphere.
     """
-    parts = [aperture_rows(df, sp, apertures, h) for sp, df in pairs_by_species.items()]
+    species = list(pairs_by_species)
+    parts = [aperture_rows(df, i, apertures, sp, h) for i, (sp, df) in enumerate(pairs_by_species.items())]
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
-    res = kinematics(rows, SWEEP_KEYS, with_unit_j=True, **opts)
-    return res.withColumn("aperture_truncated", F.col("aperture_radius") > F.lit(join_radius(join_h)))
+    res = kinematics(rows, ID_KEYS, with_unit_j=True, **opts)
+    species_label = F.element_at(F.array(*[F.lit(sp) for sp in species]), F.col("species_id") + 1)
+    aperture_label = F.element_at(F.array(*[F.lit(a.label) for a in apertures]), F.col("aperture_id") + 1)
+    out = [species_label.alias("species"), aperture_label.alias("aperture"), "subhalo_id", "aperture_radius",
+           *[c for c in res.columns if c not in ID_KEYS],
+           (F.col("aperture_radius") > F.lit(join_radius(join_h))).alias("aperture_truncated")]
+    return res.select(*out)

@@ -21,22 +21,36 @@ from ..session import scratch_path
 from ..sources import fixtures as fx
 from ..sources import sinks
 
-_PAIR_CACHE: dict[tuple, str] = {}
+_CACHE: dict[tuple, str] = {}
 
 
-def pair_table(spark: SparkSession, sf_dir: str, species: str) -> DataFrame:
-    """Neighbour pairs of the derived snapshot, written once per session to the
-    shared folder and re-read (later jobs scan the Parquet, not the join)."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), species)
-    path = _PAIR_CACHE.get(key)
+def _cached_table(spark: SparkSession, key: tuple, tag: str, build) -> DataFrame:
+    full_key = (spark.sparkContext.applicationId, *key)
+    path = _CACHE.get(full_key)
     if path is None:
-        path = scratch_path(spark, f"pairs-{species}")
-        pairs = neighbour_join(fx.particles(spark, sf_dir, species), fx.subhalo_catalog(spark, sf_dir))
-        pairs.write.mode("overwrite").parquet(path)
-        _PAIR_CACHE[key] = path
+        path = scratch_path(spark, tag)
+        build().write.mode("overwrite").parquet(path)
+        _CACHE[full_key] = path
     return spark.read.parquet(path)
 
 
+def snapshot_particles(spark: SparkSession, sf_dir: str, species: str, n_files: int | None = None) -> DataFrame:
+    """The particle snapshot as stored Parquet (the ingest job's output), written
+    once per session in ``n_files`` files (default: the session parallelism) so
+    that later jobs scan it in parallel."""
+    n = n_files or spark.sparkContext.defaultParallelism
+    return _cached_table(spark, ("snapshot", os.path.abspath(sf_dir), species, n), f"snapshot-{species}",
+                         lambda: fx.particles(spark, sf_dir, species).repartition(n))
+
+
+def pair_table(spark: SparkSession, sf_dir: str, species: str) -> DataFrame:
+    """Neighbour pairs of the stored snapshot, written once per session to the
+    shared folder and re-read (later jobs scan the Parquet, not the join)."""
+    return _cached_table(
+        spark, ("pairs", os.path.abspath(sf_dir), species), f"pairs-{species}",
+        lambda: neighbour_join(snapshot_particles(spark, sf_dir, species), fx.subhalo_catalog(spark, sf_dir)))
+
+
 def pair_tables(spark: SparkSession, sf_dir: str, species: Sequence[str] = ("star", "dm")) -> dict[str, DataFrame]:
     return {sp: pair_table(spark, sf_dir, sp) for sp in species}
 

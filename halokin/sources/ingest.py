@@ -47,7 +47,7 @@ def read_particle_csv(spark: SparkSession, paths: Paths, species: str = "star",
     """Particle CSV files with a header row -> typed particle DataFrame."""
     mapping, schema = SPECIES_LAYOUT[species]
     reader = (spark.read.option("header", True).option("sep", sep).option("mode", mode)
-              .option("inferSchema", False))
+              .option("inferSchema", False).option("ignoreMissingFiles", True))
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
     raw = reader.csv(paths if isinstance(paths, str) else list(paths))
@@ -61,7 +61,8 @@ def read_subhalo_text(spark: SparkSession, paths: Paths, *, mode: str = "PERMISS
     ``cut=True`` applies the size cut ``StarHalfRad * 2 * h > 0.1``.
     """
     raw = (spark.read.option("header", True).option("sep", " ").option("mode", mode)
-           .option("inferSchema", False).csv(paths if isinstance(paths, str) else list(paths)))
+           .option("inferSchema", False).option("ignoreMissingFiles", True)
+           .csv(paths if isinstance(paths, str) else list(paths)))
     cat = _typed(raw, SUBHALO_TXT_COLUMNS, SUBHALOS, mode)
     if cut:
         cat = cat.filter(F.col("StarHalfRad") * F.lit(2) * F.lit(h) > F.lit(SIZE_CUT))
@@ -77,6 +78,11 @@ def csv_to_parquet(spark: SparkSession, paths: Paths, out: str, species: str = "
     return spark.read.parquet(out)
 
 
+def empty_particles(spark: SparkSession, species: str = "star") -> DataFrame:
+    """Typed empty particle frame (the neutral element of a union of batches)."""
+    return spark.createDataFrame([], SPECIES_LAYOUT[species][1])
+
+
 def scan_recursive(spark: SparkSession, path: str) -> DataFrame:
     """Parquet files anywhere below ``path`` (no partition discovery)."""
     return spark.read.option("recursiveFileLookup", True).parquet(path)
