@@ -160,3 +160,21 @@ def test_plan_has_no_window(small_pairs):
     plan = res._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
     assert "BroadcastHashJoin" in plan
+
+
+def test_salted_shuffle_path_with_hot_group(spark, small_pairs):
+    # make one subhalo hold about a third of all rows, then force the
+    # statistics join-back beyond the broadcast bound (salted shuffle)
+    base = fixed_aperture(small_pairs["star"], 30, H)
+    n = base.count()
+    hot = base.filter(F.col("subhalo_id") != 0).limit(n // 2).withColumn("subhalo_id", F.lit(0))
+    rows = base.unionByName(hot)
+    assert rows.filter("subhalo_id = 0").count() * 3 >= rows.count() * 0.9
+    a = _by_id(kinematics(rows))
+    b = _by_id(kinematics(rows, broadcast_max_rows=0, salt_buckets=7))
+    plan = kinematics(rows, broadcast_max_rows=0)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan or "_salt" in plan
+    assert set(a) == set(b)
+    for sid in a:
+        for m in MEASURES:
+            assert _close(a[sid][m], b[sid][m], rel=1e-9, abs_=1e-9)
