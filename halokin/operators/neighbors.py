@@ -9,7 +9,12 @@ Plan (Spark-first form of a grid pre-filter):
 2. Particles get their own cell; the join is an equi-join on ``(cx, cy, cz)``.
    With a registration table of checked size it is a ``BroadcastHashJoin``:
    the particle side is streamed and never shuffled, so a dense cell costs
-   nothing extra. Beyond the size limit both sides are shuffled on the cell key
+   nothing extra. Beyond the size limit the registrations are split into
+   x-slab ranges that each fit the limit ("chunked"): every chunk is a
+   broadcast join of the particles of its slab range only, selected by a
+   ``px`` range that Parquet can prune on row-group statistics, so a
+   spatially clustered snapshot is read about once and never shuffled. Only
+   if a single slab exceeds the limit are both sides shuffled on the cell key
    plus a salt (hot cells spread over ``salt_buckets`` tasks).
 3. The exact test ``|min_image(p - s)|^2 < radius^2`` runs after the join, in
    the same codegen stage. Pairs are many-to-many: one particle can appear
@@ -22,16 +27,19 @@ pair table), the renamed subhalo columns, ``subhalo_ix..iz``, the displacement
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import BOX_SIZE, GRID_CELLS, H_JOIN, JOIN_RADIUS_KPC
 from ..functions import grid
+from ..functions.grid import cell_size
 from ..functions.vectors import min_image, sq
 from ..schemas import SUBHALO_RENAMES
+from ..session import materialize
 
 DEFAULT_BROADCAST_MAX_ROWS = 4_000_000  # registrations (cell, subhalo) of ~80 bytes
 DEFAULT_SALT_BUCKETS = 16
+DEFAULT_MAX_CHUNKS = 64
 
 
 def rename_subhalos(catalog: DataFrame) -> DataFrame:
@@ -76,19 +84,56 @@ def particle_cells(particles: DataFrame, box: float = BOX_SIZE, n_cells: int = G
     })
 
 
+def slab_chunks(regs: DataFrame, limit: int, max_chunks: int) -> list[tuple[int, int]] | None:
+    """Consecutive x-slab ranges ``[k0, k1)`` holding at most ``limit`` registrations each.
+
+    Reads one count per occupied slab (at most ``n_cells`` small rows). Returns
+    None when a single slab exceeds the limit or more than ``max_chunks`` chunks
+    would be needed. Slabs without registrations are left out: their particles
+    have no partners.
+    """
+    per_slab = sorted((r["cx"], r["n"]) for r in regs.groupBy("cx").agg(F.count(F.lit(1)).alias("n")).collect())
+    chunks, start, prev, total = [], None, None, 0
+    for cx, n in per_slab:
+        if n > limit:
+            return None
+        if start is not None and total + n > limit:
+            chunks.append((start, prev + 1))
+            start, total = None, 0
+        if start is None:
+            start = cx
+        prev, total = cx, total + n
+    if start is not None:
+        chunks.append((start, prev + 1))
+    return chunks if len(chunks) <= max_chunks else None
+
+
+def _slab_filter(k0: int, k1: int, box: float, n_cells: int) -> Column:
+    """Rows whose wrapped x cell is in ``[k0, k1)``: an exact test on the cell,
+    and a ``px`` range superset of it that the scan can push down."""
+    size = cell_size(box, n_cells)
+    px = F.col("px")
+    # out-of-box positions wrap by the modulo; they are rare and always admitted,
+    # so the superset never depends on how far outside the box they lie
+    superset = ((px >= F.lit((k0 - 1) * size)) & (px < F.lit((k1 + 1) * size))) | (px < 0) | (px >= F.lit(box))
+    return superset & (F.col("cx") >= k0) & (F.col("cx") < k1)
+
+
 def neighbour_join(particles: DataFrame, subhalos: DataFrame, *,
                    h: float = H_JOIN, radius_kpc: float = JOIN_RADIUS_KPC,
                    box: float = BOX_SIZE, n_cells: int = GRID_CELLS,
                    strict: bool = True,
                    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
                    salt_buckets: int = DEFAULT_SALT_BUCKETS,
+                   max_chunks: int = DEFAULT_MAX_CHUNKS,
                    strategy: str = "auto") -> DataFrame:
     """All (particle, subhalo) pairs with ``sq_dist < (radius_kpc*h)^2``.
 
     ``strategy``: ``"auto"`` broadcasts the registrations when their exact count
-    is at most ``broadcast_max_rows`` and otherwise shuffles with a salt;
-    ``"broadcast"`` / ``"shuffle"`` force one side of that choice.
-    ``strict=False`` keeps pairs at exactly the radius (``<=``).
+    is at most ``broadcast_max_rows``, otherwise uses slab chunks of at most
+    that size, otherwise a salted shuffle; ``"broadcast"``, ``"chunked"`` and
+    ``"shuffle"`` force one of them. ``strict=False`` keeps pairs at exactly
+    the radius (``<=``).
     """
     radius = radius_kpc * h
     sq_radius = radius * radius
@@ -96,12 +141,26 @@ def neighbour_join(particles: DataFrame, subhalos: DataFrame, *,
     regs = subhalo_registrations(subhalos, radius, box, n_cells)
     sub_cols = [c for c in regs.columns if c not in ("cx", "cy", "cz")]
     parts = particle_cells(particles, box, n_cells)
-
-    if strategy == "auto":
-        strategy = "broadcast" if regs.count() <= broadcast_max_rows else "shuffle"
     keys = ["cx", "cy", "cz"]
+
+    chunks = None
+    if strategy in ("auto", "chunked"):
+        if strategy == "auto" and regs.count() <= broadcast_max_rows:
+            strategy = "broadcast"
+        else:
+            regs = materialize(regs, "registrations")
+            chunks = slab_chunks(regs, broadcast_max_rows, max_chunks)
+            strategy = "chunked" if chunks is not None else "shuffle"
+
     if strategy == "broadcast":
         joined = parts.join(F.broadcast(regs), keys, "inner")
+    elif strategy == "chunked":
+        pieces = [parts.filter(_slab_filter(k0, k1, box, n_cells)).join(
+                      F.broadcast(regs.filter((F.col("cx") >= k0) & (F.col("cx") < k1))), keys, "inner")
+                  for k0, k1 in chunks]
+        joined = pieces[0]
+        for piece in pieces[1:]:
+            joined = joined.unionByName(piece)
     elif strategy == "shuffle":
         buckets = max(1, int(salt_buckets))
         parts = parts.withColumn(

@@ -90,6 +90,23 @@ def test_strategies_agree(spark):
     assert b.exceptAll(s).count() == 0 and s.exceptAll(b).count() == 0
 
 
+def test_chunked_strategy_equals_broadcast(spark):
+    # registrations split into x-slab chunks of at most 60 rows (forced small bound)
+    from halokin.operators.neighbors import slab_chunks, subhalo_registrations
+
+    parts, subs = fx.star_particles(spark, SF_SMALL), fx.subhalo_catalog(spark, SF_SMALL)
+    regs = subhalo_registrations(subs, 50 * 0.6774)
+    chunks = slab_chunks(regs, 60, 64)
+    assert chunks is not None and len(chunks) > 2
+    c = neighbour_join(parts, subs, broadcast_max_rows=60)
+    plan = c._jdf.queryExecution().executedPlan().toString()
+    assert "Union" in plan and "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    assert _keyset(c) == _keyset(neighbour_join(parts, subs, strategy="broadcast"))
+    # a bound below the largest slab falls back to the salted shuffle, same result
+    s = neighbour_join(parts, subs, broadcast_max_rows=1)
+    assert _keyset(s) == _keyset(c)
+
+
 def test_coarse_grid_is_still_exact(spark):
     # fewer, larger cells: the registration covers every overlapped cell, results unchanged
     parts, subs = fx.star_particles(spark, SF_SMALL), fx.subhalo_catalog(spark, SF_SMALL)
