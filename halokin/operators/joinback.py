@@ -7,6 +7,14 @@ aggregation, written to the shared folder, and joined back.
 * If the statistics table is small — its exact row count is read from the
   written Parquet — it is broadcast: the large side is streamed, never shuffled,
   and a group holding a third of all rows costs nothing extra.
+* If it is larger, but splits into at most ``max_chunks`` ranges of
+  ``chunk_col`` (subhalo id) that each fit the bound, every range is broadcast
+  to the rows of that range only. The range filter reaches the scan of the
+  large side (pair tables are written sorted by subhalo id within each file,
+  so Parquet skips the row groups of other ranges): still no shuffle of the
+  large side. Range boundaries come from approximate quantiles of the small
+  table; one subhalo has only a handful of statistics rows, so no range can
+  be dominated by one key.
 * Otherwise both sides are shuffled on the key plus a salt: every row gets a
   deterministic salt from a hash of its own values, and every statistics row is
   replicated once per salt value, so a hot group is split over ``salt_buckets``
@@ -15,9 +23,10 @@ aggregation, written to the shared folder, and joined back.
 
 from __future__ import annotations
 
+import math
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -25,13 +34,38 @@ from ..session import materialize
 # Rows of a statistics table that may be broadcast (about 100 bytes each).
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
 DEFAULT_SALT_BUCKETS = 16
+DEFAULT_MAX_CHUNKS = 64
+
+
+def key_ranges(stats: DataFrame, col: str, n: int, limit: int, max_chunks: int) -> list[tuple] | None:
+    """Ranges ``[lo, hi)`` of ``col`` (None = open end) holding about
+    ``0.8 * limit`` statistics rows each, or None if more than ``max_chunks``."""
+    k = math.ceil(n / (0.8 * limit))
+    if k > max_chunks:
+        return None
+    probs = [i / k for i in range(1, k)]
+    cuts = sorted({math.ceil(b) for b in stats.approxQuantile(col, probs, 0.001)})
+    edges = [None, *cuts, None]
+    return list(zip(edges[:-1], edges[1:]))
+
+
+def _in_range(col: str, lo, hi) -> Column:
+    c = F.col(col)
+    cond = F.lit(True)
+    if lo is not None:
+        cond = cond & (c >= lo)
+    if hi is not None:
+        cond = cond & (c < hi)
+    return cond
 
 
 def attach(rows: DataFrame, stats: DataFrame, keys: Sequence[str], *,
            salt_cols: Sequence[str] | None = None,
            broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
            salt_buckets: int = DEFAULT_SALT_BUCKETS,
-           n_stats: int | None = None) -> DataFrame:
+           n_stats: int | None = None,
+           chunk_col: str | None = "subhalo_id",
+           max_chunks: int = DEFAULT_MAX_CHUNKS) -> DataFrame:
     """Inner-join ``stats`` (one row per key) onto ``rows`` by ``keys``.
 
     ``n_stats`` is the known row count of ``stats``; when omitted it is counted
@@ -41,6 +75,17 @@ def attach(rows: DataFrame, stats: DataFrame, keys: Sequence[str], *,
     n = stats.count() if n_stats is None else n_stats
     if n <= broadcast_max_rows:
         return rows.join(F.broadcast(stats), keys, "inner")
+    ranges = None
+    if chunk_col in keys and broadcast_max_rows > 0:
+        ranges = key_ranges(stats, chunk_col, n, broadcast_max_rows, max_chunks)
+    if ranges:
+        pieces = [rows.filter(_in_range(chunk_col, lo, hi)).join(
+                      F.broadcast(stats.filter(_in_range(chunk_col, lo, hi))), keys, "inner")
+                  for lo, hi in ranges]
+        out = pieces[0]
+        for piece in pieces[1:]:
+            out = out.unionByName(piece)
+        return out
     buckets = max(1, int(salt_buckets))
     src = list(salt_cols) if salt_cols else [c for c in rows.columns if c not in keys]
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*src), F.lit(buckets)).cast("int"))

@@ -45,10 +45,15 @@ def snapshot_particles(spark: SparkSession, sf_dir: str, species: str, n_files:
 
 def pair_table(spark: SparkSession, sf_dir: str, species: str) -> DataFrame:
     """Neighbour pairs of the stored snapshot, written once per session to the
-    shared folder and re-read (later jobs scan the Parquet, not the join)."""
+    shared folder and re-read (later jobs scan the Parquet, not the join).
+
+    Each file is sorted by subhalo id (a local sort, no shuffle), so a filter on
+    a subhalo-id range skips the other row groups.
+    """
     return _cached_table(
         spark, ("pairs", os.path.abspath(sf_dir), species), f"pairs-{species}",
-        lambda: neighbour_join(snapshot_particles(spark, sf_dir, species), fx.subhalo_catalog(spark, sf_dir)))
+        lambda: neighbour_join(snapshot_particles(spark, sf_dir, species), fx.subhalo_catalog(spark, sf_dir))
+        .sortWithinPartitions("subhalo_id"))
 
 
 def pair_tables(spark: SparkSession, sf_dir: str, species: Sequence[str] = ("star", "dm")) -> dict[str, DataFrame]:
