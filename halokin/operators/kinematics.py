@@ -58,23 +58,25 @@ def _vec(names: Sequence[str]) -> tuple[Column, Column, Column]:
     return F.col(names[0]), F.col(names[1]), F.col(names[2])
 
 
-def kinematic_input(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+def kinematic_input(rows: DataFrame, keys: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
     """Project the needed columns, velocities and mass cast to double."""
     return rows.select(
-        *keys, *[F.col(c).cast("double").alias(c) for c in X], F.col(D2).cast("double").alias(D2),
+        *keys, *carry, *[F.col(c).cast("double").alias(c) for c in X], F.col(D2).cast("double").alias(D2),
         *[F.col(c).cast("double").alias(c) for c in V], F.col("mass").cast("double").alias("mass"))
 
 
-def _mean_velocity(base: DataFrame, keys: Sequence[str], two_pass: bool) -> DataFrame:
+def _mean_velocity(base: DataFrame, keys: Sequence[str], two_pass: bool,
+                   carry: Sequence[str] = ()) -> DataFrame:
     m = F.col("mass")
     x, v = _vec(X), _vec(V)
-    aggs = [F.sum(m).alias("_M")] + [F.sum(m * c).alias(f"_mv{i}") for i, c in enumerate(v)]
+    aggs = [F.max(c).alias(c) for c in carry]
+    aggs += [F.sum(m).alias("_M")] + [F.sum(m * c).alias(f"_mv{i}") for i, c in enumerate(v)]
     if two_pass:
         aggs += [F.sum(m * c).alias(f"_mx{i}") for i, c in enumerate(x)]
         aggs += [F.sum(m * c).alias(f"_mxv{i}") for i, c in enumerate(cross(x, v))]
     s = base.groupBy(*keys).agg(*aggs)
     vbar = [safe_div(F.col(f"_mv{i}"), F.col("_M")).alias(f"_vb{i}") for i in range(3)]
-    cols = [*keys, "_M", *vbar]
+    cols = [*keys, *carry, "_M", *vbar]
     if two_pass:
         mx = _vec(["_mx0", "_mx1", "_mx2"])
         vb = tuple(safe_div(F.col(f"_mv{i}"), F.col("_M")) for i in range(3))
@@ -83,12 +85,14 @@ def _mean_velocity(base: DataFrame, keys: Sequence[str], two_pass: bool) -> Data
     return s.select(*cols)
 
 
-def _angular_momentum(rows1: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _angular_momentum(rows1: DataFrame, s1: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """J per group, grouped by the keys alone; the pass-1 values are joined on
+    afterwards (a join of two per-group tables)."""
     m = F.col("mass")
     u = sub(_vec(V), _vec(["_vb0", "_vb1", "_vb2"]))
     j = scale(cross(_vec(X), u), m)
-    group = [*keys, "_M", "_vb0", "_vb1", "_vb2"]
-    return rows1.groupBy(*group).agg(*[F.sum(c).alias(f"_J{i}") for i, c in enumerate(j)])
+    jsum = rows1.groupBy(*keys).agg(*[F.sum(c).alias(f"_J{i}") for i, c in enumerate(j)])
+    return s1.join(jsum, list(keys), "inner")
 
 
 def _final_sums(rows2: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -115,7 +119,7 @@ def _final_sums(rows2: DataFrame, keys: Sequence[str]) -> DataFrame:
         "_px": phi[0], "_py": phi[1], "_pz": phi[2],
         "_rx": r_hat[0], "_ry": r_hat[1], "_rz": r_hat[2],
     }
-    r = rows2.select(*keys, "_M", "_J0", "_J1", "_J2", "mass", *[c.alias(n) for n, c in cols.items()])
+    r = rows2.select(*keys, "mass", *[c.alias(n) for n, c in cols.items()])
 
     valid = F.col("_valid")
     uu = _vec(["_ux", "_uy", "_uz"])
@@ -147,14 +151,13 @@ def _final_sums(rows2: DataFrame, keys: Sequence[str]) -> DataFrame:
         ok = valid & uk.isNotNull() & pk.isNotNull() & m.isNotNull()
         terms.update({f"_E{i}": when_ok(m * sq(uk), ok), f"_C{i}": when_ok(m * uk * pk, ok),
                       f"_D{i}": when_ok(m * sq(pk), ok)})
-    group = [*keys, "_M", "_J0", "_J1", "_J2"]
-    t = r.select(*group, "_valid", *[c.alias(n) for n, c in terms.items()])
+    t = r.select(*keys, "_valid", *[c.alias(n) for n, c in terms.items()])
     aggs = [F.count_if(F.col("_valid")).alias("_nvalid")]
     aggs += [(F.sum(n) * F.lit(0.5)).alias(n) if n == "_Ktot" else F.sum(n).alias(n) for n in terms]
-    return t.groupBy(*group).agg(*aggs)
+    return t.groupBy(*keys).agg(*aggs)
 
 
-def _measures(s: DataFrame, keys: Sequence[str], with_unit_j: bool) -> DataFrame:
+def _measures(s: DataFrame, keys: Sequence[str], with_unit_j: bool, carry: Sequence[str] = ()) -> DataFrame:
     M, W = F.col("_M"), F.col("_W")
     vrot = safe_div(F.col("_SmV"), M)
     sx, sy, sz = (safe_div(F.col(f"_S{i}"), M) for i in range(3))
@@ -164,7 +167,7 @@ def _measures(s: DataFrame, keys: Sequence[str], with_unit_j: bool) -> DataFrame
                       + vrot * vrot * F.col(f"_D{i}"), W) for i in range(3)]
     values = [F.col("_Ktot"), sx, sy, sz, sx + sy + sz, F.col("_Krot"), vrot, sr, st, sp,
               sp_nr, sr + sp_nr + st, *sk_nr]
-    out = [*keys, *[c.alias(n) for n, c in zip(MEASURES, values)]]
+    out = [*keys, *carry, *[c.alias(n) for n, c in zip(MEASURES, values)]]
     if with_unit_j:
         J = _vec(["_J0", "_J1", "_J2"])
         out += [c.alias(n) for n, c in zip(UNIT_J, divide(J, norm(J)))]
@@ -173,28 +176,35 @@ def _measures(s: DataFrame, keys: Sequence[str], with_unit_j: bool) -> DataFrame
 
 def kinematics(rows: DataFrame, keys: Sequence[str] = ("subhalo_id",), *,
                method: str = "three_pass", with_unit_j: bool = False,
+               carry: Sequence[str] = (),
                broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
                salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
     """Per-group kinematics; one output row per group with a valid row.
 
     ``rows`` are already restricted to the aperture and carry ``mass``.
+    ``carry`` names columns that are constant within a group (returned with the
+    result, never used as grouping keys). A single integer key is the cheapest.
     """
     keys = list(keys)
-    base = kinematic_input(rows, keys)
+    carry = list(carry)
+    base = kinematic_input(rows, keys, carry)
     join_opts = dict(salt_cols=_SALT_COLS, broadcast_max_rows=broadcast_max_rows,
                      salt_buckets=salt_buckets)
     if method == "three_pass":
-        s1 = materialize(_mean_velocity(base, keys, two_pass=False), "kin-vbar")
+        s1 = materialize(_mean_velocity(base, keys, False, carry), "kin-vbar")
         n_groups = s1.count()  # exact size of every per-group table below
-        rows1 = attach(base, s1, keys, n_stats=n_groups, **join_opts)
-        stats = materialize(_angular_momentum(rows1, keys), "kin-J")
+        rows1 = attach(base.drop(*carry), s1.drop(*carry), keys, n_stats=n_groups, **join_opts)
+        stats = materialize(_angular_momentum(rows1, s1, keys), "kin-J")
     elif method == "two_pass":
-        stats = materialize(_mean_velocity(base, keys, two_pass=True), "kin-J")
+        stats = materialize(_mean_velocity(base, keys, True, carry), "kin-J")
         n_groups = stats.count()
     else:
         raise ValueError(f"unknown method {method!r}")
-    rows2 = attach(base, stats, keys, n_stats=n_groups, **join_opts)
-    return _measures(_final_sums(rows2, keys), keys, with_unit_j)
+    slim = stats.select(*keys, "_M", "_vb0", "_vb1", "_vb2", "_J0", "_J1", "_J2")
+    rows2 = attach(base.drop(*carry), slim, keys, n_stats=n_groups, **join_opts)
+    sums = _final_sums(rows2, keys)
+    per_group = stats.select(*keys, *carry, "_M", "_J0", "_J1", "_J2")
+    return _measures(sums.join(per_group, keys, "inner"), keys, with_unit_j, carry)
 
 
 def velocity_moments(rows: DataFrame, keys: Sequence[str] = ("subhalo_id",), *,
