@@ -58,7 +58,7 @@ def main() -> None:
             scratch_path(spark, "bench-kin30"))
 
     def q_catalog_sweep():
-        jobs.export_catalogs(jobs.full_sweep(pairs), scratch_path(spark, "bench-catalogs"))
+        jobs.catalog_job(pairs, scratch_path(spark, "bench-catalogs"))
 
     queries = {
         "ingest_star_csv": q_ingest_csv,

@@ -73,3 +73,13 @@ def export_catalogs(result: DataFrame, out_root: str) -> dict[str, str]:
     sinks.write_catalog_csv(catalog_3d(result), paths["3d"])
     sinks.write_catalog_csv(catalog_2d(result), paths["2d"])
     return paths
+
+
+def catalog_job(pairs_by_species: Mapping[str, DataFrame], out_root: str, **opts) -> dict[str, str]:
+    """All apertures and species: the tidy result table as Parquet (written once),
+    then the 3D and 2D CSV catalogues exported from it."""
+    tidy = f"{out_root}/kinematics"
+    sinks.write_parquet(full_sweep(pairs_by_species, **opts), tidy)
+    spark = next(iter(pairs_by_species.values())).sparkSession
+    paths = export_catalogs(spark.read.parquet(tidy), out_root)
+    return {"kinematics": tidy, **paths}
