@@ -37,7 +37,7 @@ from ..functions.vectors import min_image, sq
 from ..schemas import SUBHALO_RENAMES
 from ..session import materialize
 
-DEFAULT_BROADCAST_MAX_ROWS = 4_000_000  # registrations (cell, subhalo) of ~80 bytes
+DEFAULT_BROADCAST_MAX_ROWS = 2_000_000  # registrations (cell, subhalo), ~120 bytes each: ~240 MB
 DEFAULT_SALT_BUCKETS = 16
 DEFAULT_MAX_CHUNKS = 64
 

@@ -116,6 +116,14 @@ def sweep_scaled(spark: SparkSession, d: str) -> DataFrame:
     return rounded(jobs.full_sweep(jobs.pair_tables(spark, d), (), HALF_RADIUS_SCALES))
 
 
+@register("sweep_notebook", O.sweep_sql(("star",), NOTEBOOK_APERTURES, (1,), h=H_JOIN))
+def sweep_notebook(spark: SparkSession, d: str) -> DataFrame:
+    """The notebook's export: star particles, 50/30/20/10/5/3 kpc and one
+    StarHalfRad, h = 0.6774, in one job."""
+    return rounded(jobs.full_sweep({"star": jobs.pair_table(spark, d, "star")}, NOTEBOOK_APERTURES, (1,),
+                                   h=H_JOIN))
+
+
 @register("catalog_3d", O.catalog_sql("3d"))
 def q_catalog_3d(spark: SparkSession, d: str) -> DataFrame:
     return rounded(catalog_3d(jobs.full_sweep(jobs.pair_tables(spark, d))))
