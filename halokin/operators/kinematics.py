@@ -48,6 +48,11 @@ from ..schemas import MEASURES, UNIT_J
 from ..session import materialize
 from .joinback import DEFAULT_BROADCAST_MAX_ROWS, DEFAULT_SALT_BUCKETS, attach
 
+# |J| at or below this fraction of sum m |x| |u| (the size its terms cancel from)
+# is rounding noise: the group has no rotation axis and, like a group with J = 0
+# exactly, no valid row.
+J_ZERO_TOLERANCE = 1e-8
+
 X = ("rel_px", "rel_py", "rel_pz")
 V = ("vx", "vy", "vz")
 D2 = "sq_dist_subhalo2ptl"
@@ -74,6 +79,7 @@ def _mean_velocity(base: DataFrame, keys: Sequence[str], two_pass: bool,
     if two_pass:
         aggs += [F.sum(m * c).alias(f"_mx{i}") for i, c in enumerate(x)]
         aggs += [F.sum(m * c).alias(f"_mxv{i}") for i, c in enumerate(cross(x, v))]
+        aggs += [F.sum(m * norm(x) * norm(v)).alias("_JS")]
     s = base.groupBy(*keys).agg(*aggs)
     vbar = [safe_div(F.col(f"_mv{i}"), F.col("_M")).alias(f"_vb{i}") for i in range(3)]
     cols = [*keys, *carry, "_M", *vbar]
@@ -81,17 +87,27 @@ def _mean_velocity(base: DataFrame, keys: Sequence[str], two_pass: bool,
         mx = _vec(["_mx0", "_mx1", "_mx2"])
         vb = tuple(safe_div(F.col(f"_mv{i}"), F.col("_M")) for i in range(3))
         jv = sub(_vec(["_mxv0", "_mxv1", "_mxv2"]), cross(mx, vb))
-        cols += [c.alias(f"_J{i}") for i, c in enumerate(jv)]
+        scale_ = F.col("_JS") + norm(mx) * norm(vb)
+        cols += [c.alias(f"_J{i}") for i, c in enumerate(_drop_noise(jv, scale_))]
     return s.select(*cols)
 
 
+def _drop_noise(J, scale_: Column):
+    """J, or exactly zero when |J| <= J_ZERO_TOLERANCE * scale_."""
+    keep = norm(J) > F.lit(J_ZERO_TOLERANCE) * scale_
+    return tuple(F.when(keep, c).otherwise(F.lit(0.0)) for c in J)
+
+
 def _angular_momentum(rows1: DataFrame, s1: DataFrame, keys: Sequence[str]) -> DataFrame:
     """J per group, grouped by the keys alone; the pass-1 values are joined on
     afterwards (a join of two per-group tables)."""
     m = F.col("mass")
     u = sub(_vec(V), _vec(["_vb0", "_vb1", "_vb2"]))
     j = scale(cross(_vec(X), u), m)
-    jsum = rows1.groupBy(*keys).agg(*[F.sum(c).alias(f"_J{i}") for i, c in enumerate(j)])
+    jsum = rows1.groupBy(*keys).agg(*[F.sum(c).alias(f"_Jraw{i}") for i, c in enumerate(j)],
+                                    F.sum(m * norm(_vec(X)) * norm(u)).alias("_JS"))
+    J = _drop_noise(_vec(["_Jraw0", "_Jraw1", "_Jraw2"]), F.col("_JS"))
+    jsum = jsum.select(*keys, *[c.alias(f"_J{i}") for i, c in enumerate(J)])
     return s1.join(jsum, list(keys), "inner")
 
 

@@ -5,8 +5,6 @@ is a table SQL can produce."""
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,16 +30,16 @@ from .registry import quantize, register, rounded
 H = H_CATALOG
 MDM = dm_particle_mass(H)
 STAR_COLS = O.PARTICLE_COLUMNS["star"]
-DM_COLS = O.PARTICLE_COLUMNS["dm"]
 
 
-def _cells(species: str):
+def _cells():
+    """Ten x-slabs of the box: the raw CSV files are written one directory per slab."""
     return F.pmod(F.floor(F.col("px") / F.lit(20500.0)), F.lit(10)).cast("int")
 
 
 def _raw_csv(spark: SparkSession, d: str, species: str) -> str:
     path = scratch_path(spark, f"raw-{species}-csv")
-    ingest.write_pandas_style_csv(fx.particles(spark, d, species), path, species, cell_key=_cells(species))
+    ingest.write_pandas_style_csv(fx.particles(spark, d, species), path, species, cell_key=_cells())
     return path
 
 
@@ -303,7 +301,7 @@ def _rows30(species: str = "star") -> str:
 def _moments_sql(rows_sql: str) -> str:
     body = O.kinematics_sql(rows_sql, ["subhalo_id"])
     # the moments are the all-row part of the chain: take them from its 'tot' CTE
-    head = body.split("jj AS (")[0].rstrip().rstrip(",")
+    head = body.split("jraw AS (")[0].rstrip().rstrip(",")
     q = lambda e, n: f"{O.qround(e, O.MEASURE_DECIMALS)} AS {n}"
     return (head + f"\nSELECT subhalo_id, {q('Ktot', MEASURES[0])}, {q('Sx / NULLIF(mtot, 0)', MEASURES[1])}, "
             f"{q('Sy / NULLIF(mtot, 0)', MEASURES[2])}, {q('Sz / NULLIF(mtot, 0)', MEASURES[3])}, "
@@ -461,5 +459,3 @@ def head_n(spark: SparkSession, d: str) -> DataFrame:
     """The 4 pairs closest to the lowest subhalo ids (a top-n report)."""
     return stats.head(jobs.pair_table(spark, d, "star"), 4, ["subhalo_id", "sq_dist_subhalo2ptl", *STAR_COLS])
 
-
-del os

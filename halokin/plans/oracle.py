@@ -19,6 +19,7 @@ from ..constants import (BOX_SIZE, FIXED_APERTURES, GRID_CELLS, H_CATALOG, H_JOI
                          HIST_BINS, HIST_RANGE, JOIN_RADIUS_KPC, MASS_CUT, SIZE_CUT, dm_particle_mass,
                          join_radius)
 from ..schemas import CATALOG_2D, CATALOG_3D, MEASURES, UNIT_J
+from ..operators.kinematics import J_ZERO_TOLERANCE
 from ..sources.fixtures import DM_MULTIPLIERS, STAR_MULTIPLIERS
 
 MEASURE_DECIMALS = 3
@@ -191,11 +192,19 @@ tot AS (
          SUM((ux * ux) * m) AS Sx, SUM((uy * uy) * m) AS Sy, SUM((uz * uz) * m) AS Sz, MAX(mtot) AS mtot
   FROM u GROUP BY {K}
 ),
-jj AS (
-  SELECT {K}, SUM((y * uz - z * uy) * m) AS Jx, SUM((z * ux - x * uz) * m) AS Jy,
-         SUM((x * uy - y * ux) * m) AS Jz
+jraw AS (
+  SELECT {K}, SUM((y * uz - z * uy) * m) AS Jrx, SUM((z * ux - x * uz) * m) AS Jry,
+         SUM((x * uy - y * ux) * m) AS Jrz,
+         SUM(m * sqrt(x * x + y * y + z * z) * sqrt(ux * ux + uy * uy + uz * uz)) AS JS
   FROM u GROUP BY {K}
 ),
+jj AS (
+  SELECT {K},
+    CASE WHEN sqrt(Jrx * Jrx + Jry * Jry + Jrz * Jrz) > {dbl(J_ZERO_TOLERANCE)} * JS THEN Jrx ELSE 0e0 END AS Jx,
+    CASE WHEN sqrt(Jrx * Jrx + Jry * Jry + Jrz * Jrz) > {dbl(J_ZERO_TOLERANCE)} * JS THEN Jry ELSE 0e0 END AS Jy,
+    CASE WHEN sqrt(Jrx * Jrx + Jry * Jry + Jrz * Jrz) > {dbl(J_ZERO_TOLERANCE)} * JS THEN Jrz ELSE 0e0 END AS Jz
+  FROM jraw
+),
 g AS (SELECT u.*, Jx, Jy, Jz, sqrt(Jx * Jx + Jy * Jy + Jz * Jz) AS Jn FROM u JOIN jj {using}),
 r AS (
   SELECT g.*,

@@ -71,12 +71,13 @@ register("fixture_dm", O.particles_sql("dm"))(lambda spark, d: fx.dm_particles(s
 
 @register("neighbor_star", O.pairs_sql("star"))
 def neighbor_star(spark: SparkSession, d: str) -> DataFrame:
-    return neighbour_join(fx.star_particles(spark, d), fx.subhalo_catalog(spark, d))
+    """Star particles (the stored snapshot) paired with every subhalo within the join radius."""
+    return neighbour_join(jobs.snapshot_particles(spark, d, "star"), fx.subhalo_catalog(spark, d))
 
 
 @register("neighbor_dm", O.pairs_sql("dm"))
 def neighbor_dm(spark: SparkSession, d: str) -> DataFrame:
-    return neighbour_join(fx.dm_particles(spark, d), fx.subhalo_catalog(spark, d))
+    return neighbour_join(jobs.snapshot_particles(spark, d, "dm"), fx.subhalo_catalog(spark, d))
 
 
 # ------------------------------------------------------------------ kinematics per aperture

@@ -192,3 +192,21 @@ def test_range_chunked_join_back(small_pairs):
     for sid in a:
         for m in MEASURES:
             assert _close(a[sid][m], b[sid][m], rel=1e-9, abs_=1e-9)
+
+
+def test_noise_angular_momentum_is_zero(spark):
+    # group 1: two particles at one position -> J = x cross (sum m u) = 0, computed
+    # only as rounding noise; it has no rotation axis and is dropped like J = 0.
+    # group 2 rotates and is kept. Both methods agree.
+    cols = "subhalo_id int, rel_px double, rel_py double, rel_pz double, sq_dist_subhalo2ptl double, " \
+           "vx float, vy float, vz float, mass float"
+    x = (0.37, -1.3, 0.71)
+    d2 = sum(c * c for c in x)
+    rows = spark.createDataFrame([
+        (1, *x, d2, 1.7, 0.3, 2.9, 0.1),
+        (1, *x, d2, -0.7, 1.1, 0.13, 0.3),
+        (2, 1.0, 0.0, 0.0, 1.0, 0.0, 5.0, 0.0, 1.0),
+        (2, -1.0, 0.0, 0.0, 1.0, 0.0, -5.0, 0.0, 1.0),
+    ], cols)
+    for method in ("three_pass", "two_pass"):
+        assert set(_by_id(kinematics(rows, method=method))) == {2}
