@@ -20,7 +20,7 @@ sys.path.insert(0, ROOT)
 def main() -> None:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
-    ap.add_argument("--mode", default="simple")
+    ap.add_argument("--mode", default="final", help="final (AQE executed plan), simple, formatted")
     args = ap.parse_args()
 
     from halokin.operators.apertures import aperture_kinematics
@@ -32,15 +32,23 @@ def main() -> None:
     spark = local_session()
     snap = jobs.snapshot_particles(spark, args.sf, "star")
     pairs = jobs.pair_tables(spark, args.sf)
+    subs = fx.subhalo_catalog(spark, args.sf)
     plans = {
-        "neighbour join (star)": neighbour_join(snap, fx.subhalo_catalog(spark, args.sf)),
-        "kinematics, 30 kpc (star)": aperture_kinematics(pairs["star"], 30, "star"),
-        "catalogue sweep (final pass)": jobs.full_sweep(pairs),
+        "neighbour join (star), broadcast tier": neighbour_join(snap, subs),
+        "neighbour join (star), slab-chunked tier (bound forced to 1000 registrations)":
+            neighbour_join(snap, subs, broadcast_max_rows=1000),
+        "kinematics, 30 kpc (star), final pass": aperture_kinematics(pairs["star"], 30, "star"),
+        "kinematics, 30 kpc, join-back by subhalo-id ranges (bound forced to 40 groups)":
+            aperture_kinematics(pairs["star"], 30, "star", broadcast_max_rows=40),
+        "catalogue sweep, final pass": jobs.full_sweep(pairs),
     }
     for name, df in plans.items():
-        df.write.format("noop").mode("overwrite").save()  # run, so AQE shows its final plan
+        df.write.format("noop").mode("overwrite").save()  # run, so AQE has its final plan
         print(f"\n===== {name} =====")
-        df.explain(args.mode)
+        if args.mode == "final":
+            print(df._jdf.queryExecution().executedPlan().toString())
+        else:
+            df.explain(args.mode)
 
 
 if __name__ == "__main__":
