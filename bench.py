@@ -45,7 +45,7 @@ def main() -> None:
     pairs = jobs.pair_tables(spark, sf_dir)
 
     def q_ingest_csv():
-        ingest.csv_to_parquet(spark, f"{raw}/*/*.csv", scratch_path(spark, "bench-star-parquet"), "star")
+        ingest.ingest_csv(spark, f"{raw}/*/*.csv", scratch_path(spark, "bench-star-parquet"), "star")
 
     def q_join(species):
         def run():

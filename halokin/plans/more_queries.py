@@ -49,13 +49,13 @@ def _raw_csv(spark: SparkSession, d: str, species: str) -> str:
 def ingest_star_csv(spark: SparkSession, d: str) -> DataFrame:
     """CSV files (one directory per spatial cell) -> typed Parquet -> re-read."""
     raw = _raw_csv(spark, d, "star")
-    return ingest.csv_to_parquet(spark, f"{raw}/*/*.csv", scratch_path(spark, "star-parquet"), "star")
+    return ingest.ingest_csv(spark, f"{raw}/*/*.csv", scratch_path(spark, "star-parquet"), "star")
 
 
 @register("ingest_dm_csv", O.particles_sql("dm"))
 def ingest_dm_csv(spark: SparkSession, d: str) -> DataFrame:
     raw = _raw_csv(spark, d, "dm")
-    return ingest.csv_to_parquet(spark, f"{raw}/*/*.csv", scratch_path(spark, "dm-parquet"), "dm")
+    return ingest.ingest_csv(spark, f"{raw}/*/*.csv", scratch_path(spark, "dm-parquet"), "dm")
 
 
 _SIZE_CUT_SQL = f"SELECT * FROM ({O.subhalos_sql()}) s WHERE StarHalfRad * 2 * {O.dbl(H)} > {O.dbl(O.SIZE_CUT)}"
@@ -115,7 +115,7 @@ _EXPORT_SCHEMA = T.StructType([T.StructField("subhalo_id", T.IntegerType())] +
 def export_txt(spark: SparkSession, d: str) -> DataFrame:
     """Kinematics written as space-separated text sorted by subhalo, re-read."""
     res = ap.aperture_kinematics(jobs.pair_table(spark, d, "star"), 30, "star", h=H)
-    path = sinks.write_text(res, scratch_path(spark, "vdisp30-txt"))
+    path = sinks.write_text(res, scratch_path(spark, "kin30-txt"))
     back = spark.read.schema(_EXPORT_SCHEMA).option("header", True).option("sep", " ").csv(path)
     return rounded(back)
 

@@ -69,7 +69,7 @@ def read_subhalo_text(spark: SparkSession, paths: Paths, *, mode: str = "PERMISS
     return cat
 
 
-def csv_to_parquet(spark: SparkSession, paths: Paths, out: str, species: str = "star", *,
+def ingest_csv(spark: SparkSession, paths: Paths, out: str, species: str = "star", *,
                    mode: str = "PERMISSIVE", n_files: int | None = None,
                    compression: str = "snappy") -> DataFrame:
     """One distributed job: read every CSV file, type it, write Snappy Parquet."""
