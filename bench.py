@@ -50,7 +50,7 @@ def main() -> None:
     def q_join(species):
         def run():
             p = neighbour_join(snapshot[species], fx.subhalo_catalog(spark, sf_dir))
-            p.write.mode("overwrite").parquet(scratch_path(spark, f"bench-pairs-{species}"))
+            jobs.write_pair_table(p, scratch_path(spark, f"bench-pairs-{species}"))
         return run
 
     def q_kin_r30():

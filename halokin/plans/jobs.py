@@ -43,6 +43,14 @@ def snapshot_particles(spark: SparkSession, sf_dir: str, species: str, n_files:
                          lambda: fx.particles(spark, sf_dir, species).repartition(n))
 
 
+def write_pair_table(pairs: DataFrame, path: str) -> str:
+    """The neighbour join job's sink: Snappy Parquet, each file sorted by subhalo
+    id (a local sort, no shuffle) so that a subhalo-id range filter skips the
+    other row groups."""
+    pairs.sortWithinPartitions("subhalo_id").write.mode("overwrite").parquet(path)
+    return path
+
+
 def pair_table(spark: SparkSession, sf_dir: str, species: str) -> DataFrame:
     """Neighbour pairs of the stored snapshot, written once per session to the
     shared folder and re-read (later jobs scan the Parquet, not the join).
