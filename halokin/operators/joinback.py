@@ -69,18 +69,21 @@ def attach(rows: DataFrame, stats: DataFrame, keys: Sequence[str], *,
     """Inner-join ``stats`` (one row per key) onto ``rows`` by ``keys``.
 
     ``n_stats`` is the known row count of ``stats``; when omitted it is counted
-    (cheap on a materialized table).
+    (cheap on a materialized table). ``chunk_col`` (present on both sides, a
+    key or a per-group constant) defines the ranges of the middle tier.
     """
     keys = list(keys)
     n = stats.count() if n_stats is None else n_stats
+    shared = bool(chunk_col) and chunk_col in rows.columns and chunk_col in stats.columns
+    # a range column that is a per-group constant, not a key, is taken from the rows only
+    extra = [chunk_col] if shared and chunk_col not in keys else []
     if n <= broadcast_max_rows:
-        return rows.join(F.broadcast(stats), keys, "inner")
-    ranges = None
-    if chunk_col in keys and broadcast_max_rows > 0:
-        ranges = key_ranges(stats, chunk_col, n, broadcast_max_rows, max_chunks)
+        return rows.join(F.broadcast(stats.drop(*extra)), keys, "inner")
+    ranges = key_ranges(stats, chunk_col, n, broadcast_max_rows, max_chunks) \
+        if shared and broadcast_max_rows > 0 else None
     if ranges:
         pieces = [rows.filter(_in_range(chunk_col, lo, hi)).join(
-                      F.broadcast(stats.filter(_in_range(chunk_col, lo, hi))), keys, "inner")
+                      F.broadcast(stats.filter(_in_range(chunk_col, lo, hi)).drop(*extra)), keys, "inner")
                   for lo, hi in ranges]
         out = pieces[0]
         for piece in pieces[1:]:
@@ -89,7 +92,7 @@ def attach(rows: DataFrame, stats: DataFrame, keys: Sequence[str], *,
     buckets = max(1, int(salt_buckets))
     src = list(salt_cols) if salt_cols else [c for c in rows.columns if c not in keys]
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*src), F.lit(buckets)).cast("int"))
-    spread = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    spread = stats.drop(*extra).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
     return salted.join(spread, keys + ["_salt"], "inner").drop("_salt")
 
 

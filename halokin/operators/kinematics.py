@@ -206,18 +206,22 @@ def kinematics(rows: DataFrame, keys: Sequence[str] = ("subhalo_id",), *,
     base = kinematic_input(rows, keys, carry)
     join_opts = dict(salt_cols=_SALT_COLS, broadcast_max_rows=broadcast_max_rows,
                      salt_buckets=salt_buckets)
+    # a carried subhalo id stays on the rows: it is the range column of the
+    # chunked join-back tier (pair tables are sorted by it)
+    keep = [c for c in carry if c == "subhalo_id"]
+    drop = [c for c in carry if c not in keep]
     if method == "three_pass":
         s1 = materialize(_mean_velocity(base, keys, False, carry), "kin-vbar")
         n_groups = s1.count()  # exact size of every per-group table below
-        rows1 = attach(base.drop(*carry), s1.drop(*carry), keys, n_stats=n_groups, **join_opts)
+        rows1 = attach(base.drop(*drop), s1.drop(*drop), keys, n_stats=n_groups, **join_opts)
         stats = materialize(_angular_momentum(rows1, s1, keys), "kin-J")
     elif method == "two_pass":
         stats = materialize(_mean_velocity(base, keys, True, carry), "kin-J")
         n_groups = stats.count()
     else:
         raise ValueError(f"unknown method {method!r}")
-    slim = stats.select(*keys, "_M", "_vb0", "_vb1", "_vb2", "_J0", "_J1", "_J2")
-    rows2 = attach(base.drop(*carry), slim, keys, n_stats=n_groups, **join_opts)
+    slim = stats.select(*keys, *keep, "_M", "_vb0", "_vb1", "_vb2", "_J0", "_J1", "_J2")
+    rows2 = attach(base.drop(*drop), slim, keys, n_stats=n_groups, **join_opts)
     sums = _final_sums(rows2, keys)
     per_group = stats.select(*keys, *carry, "_M", "_J0", "_J1", "_J2")
     return _measures(sums.join(per_group, keys, "inner"), keys, with_unit_j, carry)

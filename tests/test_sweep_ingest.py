@@ -103,3 +103,18 @@ def test_partitioned_sink(spark, small_pairs):
         or one.count() == small_pairs["star"].filter("subhalo_id = 3").count()
     dirs = glob.glob(path.replace("file:", "") + "/subhalo_id=*")
     assert len(dirs) == small_pairs["star"].select("subhalo_id").distinct().count()
+
+
+def test_sweep_join_back_in_subhalo_ranges(small_pairs):
+    # per-group statistics beyond a forced tiny bound: the sweep (packed group key)
+    # joins them back per subhalo-id range, with the range pushed into the pair scan
+    aps = fixed_apertures((5, 20))
+    a = _rows(sweep(small_pairs, aps), ["species", "aperture", "subhalo_id"])
+    res = sweep(small_pairs, aps, broadcast_max_rows=12)
+    plan = res._jdf.queryExecution().executedPlan().toString()
+    assert "Union" in plan and "_salt" not in plan
+    b = _rows(res, ["species", "aperture", "subhalo_id"])
+    assert set(a) == set(b)
+    for k in a:
+        for m in MEASURES:
+            assert b[k][m] == pytest.approx(a[k][m], rel=1e-9, abs=1e-9)
