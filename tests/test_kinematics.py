@@ -210,3 +210,17 @@ def test_noise_angular_momentum_is_zero(spark):
     ], cols)
     for method in ("three_pass", "two_pass"):
         assert set(_by_id(kinematics(rows, method=method))) == {2}
+
+
+def test_scan_prunes_columns_and_pushes_aperture(small_pairs):
+    res = aperture_kinematics(small_pairs["star"], 10, "star")
+    plan = res._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.split("\n") if "FileScan parquet" in line and "rel_px" in line]
+    assert scans
+    for line in scans:
+        schema = line.split("ReadSchema: struct<")[1].split(">")[0]
+        fields = {f.split(":")[0] for f in schema.split(",")}
+        # only the columns the measures need: no positions, cells, ids or catalogue columns
+        assert fields <= {"subhalo_id", "rel_px", "rel_py", "rel_pz", "sq_dist_subhalo2ptl",
+                          "vx", "vy", "vz", "mass"}, fields
+        assert "LessThanOrEqual(sq_dist_subhalo2ptl" in line
