@@ -7,10 +7,12 @@ DuckDB SQL where SQL can express the result.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import oracles, pii, quality, urls
+from ..session import scratch_path
+from . import decontam, minhash, oracles, pii, quality, token_files, urls
 
 #: The rules that op7 judges by.
 URL_RULES = (
@@ -39,6 +41,10 @@ def op2_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("text", 256).alias("text_sha256"), (F.size("pii") > 0).alias("has_pii"))
 
 
+def op5_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
 def listed_urls(pages: DataFrame) -> DataFrame:
     """The list that op7 blocks by: the canonical URL of every page fetched through a campaign link (``utm_source``)."""
     host, path, query = urls.split_url(F.col("url"))
@@ -51,5 +57,19 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_pii_pseudonyms, op7_url_filter)}
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = decontam.mark_passages(docs, table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.token_digests(spark, path)
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_quality_rules, op2_pii_pseudonyms, op5_minhash_near_duplicates, op7_url_filter, op9_decontamination, op10_token_files)}
 ORACLES = {"op7_url_filter": oracles.URL_FILTER}
