@@ -30,3 +30,32 @@ SELECT c.page_id, c.host, c.path, f.rule,
        coalesce(f.says, CASE WHEN l.canonical IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
 FROM canon c LEFT JOIN fits f USING (page_id) LEFT JOIN listed l ON c.canonical = l.canonical
 """
+
+#: Word sequences are compared as text, with the words joined by single spaces.
+LINE_DEDUP = r"""
+WITH docs AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents
+), occ AS (
+  SELECT doc_id, i AS line, lines[i] AS t, array_to_string(list_filter(
+           regexp_split_to_array(lower(lines[i]), '[\x20\x09-\x0D]+'), lambda w: w <> ''), ' ') AS norm
+  FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM docs)
+), firsts AS (
+  SELECT norm, min((doc_id, line)) AS first, string_split(norm, ' ') AS w FROM occ WHERE norm <> '' GROUP BY norm
+), variants AS (
+  SELECT norm, first, -1 AS k, norm AS v FROM firsts WHERE len(w) >= 8
+  UNION ALL
+  SELECT norm, first, k, array_to_string(list_concat(w[1:k - 1], w[k + 1:]), ' ')
+  FROM (SELECT *, unnest(range(1, len(w) + 1)) AS k FROM firsts WHERE len(w) >= 8)
+), near AS (
+  SELECT DISTINCT x.norm FROM variants x JOIN variants y ON x.v = y.v AND y.first < x.first AND (x.k = y.k OR least(x.k, y.k) = -1)
+), judged AS (
+  SELECT o.*, o.norm <> '' AND f.first <> (o.doc_id, o.line) AS exact, n.norm IS NOT NULL AS near
+  FROM occ o LEFT JOIN firsts f ON o.norm = f.norm LEFT JOIN near n ON o.norm = n.norm
+)
+SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_exact, 0)::BIGINT AS n_exact, coalesce(n_near, 0)::BIGINT AS n_near,
+       CASE WHEN d.text IS NOT NULL THEN sha256(coalesce(kept, '')) END AS text_sha256
+FROM docs d LEFT JOIN (
+  SELECT doc_id, count_if(norm <> '') AS n_lines, count_if(coalesce(exact, false)) AS n_exact, count_if(near AND NOT exact) AS n_near,
+         string_agg(t, chr(10) ORDER BY line) FILTER (WHERE NOT coalesce(exact, false) AND NOT near) AS kept
+  FROM judged GROUP BY doc_id
+) USING (doc_id)
+"""

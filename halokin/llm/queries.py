@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontam, minhash, oracles, pii, quality, token_files, urls
+from . import decontam, langid, lines, minhash, oracles, pii, quality, token_files, urls
 
 #: The rules that op7 judges by.
 URL_RULES = (
@@ -41,6 +41,18 @@ def op2_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("text", 256).alias("text_sha256"), (F.size("pii") > 0).alias("has_pii"))
 
 
+def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", langid.held_out("doc_id"))
+    model = langid.train(docs.where("NOT held_out"))
+    out = langid.identify(docs.select("doc_id", "held_out", "text"), model)
+    return out.select("doc_id", "held_out", "lang_pred", "score", F.size("langs").alias("n_langs"))
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_exact", "n_near", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op5_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
 
@@ -71,5 +83,5 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_rules, op2_pii_pseudonyms, op5_minhash_near_duplicates, op7_url_filter, op9_decontamination, op10_token_files)}
-ORACLES = {"op7_url_filter": oracles.URL_FILTER}
+    op1_quality_rules, op2_pii_pseudonyms, op3_language_mixture, op4_line_dedup, op5_minhash_near_duplicates, op7_url_filter, op9_decontamination, op10_token_files)}
+ORACLES = {"op4_line_dedup": oracles.LINE_DEDUP, "op7_url_filter": oracles.URL_FILTER}

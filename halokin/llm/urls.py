@@ -1,8 +1,7 @@
 """URL filter (operator 7): path rules first, then a listed-URL check.
 
-The listed canonical URLs are folded into a blocked Bloom filter: every key sets
-two bits in each of the four 64-bit words of one 256-bit block. The filter has a
-fixed upper size, so it is broadcast; only pages that it lets through ("possible
+The listed canonical URLs are folded into a blocked Bloom filter (``bloom``). The
+filter has a fixed upper size, so it is broadcast; only pages that it lets through ("possible
 hits") reach the exact hash join with the list, which removes false positives.
 A longer list than the filter is sized for only means more possible hits, never a
 wrong verdict. DataFrame functions only.
@@ -23,11 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-
-#: 256-bit blocks of the filter at most; a row has 5 longs, so 2**20 blocks are 40 MB in memory.
-MAX_BLOCKS = 1 << 20
-KEYS_PER_BLOCK = 16
-WORDS = ("w0", "w1", "w2", "w3")
+from . import bloom
 
 
 class UrlRule(NamedTuple):
@@ -70,29 +65,8 @@ def rule_columns(host: Column, path: Column, rules: Iterable[UrlRule]) -> tuple[
     return text, verdict
 
 
-def _block(key: Column, blocks: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(blocks))
-
-
-def _mask(key: Column, word: int) -> Column:
-    """Two bits of a 64-bit word, from 12 bits of a second hash."""
-    h = F.xxhash64(key, F.lit("bits"))
-    lo = F.shiftrightunsigned(h, word * 12).bitwiseAND(F.lit(63)).cast("int")
-    hi = F.shiftrightunsigned(h, word * 12 + 6).bitwiseAND(F.lit(63)).cast("int")
-    one = F.lit(1).cast("long")
-    return F.call_function("shiftleft", one, lo).bitwiseOR(F.call_function("shiftleft", one, hi))
-
-
-def bloom_blocks(listed: DataFrame, key: str, n_listed: int, max_blocks: int = MAX_BLOCKS) -> tuple[DataFrame, int]:
-    """The filter as rows (block, w0..w3), at most ``max_blocks`` of them, and its number of blocks."""
-    blocks = max(1, min(max_blocks, -(-n_listed // KEYS_PER_BLOCK)))
-    k = F.col(key)
-    rows = listed.select(_block(k, blocks).alias("block"), *[_mask(k, i).alias(w) for i, w in enumerate(WORDS)])
-    return rows.groupBy("block").agg(*[F.bit_or(w).alias(w) for w in WORDS]), blocks
-
-
 def filter_urls(pages: DataFrame, listed: DataFrame, rules: Iterable[UrlRule], *, id_col: str = "page_id",
-                url_col: str = "url", max_blocks: int = MAX_BLOCKS) -> DataFrame:
+                url_col: str = "url", max_blocks: int = bloom.MAX_BLOCKS) -> DataFrame:
     """Judge every page.
 
     ``listed`` has one string column ``canonical`` (repeats and nulls are ignored).
@@ -105,15 +79,8 @@ def filter_urls(pages: DataFrame, listed: DataFrame, rules: Iterable[UrlRule], *
                          canonical(F.col("host"), F.col("path"), F.col("query")).alias("canonical"))
 
     keys = materialize(listed.select("canonical").where(F.col("canonical").isNotNull()).distinct(), "url-list")
-    bloom, blocks = bloom_blocks(keys, "canonical", keys.count(), max_blocks)
-    c = F.col("canonical")
-    probed = (judged.withColumn("block", _block(F.coalesce(c, F.lit("")), blocks))
-              .join(F.broadcast(bloom), "block", "left"))
-    hit = c.isNotNull() & F.col("by_rule").isNull()
-    for i, w in enumerate(WORDS):
-        m = _mask(c, i)
-        hit = hit & (F.col(w).bitwiseAND(m) == m)
-    probed = probed.withColumn("possible", F.coalesce(hit, F.lit(False))).drop("block", *WORDS)
+    listing = bloom.Bloom(keys, "canonical", keys.count(), max_blocks)
+    probed = listing.mark(judged, "canonical", "listed").withColumn("possible", F.col("listed") & F.col("by_rule").isNull())
 
     out = [F.col(id_col), "host", "path", "rule"]
     passed = probed.where(~F.col("possible")).select(
