@@ -49,3 +49,15 @@ class Bloom:
     def keep(self, rows: DataFrame, key: str) -> DataFrame:
         """The rows whose key may be in the filter."""
         return self.mark(rows, key, "__maybe").where("__maybe").drop("__maybe")
+
+    def split(self, rows: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+        """(rows whose key may be in the filter, the others)."""
+        marked = self.mark(rows, key, "__maybe")
+        return marked.where("__maybe").drop("__maybe"), marked.where("NOT __maybe").drop("__maybe")
+
+
+def drop_keys(rows: DataFrame, key: str, gone: DataFrame) -> DataFrame:
+    """The rows whose key isn't in the written table ``gone`` (one column, named ``key``). Only rows that the
+    filter lets through are shuffled."""
+    maybe, rest = Bloom(gone, key, gone.count()).split(rows, key)
+    return rest.unionByName(maybe.join(gone, key, "left_anti").select(rest.columns))

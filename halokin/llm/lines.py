@@ -137,12 +137,12 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
                           .groupBy("rid").agg(F.collect_list("line").alias("__gone"), F.count_if("exact").alias("n_exact"),
                                               F.count_if(~F.col("exact")).alias("n_near")), "line-removed")
 
-    marked = Bloom(removed, "rid", removed.count()).mark(rows, "__rid", "__cut")
-    some = marked.where("__cut").join(removed.withColumnRenamed("rid", "__rid"), "__rid", "left")
-    none = marked.where("NOT __cut").withColumns({"__gone": F.lit(None).cast("array<int>"), "n_exact": F.lit(0).cast("long"), "n_near": F.lit(0).cast("long")})
+    some, none = Bloom(removed, "rid", removed.count()).split(rows, "__rid")
+    some = some.join(removed.withColumnRenamed("rid", "__rid"), "__rid", "left")
+    none = none.withColumns({"__gone": F.lit(None).cast("array<int>"), "n_exact": F.lit(0).cast("long"), "n_near": F.lit(0).cast("long")})
     out = some.unionByName(none)
     kept = F.array_join(F.filter(F.split(text_col, "\n"), lambda x, i: ~F.array_contains("__gone", i)), "\n")
     n_lines = F.size(F.filter(F.split(F.coalesce(text_col, F.lit("")), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))).cast("long")
     return out.withColumns({
         "n_lines": n_lines, "n_exact": F.coalesce("n_exact", F.lit(0)), "n_near": F.coalesce("n_near", F.lit(0)),
-        text_col: F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(kept)}).drop("__rid", "__cut", "__gone")
+        text_col: F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(kept)}).drop("__rid", "__gone")

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from . import textbytes as tb
+from .bloom import Bloom
 from .components import components
 
 MISS = 1e-6
@@ -162,7 +163,7 @@ def _sized(percent: int):
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """Per row of ``docs``: id, n_shingles, component_id, kept (the id is its component's smallest).
+    """Per row of ``docs``: id, n_shingles, component_id, kept (the id is its component's smallest), node (hash of id and text).
 
     Links join rows whose shingle sets have 100 * intersection >= percent * union."""
     bands, rows = banding(percent)
@@ -179,9 +180,10 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     ).where(_sized(percent)).select("a", "b").distinct(), "minhash-stars")
 
     # Only members of shared buckets can have to be compared.
-    needed = members.select("node").distinct()
-    texts = (docs.select(F.xxhash64(id_col, text_col).alias("node"), F.col(text_col).alias("text"))
-             .join(needed, "node", "left_semi").dropDuplicates(["node"]))
+    needed = materialize(members.select("node").distinct(), "minhash-needed")
+    texts = Bloom(needed, "node", needed.count()).keep(
+        docs.select(F.xxhash64(id_col, text_col).alias("node"), F.col(text_col).alias("text")), "node")
+    texts = texts.join(needed, "node", "left_semi").dropDuplicates(["node"])
     sets = materialize(_sets(texts, width), "minhash-sets")
     links = materialize(_confirm(stars, sets, percent), "minhash-links")
     labels = components(links)
@@ -195,10 +197,22 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     named = classes.join(labels, "node", "left").select("f1", "f2", "id", F.coalesce("label", "node").alias("label"))
     lowest = named.groupBy("label").agg(F.min("id").alias("component_id"))
     of_class = named.join(lowest, "label").select("f1", "f2", "component_id")
-    empty = sigs.where("n = 0").select("id", "n", F.col("id").alias("component_id"))
-    out = sigs.where("n > 0").select("id", "n", "f1", "f2").join(of_class, ["f1", "f2"]).select("id", "n", "component_id").union(empty)
+    empty = sigs.where("n = 0").select("id", "n", F.col("id").alias("component_id"), "node")
+    out = sigs.where("n > 0").select("id", "n", "f1", "f2", "node").join(of_class, ["f1", "f2"]).select("id", "n", "component_id", "node").union(empty)
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
-                      F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+                      F.col("id").eqNullSafe(F.col("component_id")).alias("kept"), "node")
+
+
+def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each component the document of the smallest id stays, once.
+    Texts are shuffled only where a row may go."""
+    judged = near_duplicates(docs, id_col=id_col, text_col=text_col, width=width, percent=percent)
+    nodes = judged.groupBy("node").agg(F.bool_and("kept").alias("kept"), F.count("*").alias("n"))
+    change = materialize(nodes.where("NOT kept OR n > 1").select(F.col("node").alias("__rid"), "kept"), "minhash-gone")
+    rows = docs.withColumn("__rid", F.xxhash64(id_col, text_col))
+    maybe, rest = Bloom(change, "__rid", change.count()).split(rows, "__rid")
+    stay = maybe.join(change, "__rid", "left").where("coalesce(kept, true)").dropDuplicates(["__rid"])
+    return rest.unionByName(stay.select(rest.columns)).drop("__rid")
 
 
 def _cross_pairs(members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:

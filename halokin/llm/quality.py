@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .bloom import drop_keys
 
 SPACE = r"[\x20\x09-\x0D]+"
 #: Statistics that conditions may test; each is a ratio, so that it means the same for any length of text.
@@ -84,17 +85,17 @@ def _repeat_words(words: Column) -> Column:
         _let(F.sort_array(F.transform(hs, lambda h, i: F.struct(h.alias("h"), i.alias("i")))), repeated))).cast("long")
 
 
-def text_stats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: the id, the five base counts, ``base_failed`` and FEATURES."""
+def text_stats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per input row: the id, the carried columns, the five base counts, ``base_failed`` and FEATURES."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     left = lambda pattern: F.length(F.regexp_replace(F.col("text"), pattern, ""))
-    split = docs.select(F.col(id_col), text.alias("text")).select(
-        id_col, "text",
+    split = docs.select(id_col, *carry, text.alias("text")).select(
+        id_col, *carry, "text",
         F.array_remove(F.split("text", SPACE), "").alias("words"),
         F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
     )
     counts = split.select(
-        id_col,
+        id_col, *carry,
         F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         (F.length("text") - left(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
@@ -107,7 +108,7 @@ def text_stats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     )
     ratio = lambda a, b: F.coalesce(F.try_divide(F.col(a).cast("double"), F.col(b).cast("double")), F.lit(0.0))
     return counts.select(
-        id_col, *BASE,
+        id_col, *carry, *BASE,
         ((F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))).alias("base_failed"),
         ratio("word_chars", "n_words").alias("mean_word_len"), ratio("n_symbols", "word_chars").alias("symbol_ratio"),
         ratio("n_dup_lines", "n_lines").alias("dup_line_ratio"), ratio("n_repeat_words", "n_words").alias("repeat_ratio"),
@@ -204,3 +205,12 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_i
     """Learn from the labelled documents, judge all: id, BASE, base_failed, FEATURES, rule, kept."""
     stats = materialize(text_stats(docs, id_col=id_col, text_col=text_col), "quality-stats")
     return apply_rules(stats, learn_rules(stats, labels, id_col=id_col, **learn))
+
+
+def filter_documents(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **learn) -> DataFrame:
+    """The rows of ``docs`` that the rules keep. Texts are shuffled only where a row goes."""
+    rows = docs.withColumn("__rid", F.xxhash64(id_col, text_col))
+    stats = materialize(text_stats(rows, id_col=id_col, text_col=text_col, carry=("__rid",)), "quality-stats")
+    judged = apply_rules(stats, learn_rules(stats, labels, id_col=id_col, **learn))
+    gone = materialize(judged.where("NOT kept").select("__rid").distinct(), "quality-gone")
+    return drop_keys(rows, "__rid", gone).drop("__rid")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontam, langid, lines, minhash, oracles, pii, quality, token_files, urls
+from . import decontam, langid, lines, lm, minhash, oracles, pieces, pii, quality, token_files, urls
 
 #: The rules that op7 judges by.
 URL_RULES = (
@@ -54,7 +54,13 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85).drop("node")
+
+
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts encoded, decoded again and compared; the ids as a checksum."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
 
 
 def listed_urls(pages: DataFrame) -> DataFrame:
@@ -69,6 +75,10 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_lm_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = decontam.mark_passages(docs, table(spark, sf_dir, "benchmark"))
@@ -83,5 +93,6 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_rules, op2_pii_pseudonyms, op3_language_mixture, op4_line_dedup, op5_minhash_near_duplicates, op7_url_filter, op9_decontamination, op10_token_files)}
+    op1_quality_rules, op2_pii_pseudonyms, op3_language_mixture, op4_line_dedup, op5_minhash_near_duplicates, op6_sentencepiece, op7_url_filter,
+    op8_lm_backoff, op9_decontamination, op10_token_files)}
 ORACLES = {"op4_line_dedup": oracles.LINE_DEDUP, "op7_url_filter": oracles.URL_FILTER}

@@ -30,12 +30,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from . import huffman
+from . import huffman, units
 from . import textbytes as tb
 
 END_ID = 0
-#: Distinct pieces that a worker remembers; beyond it starts anew.
-REMEMBERED = 1_500_000
 
 _OTHER, _LETTER, _NUMBER, _SPACE = range(4)
 #: White space of the pattern: the code points with the Unicode property White_Space.
@@ -102,65 +100,31 @@ def _byte_letters() -> dict[int, int]:
     return {b: b for b in printed} | {b: 256 + k for k, b in enumerate(others)}
 
 
-class Pieces:
-    """Ids of the pieces seen so far: sorted hashes, with a run of ids each."""
+class Pieces(units.UnitIds):
+    """Ids of the pieces that the pattern cuts, by the library's model; of texts with special strings by the whole library."""
 
     def __init__(self, path: str) -> None:
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = _byte_letters()
-        self.forget()
 
-    def forget(self) -> None:
-        self.hash, self.first, self.size, self.ids = (np.zeros(0, t) for t in (np.uint64, np.int64, np.int64, np.uint32))
-
-    def learn(self, hashes: np.ndarray, strings: list[str]) -> None:
-        if len(self.hash) + len(hashes) > REMEMBERED:
-            self.forget()
+    def encode_new(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         tokenise, letters = self.tokenizer.model.tokenize, self.letters
-        found = [tokenise(s.encode(errors="replace").decode("latin-1").translate(letters)) for s in strings]
-        ids = np.array([t.id for tokens in found for t in tokens], np.uint32)
-        size = np.array([len(tokens) for tokens in found], np.int64)
-        first = len(self.ids) + np.cumsum(size) - size
-        self.ids = np.concatenate((self.ids, ids))
-        every = np.concatenate((self.hash, hashes))
-        order = np.argsort(every, kind="stable")
-        self.hash = every[order]
-        self.first, self.size = np.concatenate((self.first, first))[order], np.concatenate((self.size, size))[order]
+        found = [tokenise(s.encode(errors="replace").decode("latin-1").translate(letters)) for s in pieces]
+        return np.array([t.id for tokens in found for t in tokens], np.uint32), np.array([len(tokens) for tokens in found], np.int64)
 
     def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, ids of each)."""
-        raw = data.tobytes()
-        try:
-            text = raw.decode()
-            at = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))[off]
-        except UnicodeDecodeError:
-            parts = [raw[a:b].decode(errors="replace") for a, b in zip(off, off[1:])]
-            text, at = "".join(parts), np.concatenate(([0], np.cumsum([len(p) for p in parts]))).astype(np.int64)
-        chars = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        text, chars, at = units.decoded(data, off)
         start, end = cut(chars, at)
+        ids, size = self.lookup(text, chars, start, end)
         row = np.searchsorted(at, start, "right") - 1
-        distinct, example, inverse = np.unique(tb.span_hashes(chars, start, end), return_index=True, return_inverse=True)
-        missing = np.ones(len(distinct), bool)
-        if len(self.hash):
-            k = np.minimum(np.searchsorted(self.hash, distinct), len(self.hash) - 1)
-            missing = self.hash[k] != distinct
-        if missing.any():
-            if len(self.hash) + int(missing.sum()) > REMEMBERED:
-                self.forget()
-                missing[:] = True
-            new = example[missing]
-            self.learn(distinct[missing], [text[a:b] for a, b in zip(start[new].tolist(), end[new].tolist())])
-        k = np.searchsorted(self.hash, distinct)[inverse]
-        size = self.size[k]
-        ids = self.ids[tb.ranges(self.first[k], size)]
         n = np.bincount(row, size, minlength=len(off) - 1).astype(np.int64)
-        if any(s in text for s in self.special):
-            ids, n = self._whole(text, at, ids, n)
-        return ids, n
+        return self._whole(text, at, ids, n) if any(s in text for s in self.special) else (ids, n)
 
     def _whole(self, text: str, at: np.ndarray, ids: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The same with texts that hold a special string encoded whole."""
