@@ -10,9 +10,12 @@
 3. Candidates are stars: in every bucket the smallest node against each other member.
    They are confirmed on the full sets, and confirmed links give components.
 4. A star can miss a link between two members that both differ from its centre. So in
-   buckets that still span several components, each member outside the largest one is
-   compared with all members of other components. After that every pair that shares a
-   bucket is confirmed, refuted or already connected.
+   buckets that span several components, the member with the most links becomes the centre of
+   another star, ``HUB_ROUNDS`` times. Then each member outside the largest component is held
+   against the members of other components by a bitmap filter: a set's bitmap has the parity
+   of its shingles in each of ``CELLS`` cells, and two bitmaps differ in at most as many cells as the
+   sets differ in shingles. Only pairs that the filter can't rule out become rows. After that
+   every pair that shares a bucket is confirmed, refuted or already connected.
 
 Bands and rows follow from the threshold, so that a pair just at it shares no bucket
 with a probability below ``MISS``; this is the only way to miss a link.
@@ -39,6 +42,9 @@ from .bloom import Bloom
 from .components import components
 
 MISS = 1e-6
+#: Further stars, which only leave less to the last step; cells of the parity bitmap.
+HUB_ROUNDS = 2
+CELLS = 1024
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -99,8 +105,15 @@ def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key
 
 
+def parity_bitmaps(owner: np.ndarray, h: np.ndarray, n: int) -> np.ndarray:
+    """n x CELLS / 64 numbers: the parity of the number of each row's shingles in each cell."""
+    cell = (tb.mix(h ^ np.uint64(0x8EBC6AF09C88C6E3)) % np.uint64(CELLS)).astype(np.int64)
+    odd = (np.bincount(owner * CELLS + cell, minlength=n * CELLS) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64).reshape(n, -1)
+
+
 def _signatures(docs: DataFrame, id_col: str, text_col: str, width: int, bands: int, rows: int) -> DataFrame:
-    """(id, node, n_shingles, f1, f2, bands) of every row; f1 and f2 are a 128-bit fingerprint of the set."""
+    """(id, node, n, f1, f2, bands, bits) of every row; f1 and f2 are a 128-bit fingerprint of the set."""
     some = docs.select(F.col(id_col).alias("id"), F.xxhash64(id_col, text_col).alias("node"), F.col(text_col).alias("text"))
     id_type = some.schema["id"].dataType.simpleString()
 
@@ -116,14 +129,17 @@ def _signatures(docs: DataFrame, id_col: str, text_col: str, width: int, bands:
                 some_ = np.flatnonzero(n)
                 place = np.cumsum(n > 0) - 1
                 keys = band_keys(one_permutation(place[owner], h, len(some_), bands * rows), bands, rows)
-                ends = np.concatenate(([0], np.cumsum(np.where(n > 0, bands, 0))))
+                ends = np.concatenate(([0], np.cumsum(np.where(n > 0, bands, 0)))).astype(np.int32)
+                bits = parity_bitmaps(owner, h, j - i)
+                cells = np.arange(j - i + 1, dtype=np.int32) * bits.shape[1]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id").slice(i, j - i), batch.column("node").slice(i, j - i), pa.array(n.astype(np.int64)),
                      pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)),
-                     pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(keys.reshape(-1).view(np.int64)))],
-                    ["id", "node", "n", "f1", "f2", "bands"])
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.reshape(-1).view(np.int64))),
+                     pa.ListArray.from_arrays(pa.array(cells), pa.array(bits.reshape(-1)))],
+                    ["id", "node", "n", "f1", "f2", "bands", "bits"])
 
-    return some.mapInArrow(run, f"id {id_type}, node long, n long, f1 long, f2 long, bands array<long>")
+    return some.mapInArrow(run, f"id {id_type}, node long, n long, f1 long, f2 long, bands array<long>, bits array<long>")
 
 
 def _sets(texts: DataFrame, width: int) -> DataFrame:
@@ -169,8 +185,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     bands, rows = banding(percent)
     sigs = materialize(_signatures(docs, id_col, text_col, width, bands, rows), "minhash-sigs")
     classes = materialize(sigs.where("n > 0").groupBy("f1", "f2").agg(
-        F.min("id").alias("id"), F.min_by(F.struct("node", "n", "bands"), F.struct("id", "node")).alias("r")
-    ).select("f1", "f2", "id", "r.node", "r.n", "r.bands"), "minhash-classes")
+        F.min("id").alias("id"), F.min_by(F.struct("node", "n", "bands", "bits"), F.struct("id", "node")).alias("r")
+    ).select("f1", "f2", "id", "r.*"), "minhash-classes")
 
     entries = classes.select(F.explode("bands").alias("key"), "node", "n")
     buckets = entries.groupBy("key").agg(F.min(F.struct("node", "n")).alias("hub"), F.count("*").alias("size")).where("size > 1")
@@ -188,11 +204,17 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     links = materialize(_confirm(stars, sets, percent), "minhash-links")
     labels = components(links)
 
-    rest = materialize(_cross_pairs(members.where("size > 2"), labels, percent).join(stars, ["a", "b"], "left_anti"), "minhash-rest")
-    if rest.head(1):
-        more = materialize(_confirm(rest, sets, percent), "minhash-links")
-        if more.head(1):
-            labels = components(links.union(more))
+    wide = members.where("size > 2")
+    for _ in range(HUB_ROUNDS):
+        more = materialize(_confirm(_hub_pairs(wide, labels, links, percent), sets, percent), "minhash-links")
+        if not more.head(1):
+            break
+        links = links.union(more)
+        labels = components(links)
+    rest = materialize(_cross_pairs(wide, labels, classes, percent), "minhash-rest")
+    more = materialize(_confirm(rest.join(stars, ["a", "b"], "left_anti"), sets, percent), "minhash-links")
+    if more.head(1):
+        labels = components(links.union(more))
 
     named = classes.join(labels, "node", "left").select("f1", "f2", "id", F.coalesce("label", "node").alias("label"))
     lowest = named.groupBy("label").agg(F.min("id").alias("component_id"))
@@ -215,14 +237,32 @@ def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     return rest.unionByName(stay.select(rest.columns)).drop("__rid")
 
 
-def _cross_pairs(members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a < b) that share a bucket but no component, one of them outside the bucket's largest component."""
+def _hub_pairs(members: DataFrame, labels: DataFrame, links: DataFrame, percent: int) -> DataFrame:
+    """In every bucket of several components, its member with the most links against the members of other components."""
+    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
+    facts = labels.join(degree, "node", "left")
+    placed = members.select("key", "node", "n").join(facts, "node", "left").select(
+        "key", "node", "n", F.coalesce("label", "node").alias("label"), F.coalesce("degree", F.lit(0)).alias("degree"))
+    hubs = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
+                                     F.max(F.struct("degree", "node", "n", "label")).alias("hub")).where("lo < hi")
+    pairs = placed.join(hubs.select("key", "hub"), "key").where(F.col("label") != F.col("hub.label")).select(
+        F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"), F.col("n").alias("na"), F.col("hub.n").alias("nb"))
+    return pairs.where(_sized(percent)).select("a", "b").distinct()
+
+
+def _cross_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a < b) that share a bucket but no component and pass the bitmap filter, one of them outside the
+    bucket's largest component."""
     placed = members.select("key", "node", "n").join(labels, "node", "left").select(
         "key", "node", "n", F.coalesce("label", "node").alias("label"))
     parts = placed.groupBy("key", "label").agg(F.count("*").alias("c"))
     mixed = parts.groupBy("key").agg(F.count("*").alias("parts"), F.max(F.struct("c", "label")).alias("top")).where("parts > 1")
-    open_ = materialize(placed.join(mixed.select("key", F.col("top.label").alias("main")), "key"), "minhash-open")
-    outside = open_.where("label <> main").select("key", F.col("node").alias("u"), F.col("n").alias("na"), F.col("label").alias("lu"))
-    pairs = outside.join(open_.select("key", F.col("node").alias("v"), F.col("n").alias("nb"), F.col("label").alias("lv")), "key")
-    return pairs.where((F.col("lu") != F.col("lv")) & _sized(percent)).select(
-        F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
+    open_ = placed.join(mixed.select("key", F.col("top.label").alias("main")), "key").join(classes.select("node", "bits"), "node")
+    open_ = materialize(open_, "minhash-open")
+    outside = open_.where("label <> main").select("key", *[F.col(c).alias(c + "1") for c in ("node", "n", "label", "bits")])
+    pairs = outside.join(open_.select("key", *[F.col(c).alias(c + "2") for c in ("node", "n", "label", "bits")]), "key")
+    differ = sum((F.bit_count(F.get("bits1", F.lit(i)).bitwiseXOR(F.get("bits2", F.lit(i)))) for i in range(CELLS // 64)), F.lit(0))
+    both = F.col("n1") + F.col("n2")
+    near = (100 + percent) * differ <= (100 - percent) * both  # the symmetric difference is (1 - t) / (1 + t) of both sizes at most
+    return pairs.where((F.col("label1") != F.col("label2")) & (100 * F.least("n1", "n2") >= percent * F.greatest("n1", "n2")) & near).select(
+        F.least("node1", "node2").alias("a"), F.greatest("node1", "node2").alias("b")).distinct()
