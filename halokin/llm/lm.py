@@ -40,7 +40,7 @@ from . import textbytes as tb
 
 BACKOFF = 0.4
 #: Bytes of text in a chunk, and of text whose n-grams share a part.
-CHUNK = 12_000_000
+CHUNK = 8_000_000
 PART = 8_000_000
 LEAST_PARTS = 64
 
