@@ -64,7 +64,8 @@ def suffixed_name(name: str, suffix: str) -> str:
     return f"{name}_{suffix}"
 
 
-def _suffixed(df: DataFrame, suffix: Optional[str]) -> DataFrame:
+def suffix_measures(df: DataFrame, suffix: Optional[str]) -> DataFrame:
+    """The measure columns renamed with the aperture."""
     if suffix is None:
         return df
     return df.withColumnsRenamed({n: suffixed_name(n, suffix) for n in (*MEASURES, *UNIT_J) if n in df.columns})
@@ -74,7 +75,7 @@ def aperture_kinematics(pairs: DataFrame, aperture: Optional[float] = None, spec
                         h: float = H_CATALOG, suffix: Optional[str] = None, **opts) -> DataFrame:
     """Kinematics of every subhalo inside a fixed aperture (kpc)."""
     rows = species_mass(fixed_aperture(pairs, aperture, h), species, h)
-    return _suffixed(kinematics(rows, ("subhalo_id",), **opts), suffix)
+    return suffix_measures(kinematics(rows, ("subhalo_id",), **opts), suffix)
 
 
 def column_kinematics(pairs: DataFrame, column: str = "StarHalfRad", species: str = "star", *,
@@ -82,4 +83,4 @@ def column_kinematics(pairs: DataFrame, column: str = "StarHalfRad", species: st
                       **opts) -> DataFrame:
     """Kinematics inside ``scale`` times a per-subhalo radius column."""
     rows = scaled_aperture(species_mass(pairs, species, h), column, scale, h)
-    return _suffixed(kinematics(rows, ("subhalo_id",), **opts), suffix)
+    return suffix_measures(kinematics(rows, ("subhalo_id",), **opts), suffix)

@@ -19,6 +19,11 @@ Input rows: group keys, ``rel_px..pz`` (x, displacement from the centre),
 Only groups with at least one valid row are returned (a group whose J is zero
 has none). Divisions by zero give NULL (``try_divide``), never an error.
 
+``j_tolerance`` (default 0: off): a group with 0 < |J| <= j_tolerance * sum m|x||u|
+has a J that is only the rounding residue of cancelling terms, and its axis is
+arbitrary. With a tolerance such a group stays, with its energies and Cartesian
+variances, and its rotation measures are NULL.
+
 Execution: no windows. Each pass is a grouped aggregation with partial
 (map-side) aggregation, so a group holding a third of all rows is reduced
 locally in every task before the shuffle. The small per-group tables are
@@ -32,8 +37,11 @@ count allows, salted shuffle otherwise; see ``joinback``).
   J = sum m (x cross v) - (sum m x) cross vbar in pass 1, saving one scan.
 
 V is only known at the end of the last pass, so the two no-rotation variances
-are expanded exactly: sum m (a - V b)^2 = sum m a^2 - 2V sum m a b + V^2 sum m b^2,
-each sum over the rows where the original term is defined.
+are expanded about an estimate V0 = |J| / sum m|x| from the pass before:
+sum m (a - V b)^2 = sum m c^2 - 2 (V - V0) sum m c b + (V - V0)^2 sum m b^2 with
+c = a - V0 b, each sum over the rows where the original term is defined. For a
+cold disc V0 is V up to rounding, so nothing cancels; a sum of squares that
+rounding leaves below zero is zero.
 """
 
 from __future__ import annotations
@@ -48,11 +56,6 @@ from ..schemas import MEASURES, UNIT_J
 from ..session import materialize
 from .joinback import DEFAULT_BROADCAST_MAX_ROWS, DEFAULT_SALT_BUCKETS, attach
 
-# |J| at or below this fraction of sum m |x| |u| (the size its terms cancel from)
-# is rounding noise: the group has no rotation axis and, like a group with J = 0
-# exactly, no valid row.
-J_ZERO_TOLERANCE = 1e-8
-
 X = ("rel_px", "rel_py", "rel_pz")
 V = ("vx", "vy", "vz")
 D2 = "sq_dist_subhalo2ptl"
@@ -71,7 +74,7 @@ def kinematic_input(rows: DataFrame, keys: Sequence[str], carry: Sequence[str] =
 
 
 def _mean_velocity(base: DataFrame, keys: Sequence[str], two_pass: bool,
-                   carry: Sequence[str] = ()) -> DataFrame:
+                   carry: Sequence[str] = (), j_tolerance: float = 0.0) -> DataFrame:
     m = F.col("mass")
     x, v = _vec(X), _vec(V)
     aggs = [F.max(c).alias(c) for c in carry]
@@ -79,7 +82,7 @@ def _mean_velocity(base: DataFrame, keys: Sequence[str], two_pass: bool,
     if two_pass:
         aggs += [F.sum(m * c).alias(f"_mx{i}") for i, c in enumerate(x)]
         aggs += [F.sum(m * c).alias(f"_mxv{i}") for i, c in enumerate(cross(x, v))]
-        aggs += [F.sum(m * norm(x) * norm(v)).alias("_JS")]
+        aggs += [F.sum(m * norm(x) * norm(v)).alias("_JS"), F.sum(m * norm(x)).alias("_mr")]
     s = base.groupBy(*keys).agg(*aggs)
     vbar = [safe_div(F.col(f"_mv{i}"), F.col("_M")).alias(f"_vb{i}") for i in range(3)]
     cols = [*keys, *carry, "_M", *vbar]
@@ -88,26 +91,28 @@ def _mean_velocity(base: DataFrame, keys: Sequence[str], two_pass: bool,
         vb = tuple(safe_div(F.col(f"_mv{i}"), F.col("_M")) for i in range(3))
         jv = sub(_vec(["_mxv0", "_mxv1", "_mxv2"]), cross(mx, vb))
         scale_ = F.col("_JS") + norm(mx) * norm(vb)
-        cols += [c.alias(f"_J{i}") for i, c in enumerate(_drop_noise(jv, scale_))]
+        cols += _axis(jv, scale_, j_tolerance)
     return s.select(*cols)
 
 
-def _drop_noise(J, scale_: Column):
-    """J, or exactly zero when |J| <= J_ZERO_TOLERANCE * scale_."""
-    keep = norm(J) > F.lit(J_ZERO_TOLERANCE) * scale_
-    return tuple(F.when(keep, c).otherwise(F.lit(0.0)) for c in J)
+def _axis(J, scale_: Column, j_tolerance: float) -> list[Column]:
+    """J (zero where it is noise by ``j_tolerance``), whether it is noise, and the estimate V0."""
+    noise = F.coalesce((norm(J) <= F.lit(float(j_tolerance)) * scale_) & (scale_ > 0), F.lit(False)) if j_tolerance else F.lit(False)
+    kept = tuple(F.when(noise, F.lit(0.0)).otherwise(c) for c in J)
+    v0 = F.coalesce(safe_div(norm(J), F.col("_mr")), F.lit(0.0))
+    return [*[c.alias(f"_J{i}") for i, c in enumerate(kept)], noise.alias("_noise"), v0.alias("_V0")]
 
 
-def _angular_momentum(rows1: DataFrame, s1: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _angular_momentum(rows1: DataFrame, s1: DataFrame, keys: Sequence[str], j_tolerance: float) -> DataFrame:
     """J per group, grouped by the keys alone; the pass-1 values are joined on
     afterwards (a join of two per-group tables)."""
     m = F.col("mass")
     u = sub(_vec(V), _vec(["_vb0", "_vb1", "_vb2"]))
     j = scale(cross(_vec(X), u), m)
     jsum = rows1.groupBy(*keys).agg(*[F.sum(c).alias(f"_Jraw{i}") for i, c in enumerate(j)],
-                                    F.sum(m * norm(_vec(X)) * norm(u)).alias("_JS"))
-    J = _drop_noise(_vec(["_Jraw0", "_Jraw1", "_Jraw2"]), F.col("_JS"))
-    jsum = jsum.select(*keys, *[c.alias(f"_J{i}") for i, c in enumerate(J)])
+                                    F.sum(m * norm(_vec(X)) * norm(u)).alias("_JS"),
+                                    F.sum(m * norm(_vec(X))).alias("_mr"))
+    jsum = jsum.select(*keys, *_axis(_vec(["_Jraw0", "_Jraw1", "_Jraw2"]), F.col("_JS"), j_tolerance))
     return s1.join(jsum, list(keys), "inner")
 
 
@@ -135,7 +140,7 @@ def _final_sums(rows2: DataFrame, keys: Sequence[str]) -> DataFrame:
         "_px": phi[0], "_py": phi[1], "_pz": phi[2],
         "_rx": r_hat[0], "_ry": r_hat[1], "_rz": r_hat[2],
     }
-    r = rows2.select(*keys, "mass", *[c.alias(n) for n, c in cols.items()])
+    r = rows2.select(*keys, "mass", "_V0", *[c.alias(n) for n, c in cols.items()])
 
     valid = F.col("_valid")
     uu = _vec(["_ux", "_uy", "_uz"])
@@ -160,12 +165,14 @@ def _final_sums(rows2: DataFrame, keys: Sequence[str]) -> DataFrame:
         "_Sr": when_ok(sq(u_r) * m),
         "_St": when_ok(sq(u_theta) * m),
         "_Sp": when_ok(sq(u_phi) * m),
-        "_Ap": when_ok(m * u_phi, phi_ok),
+        "_Np": when_ok(m * sq(u_phi - F.col("_V0")), phi_ok),
+        "_Ap": when_ok(m * (u_phi - F.col("_V0")), phi_ok),
         "_Bp": when_ok(m, phi_ok),
     }
     for i, (uk, pk) in enumerate(zip(uu, ph)):
         ok = valid & uk.isNotNull() & pk.isNotNull() & m.isNotNull()
-        terms.update({f"_E{i}": when_ok(m * sq(uk), ok), f"_C{i}": when_ok(m * uk * pk, ok),
+        ck = uk - F.col("_V0") * pk
+        terms.update({f"_E{i}": when_ok(m * sq(ck), ok), f"_C{i}": when_ok(m * ck * pk, ok),
                       f"_D{i}": when_ok(m * sq(pk), ok)})
     t = r.select(*keys, "_valid", *[c.alias(n) for n, c in terms.items()])
     aggs = [F.count_if(F.col("_valid")).alias("_nvalid")]
@@ -178,28 +185,34 @@ def _measures(s: DataFrame, keys: Sequence[str], with_unit_j: bool, carry: Seque
     vrot = safe_div(F.col("_SmV"), M)
     sx, sy, sz = (safe_div(F.col(f"_S{i}"), M) for i in range(3))
     sr, st, sp = (safe_div(F.col(n), W) for n in ("_Sr", "_St", "_Sp"))
-    sp_nr = safe_div(F.col("_Sp") - F.lit(2.0) * vrot * F.col("_Ap") + vrot * vrot * F.col("_Bp"), W)
-    sk_nr = [safe_div(F.col(f"_E{i}") - F.lit(2.0) * vrot * F.col(f"_C{i}")
-                      + vrot * vrot * F.col(f"_D{i}"), W) for i in range(3)]
+    dv = vrot - F.col("_V0")
+
+    def squares(cc: str, cb: str, bb: str) -> Column:
+        total = F.col(cc) - F.lit(2.0) * dv * F.col(cb) + dv * dv * F.col(bb)
+        return F.when(total < 0, F.lit(0.0)).otherwise(total)
+
+    sp_nr = safe_div(squares("_Np", "_Ap", "_Bp"), W)
+    sk_nr = [safe_div(squares(f"_E{i}", f"_C{i}", f"_D{i}"), W) for i in range(3)]
     values = [F.col("_Ktot"), sx, sy, sz, sx + sy + sz, F.col("_Krot"), vrot, sr, st, sp,
               sp_nr, sr + sp_nr + st, *sk_nr]
     out = [*keys, *carry, *[c.alias(n) for n, c in zip(MEASURES, values)]]
     if with_unit_j:
         J = _vec(["_J0", "_J1", "_J2"])
         out += [c.alias(n) for n, c in zip(UNIT_J, divide(J, norm(J)))]
-    return s.filter(F.col("_nvalid") > 0).select(*out)
+    return s.filter((F.col("_nvalid") > 0) | F.col("_noise")).select(*out)
 
 
 def kinematics(rows: DataFrame, keys: Sequence[str] = ("subhalo_id",), *,
                method: str = "three_pass", with_unit_j: bool = False,
-               carry: Sequence[str] = (),
+               carry: Sequence[str] = (), j_tolerance: float = 0.0, mean_velocity: DataFrame | None = None,
                broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
                salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
     """Per-group kinematics; one output row per group with a valid row.
 
     ``rows`` are already restricted to the aperture and carry ``mass``.
     ``carry`` names columns that are constant within a group (returned with the
-    result, never used as grouping keys). A single integer key is the cheapest.
+    result, never used as grouping keys). ``mean_velocity`` may give the first
+    pass's result: keys, carry, ``_M`` and ``_vb0`` to ``_vb2``.
     """
     keys = list(keys)
     carry = list(carry)
@@ -208,22 +221,23 @@ def kinematics(rows: DataFrame, keys: Sequence[str] = ("subhalo_id",), *,
                      salt_buckets=salt_buckets)
     # a carried subhalo id stays on the rows: it is the range column of the
     # chunked join-back tier (pair tables are sorted by it)
-    keep = [c for c in carry if c == "subhalo_id"]
+    keep = [c for c in carry if c == "subhalo_id"]  # if it is no key itself
     drop = [c for c in carry if c not in keep]
     if method == "three_pass":
-        s1 = materialize(_mean_velocity(base, keys, False, carry), "kin-vbar")
+        s1 = _mean_velocity(base, keys, False, carry) if mean_velocity is None else mean_velocity
+        s1 = materialize(s1, "kin-vbar")
         n_groups = s1.count()  # exact size of every per-group table below
         rows1 = attach(base.drop(*drop), s1.drop(*drop), keys, n_stats=n_groups, **join_opts)
-        stats = materialize(_angular_momentum(rows1, s1, keys), "kin-J")
+        stats = materialize(_angular_momentum(rows1, s1, keys, j_tolerance), "kin-J")
     elif method == "two_pass":
-        stats = materialize(_mean_velocity(base, keys, True, carry), "kin-J")
+        stats = materialize(_mean_velocity(base, keys, True, carry, j_tolerance), "kin-J")
         n_groups = stats.count()
     else:
         raise ValueError(f"unknown method {method!r}")
-    slim = stats.select(*keys, *keep, "_M", "_vb0", "_vb1", "_vb2", "_J0", "_J1", "_J2")
+    slim = stats.select(*keys, *keep, "_M", "_vb0", "_vb1", "_vb2", "_J0", "_J1", "_J2", "_V0")
     rows2 = attach(base.drop(*drop), slim, keys, n_stats=n_groups, **join_opts)
     sums = _final_sums(rows2, keys)
-    per_group = stats.select(*keys, *carry, "_M", "_J0", "_J1", "_J2")
+    per_group = stats.select(*keys, *carry, "_M", "_J0", "_J1", "_J2", "_noise", "_V0")
     return _measures(sums.join(per_group, keys, "inner"), keys, with_unit_j, carry)
 
 

@@ -150,7 +150,8 @@ def neighbour_join(particles: DataFrame, subhalos: DataFrame, *,
         else:
             regs = materialize(regs, "registrations")
             chunks = slab_chunks(regs, broadcast_max_rows, max_chunks)
-            strategy = "chunked" if chunks is not None else "shuffle"
+            # without registrations there is nothing to cut: an empty broadcast join
+            strategy = "shuffle" if chunks is None else "chunked" if chunks else "broadcast"
 
     if strategy == "broadcast":
         joined = parts.join(F.broadcast(regs), keys, "inner")

@@ -49,12 +49,6 @@ def summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     return wide.select(F.explode(rows).alias("s")).select("s.*")
 
 
-def bin_edges(bins: int = HIST_BINS, lo: float = HIST_RANGE[0], hi: float = HIST_RANGE[1]) -> list[float]:
-    """Edges of ``bins`` equal bins, computed as ``lo + i*step`` with the last edge exactly ``hi``."""
-    step = (hi - lo) / bins
-    return [lo + i * step for i in range(bins)] + [hi]
-
-
 def bin_index(value: Column, bins: int = HIST_BINS, lo: float = HIST_RANGE[0],
               hi: float = HIST_RANGE[1]) -> Column:
     """Bin of ``value`` for equal bins on [lo, hi]: left-closed, the last bin closed.

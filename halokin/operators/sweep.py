@@ -4,23 +4,25 @@ Instead of one job per (aperture, species) — 20 jobs that each rescan the pair
 tables — every pair row is tagged with the apertures that contain it
 (``explode(filter(array_of_apertures, contains))``), the species tables are
 unioned, and the kinematics group by ``(species, aperture, subhalo_id)``.
-Apertures are nested, so a pair emits at most one row per aperture.
+Apertures are nested, so a pair emits at most one row per aperture, and the
+first pass (mass, mean velocity) needs no such rows: see ``shell_mean_velocity``.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import product
 from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import FIXED_APERTURES, H_CATALOG, HALF_RADIUS_SCALES, H_JOIN, join_radius
+from ..functions.vectors import safe_div
 from .apertures import scaled_radius, species_mass
 from .kinematics import D2, V, X, kinematics
 
-ID_COLUMNS = ("species_id", "aperture_id", "subhalo_id", "aperture_radius")
-_SUBHALO_OFFSET = 2 ** 31  # int subhalo ids -> [0, 2^32)
+KEYS = ("species_id", "aperture_id", "subhalo_id")
 
 
 @dataclass(frozen=True)
@@ -68,6 +70,39 @@ def aperture_rows(pairs: DataFrame, species_id: int, apertures: Sequence[Apertur
                        "subhalo_id", F.col("_ap.radius").alias("aperture_radius"), *X, D2, *V, "mass")
 
 
+def shell_mean_velocity(pairs_by_species: Mapping[str, DataFrame], apertures: Sequence[Aperture], h: float) -> DataFrame:
+    """The sweep's first pass without exploding rows: KEYS, aperture_radius, mass and mean velocity.
+
+    Fixed apertures nest, and so do the multiples of one column. Every row gets
+    the number of the smallest aperture of the family that holds it (its shell);
+    mass and momentum are summed per subhalo and shell, and only this small table
+    is spread over the apertures and added up."""
+    families: dict[str | None, list[int]] = {}
+    for i, a in enumerate(apertures):
+        families.setdefault(a.column if a.radius_kpc is None else None, []).append(i)
+    sums = [f"_s{k}" for k in range(4)]
+    total = None
+    for (column, ids), (number, (sp, pairs)) in product(families.items(), enumerate(pairs_by_species.items())):
+        ids = sorted(ids, key=lambda i: apertures[i].scale if column else apertures[i].radius_kpc)
+        shell = F.lit(None).cast("int")
+        for k, i in reversed(list(enumerate(ids))):
+            radius = apertures[i].radius(h)
+            shell = F.when(F.col(D2) <= radius * radius, F.lit(k)).otherwise(shell)
+        extra = [column] if column else []
+        m = F.col("mass").cast("double")
+        terms = [m, *[m * F.col(v).cast("double") for v in V]]
+        rows = species_mass(pairs, sp, h).select("subhalo_id", *extra, shell.alias("shell"), *[t.alias(n) for n, t in zip(sums, terms)])
+        shells = rows.where("shell IS NOT NULL").groupBy("subhalo_id", *extra, "shell").agg(*[F.sum(n).alias(n) for n in sums])
+        each = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(i).alias("aperture_id"), apertures[i].radius(h).alias("radius"))
+                                   for k, i in enumerate(ids)])).alias("a")
+        held = shells.select("subhalo_id", "shell", *sums, each).where(F.col("shell") <= F.col("a.k"))
+        part = held.groupBy(F.lit(number).alias("species_id"), F.col("a.aperture_id").alias("aperture_id"), "subhalo_id").agg(
+            F.max("a.radius").alias("aperture_radius"), *[F.sum(n).alias(n) for n in sums])
+        total = part if total is None else total.unionByName(part)
+    vbar = [safe_div(F.col(f"_s{i + 1}"), F.col("_s0")).alias(f"_vb{i}") for i in range(3)]
+    return total.select(*KEYS, "aperture_radius", F.col("_s0").alias("_M"), *vbar)
+
+
 def sweep(pairs_by_species: Mapping[str, DataFrame], apertures: Sequence[Aperture], *,
           h: float = H_CATALOG, join_h: float = H_JOIN, **opts) -> DataFrame:
     """Kinematics for every (species, aperture, subhalo) in one job.
@@ -77,21 +112,16 @@ def sweep(pairs_by_species: Mapping[str, DataFrame], apertures: Sequence[Apertur
     silently sees only the join sphere.
     """
     species = list(pairs_by_species)
-    if len(apertures) > 64:
-        raise ValueError("at most 64 apertures per sweep (6 bits of the group id)")
     parts = [aperture_rows(df, i, apertures, sp, h) for i, (sp, df) in enumerate(pairs_by_species.items())]
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
-    # one long group key: (species, aperture) in the high bits, the subhalo id in
-    # the low 32 bits -- exact (no hashing), and cheaper to group and join on
-    # than four columns; the id columns travel as per-group constants
-    gid = ((F.col("species_id") * 64 + F.col("aperture_id")).cast("long") * F.lit(2 ** 32)
-           + F.col("subhalo_id").cast("long") + F.lit(_SUBHALO_OFFSET))
-    res = kinematics(rows.withColumn("_gid", gid), ("_gid",), carry=ID_COLUMNS, with_unit_j=True, **opts)
+    if opts.get("method", "three_pass") == "three_pass":
+        opts["mean_velocity"] = shell_mean_velocity(pairs_by_species, apertures, h)
+    res = kinematics(rows, KEYS, carry=("aperture_radius",), with_unit_j=True, **opts)
     species_label = F.element_at(F.array(*[F.lit(sp) for sp in species]), F.col("species_id") + 1)
     aperture_label = F.element_at(F.array(*[F.lit(a.label) for a in apertures]), F.col("aperture_id") + 1)
     out = [species_label.alias("species"), aperture_label.alias("aperture"), "subhalo_id", "aperture_radius",
-           *[c for c in res.columns if c not in ID_COLUMNS and c != "_gid"],
+           *[c for c in res.columns if c not in (*KEYS, "aperture_radius")],
            (F.col("aperture_radius") > F.lit(join_radius(join_h))).alias("aperture_truncated")]
     return res.select(*out)

@@ -8,15 +8,16 @@ job; (3) the catalogues are written by DataFrame writers.
 
 from __future__ import annotations
 
-import os
 from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..constants import FIXED_APERTURES, HALF_RADIUS_SCALES, H_CATALOG
-from ..operators.catalog import catalog_2d, catalog_3d
+from ..constants import FIXED_APERTURES, HALF_RADIUS_SCALES, H_CATALOG, H_JOIN, NOTEBOOK_APERTURES
+from ..operators.apertures import suffix_measures
+from ..operators.catalog import catalog_2d, catalog_3d, enrich, mass_cut
 from ..operators.neighbors import neighbour_join
 from ..operators.sweep import fixed_apertures, scaled_apertures, sweep
+from ..schemas import MEASURES
 from ..session import scratch_path
 from ..sources import fixtures as fx
 from ..sources import sinks
@@ -24,23 +25,49 @@ from ..sources import sinks
 _CACHE: dict[tuple, str] = {}
 
 
-def _cached_table(spark: SparkSession, key: tuple, tag: str, build) -> DataFrame:
-    full_key = (spark.sparkContext.applicationId, *key)
+def _source_state(spark: SparkSession, sf_dir: str, tables: Sequence[str]) -> tuple:
+    """(path, size, modification time) of the files of the source tables: the
+    stored copies of a session are only used while these stay the same."""
+    out = []
+    for t in tables:
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+                 .load(f"{sf_dir}/{t}.parquet").select("path", "length", "modificationTime"))
+        out += [tuple(r) for r in files.collect()]
+    return tuple(sorted(out))
+
+
+def _cached_table(spark: SparkSession, sf_dir: str, key: tuple, tag: str, build) -> DataFrame:
+    full_key = (spark.sparkContext.applicationId, sf_dir, _source_state(spark, sf_dir, ("supplier", "lineitem")), *key)
     path = _CACHE.get(full_key)
     if path is None:
         path = scratch_path(spark, tag)
-        build().write.mode("overwrite").parquet(path)
+        build(path)
         _CACHE[full_key] = path
     return spark.read.parquet(path)
 
 
+def forget_tables() -> None:
+    """Drop the session's memory of stored snapshots and pair tables (after ``remove_scratch``)."""
+    _CACHE.clear()
+
+
+def write_snapshot(particles: DataFrame, path: str, n_files: int | None = None) -> str:
+    """Particles as Parquet clustered by x: range-partitioned on ``px`` and sorted
+    within files, so that the slab chunks of the neighbour join read their own
+    files and row groups only."""
+    n = n_files or particles.sparkSession.sparkContext.defaultParallelism
+    (particles.repartitionByRange(n, "px").sortWithinPartitions("px")
+     .write.mode("overwrite").parquet(path))
+    return path
+
+
 def snapshot_particles(spark: SparkSession, sf_dir: str, species: str, n_files: int | None = None) -> DataFrame:
     """The particle snapshot as stored Parquet (the ingest job's output), written
-    once per session in ``n_files`` files (default: the session parallelism) so
-    that later jobs scan it in parallel."""
+    once per session and state of the source tables, clustered by x in ``n_files``
+    files (default: the session parallelism)."""
     n = n_files or spark.sparkContext.defaultParallelism
-    return _cached_table(spark, ("snapshot", os.path.abspath(sf_dir), species, n), f"snapshot-{species}",
-                         lambda: fx.particles(spark, sf_dir, species).repartition(n))
+    return _cached_table(spark, sf_dir, ("snapshot", species, n), f"snapshot-{species}",
+                         lambda path: write_snapshot(fx.particles(spark, sf_dir, species), path, n))
 
 
 def write_pair_table(pairs: DataFrame, path: str) -> str:
@@ -59,9 +86,9 @@ def pair_table(spark: SparkSession, sf_dir: str, species: str) -> DataFrame:
     a subhalo-id range skips the other row groups.
     """
     return _cached_table(
-        spark, ("pairs", os.path.abspath(sf_dir), species), f"pairs-{species}",
-        lambda: neighbour_join(snapshot_particles(spark, sf_dir, species), fx.subhalo_catalog(spark, sf_dir))
-        .sortWithinPartitions("subhalo_id"))
+        spark, sf_dir, ("pairs", species), f"pairs-{species}",
+        lambda path: write_pair_table(
+            neighbour_join(snapshot_particles(spark, sf_dir, species), fx.subhalo_catalog(spark, sf_dir)), path))
 
 
 def pair_tables(spark: SparkSession, sf_dir: str, species: Sequence[str] = ("star", "dm")) -> dict[str, DataFrame]:
@@ -91,3 +118,26 @@ def catalog_job(pairs_by_species: Mapping[str, DataFrame], out_root: str, **opts
     spark = next(iter(pairs_by_species.values())).sparkSession
     paths = export_catalogs(spark.read.parquet(tidy), out_root)
     return {"kinematics": tidy, **paths}
+
+
+def partitioned_pairs_job(particles: DataFrame, catalog: DataFrame, radii: DataFrame, out: str, *, h: float = H_JOIN,
+                          buckets: int | None = None) -> str:
+    """The older pipeline: mass cut, neighbour join, radii joined on by subhalo, pairs partitioned by subhalo.
+
+    ``catalog`` has StarHalfMass, ``radii`` (subhalo_id, StarHalfRad)."""
+    heavy = mass_cut(catalog, h=h).drop("StarHalfRad")
+    pairs = enrich(neighbour_join(particles, heavy, h=h), radii, "subhalo_id", ["StarHalfRad"])
+    return sinks.write_partitioned(pairs, out, "subhalo_id", buckets=buckets)
+
+
+def notebook_exports(star_pairs: DataFrame, out_root: str, *, h: float = H_JOIN, **opts) -> dict[str, str]:
+    """The notebook's seven text files of star kinematics, from one sweep: per aperture (label -> path) a
+    space-separated table sorted by subhalo, its measures named with the aperture."""
+    tidy = sinks.write_parquet(full_sweep({"star": star_pairs}, NOTEBOOK_APERTURES, (1,), h=h, **opts), f"{out_root}/kinematics")
+    result = star_pairs.sparkSession.read.parquet(tidy)
+    paths = {}
+    for aperture in [f"{r:g}" for r in NOTEBOOK_APERTURES] + ["1Rh"]:
+        label = "StarHalfRad" if aperture == "1Rh" else aperture
+        rows = result.where(result["aperture"] == aperture).select("subhalo_id", *MEASURES)
+        paths[label] = sinks.write_text(suffix_measures(rows, label), f"{out_root}/vdisp{label}")
+    return paths

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..constants import GRID_CELLS, H_CATALOG, H_JOIN, dm_particle_mass
+from ..constants import GRID_CELLS, H_CATALOG, H_JOIN, NOTEBOOK_APERTURES, dm_particle_mass
 from ..functions import grid
 from ..functions.vectors import cross, dot, norm, scale, unit, vec
 from ..operators import apertures as ap
@@ -25,7 +25,7 @@ from ..sources import ingest, sinks
 from ..streaming.batched_ingest import ingest_in_batches
 from . import jobs
 from . import oracle as O
-from .registry import quantize, register, rounded
+from .registry import NOISE, quantize, register, rounded
 
 H = H_CATALOG
 MDM = dm_particle_mass(H)
@@ -82,6 +82,63 @@ def ingest_batched(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(_batches(spark, d, "dm") + "/batch_*")
 
 
+def _other_layouts(spark: SparkSession, d: str) -> str:
+    """Star CSV files in three layouts: as given, reversed, and with an extra column amid the others."""
+    raw = scratch_path(spark, "raw-mixed")
+    p = fx.star_particles(spark, d)
+    names = {dst: src for src, dst in ingest.SPECIES_LAYOUT["star"][0].items()}
+    cols = [F.col(c).alias(names[c]) for c in p.columns]
+    layouts = (cols, cols[::-1], [*cols[:3], F.lit("x").alias("note"), *cols[3:]])
+    for k, layout in enumerate(layouts):
+        p.where(F.pmod("id", F.lit(3)) == k).select(*layout).write.option("header", True).csv(f"{raw}/cell={k}")
+    return raw
+
+
+@register("ingest_mixed_headers", O.particles_sql("star"))
+def ingest_mixed_headers(spark: SparkSession, d: str) -> DataFrame:
+    """Files with different column orders and an extra column: each maps by its own header."""
+    return ingest.ingest_csv(spark, f"{_other_layouts(spark, d)}/*/*.csv", scratch_path(spark, "star-mixed"), "star")
+
+
+@register("ingest_batched_mixed", O.particles_sql("star"))
+def ingest_batched_mixed(spark: SparkSession, d: str) -> DataFrame:
+    out = scratch_path(spark, "star-mixed-batches")
+    ingest_in_batches(spark, _other_layouts(spark, d), out, "star", files_per_batch=2)
+    return spark.read.parquet(out + "/batch_*")
+
+
+def _put_file(spark: SparkSession, df: DataFrame, path: str) -> None:
+    """One CSV file at exactly ``path``."""
+    folder = scratch_path(spark, "one-file")
+    df.coalesce(1).write.option("header", True).csv(folder)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    to = hadoop.Path(path)
+    fs = to.getFileSystem(spark._jsc.hadoopConfiguration())
+    part = fs.globStatus(hadoop.Path(f"{folder}/part-*"))[0].getPath()
+    fs.mkdirs(to.getParent())
+    fs.delete(to, False)
+    fs.rename(part, to)
+
+
+@register("ingest_batched_retry", O.particles_sql("dm"))
+def ingest_batched_retry(spark: SparkSession, d: str) -> DataFrame:
+    """A file without a needed column fails alone; mended, the next run of the same job takes it up."""
+    p = fx.dm_particles(spark, d).withColumn("cell", _cells())
+    raw, out, ckpt = (scratch_path(spark, t) for t in ("raw-retry", "retry-batches", "retry-checkpoint"))
+    names = {dst: src for src, dst in ingest.SPECIES_LAYOUT["dm"][0].items()}
+    csv = lambda df: df.select(*[F.col(c).alias(names[c]) for c in names])
+    for cell in range(10):
+        rows = csv(p.where(F.col("cell") == cell))
+        _put_file(spark, rows.withColumnRenamed("px", "lost") if cell == 3 else rows, f"{raw}/cell_{cell}.csv")
+    run = lambda: ingest_in_batches(spark, raw, out, "dm", files_per_batch=4, checkpoint=ckpt)
+    failed = run().where("status = 'failed'").select("files").collect()
+    if len(failed) != 1 or not failed[0]["files"][0].endswith("cell_3.csv"):
+        raise AssertionError(f"expected one failed file, got {failed}")
+    _put_file(spark, csv(p.where("cell = 3")), f"{raw}/cell_3.csv")
+    run()
+    return spark.read.parquet(out + "/batch_*")
+
+
 @register("scan_batches", O.particles_sql("star"))
 def scan_batches(spark: SparkSession, d: str) -> DataFrame:
     """Union of all batch directories by one glob scan."""
@@ -114,21 +171,60 @@ _EXPORT_SCHEMA = T.StructType([T.StructField("subhalo_id", T.IntegerType())] +
 @register("export_txt", O.kin_fixed_sql("star", 30, H))
 def export_txt(spark: SparkSession, d: str) -> DataFrame:
     """Kinematics written as space-separated text sorted by subhalo, re-read."""
-    res = ap.aperture_kinematics(jobs.pair_table(spark, d, "star"), 30, "star", h=H)
+    res = ap.aperture_kinematics(jobs.pair_table(spark, d, "star"), 30, "star", h=H, **NOISE)
     path = sinks.write_text(res, scratch_path(spark, "kin30-txt"))
     back = spark.read.schema(_EXPORT_SCHEMA).option("header", True).option("sep", " ").csv(path)
     return rounded(back)
 
 
+def _catalog_back(spark: SparkSession, d: str, which: str, mapping) -> DataFrame:
+    """The catalogue job on both species, its CSV of one kind read back."""
+    paths = jobs.catalog_job(jobs.pair_tables(spark, d), scratch_path(spark, "catalogs"), **NOISE)
+    schema = T.StructType([T.StructField("subhalo_id", T.IntegerType())] +
+                          [T.StructField(dst, T.DoubleType()) for _, dst in mapping] +
+                          [T.StructField("species", T.StringType()), T.StructField("aperture", T.StringType())])
+    return rounded(spark.read.schema(schema).option("header", True).csv(paths[which]))
+
+
 @register("export_catalog_csv", O.catalog_sql("3d"))
 def export_catalog_csv(spark: SparkSession, d: str) -> DataFrame:
     """3D catalogue written as CSV per (species, aperture), read back."""
-    res = jobs.full_sweep(jobs.pair_tables(spark, d))
-    paths = jobs.export_catalogs(res, scratch_path(spark, "catalogs"))
-    schema = T.StructType([T.StructField("subhalo_id", T.IntegerType())] +
-                          [T.StructField(dst, T.DoubleType()) for _, dst in O.CATALOG_3D] +
-                          [T.StructField("species", T.StringType()), T.StructField("aperture", T.StringType())])
-    return rounded(spark.read.schema(schema).option("header", True).csv(paths["3d"]))
+    return _catalog_back(spark, d, "3d", O.CATALOG_3D)
+
+
+@register("export_catalog_2d_csv", O.catalog_sql("2d"))
+def export_catalog_2d_csv(spark: SparkSession, d: str) -> DataFrame:
+    """2D catalogue written as CSV per (species, aperture), read back."""
+    return _catalog_back(spark, d, "2d", O.CATALOG_2D)
+
+
+_NOTEBOOK_SQL = (f"SELECT CASE WHEN aperture = '1Rh' THEN 'StarHalfRad' ELSE aperture END AS aperture, subhalo_id, {', '.join(MEASURES)} "
+                 f"FROM ({O.sweep_sql(('star',), NOTEBOOK_APERTURES, (1,), h=H_JOIN)}) s")
+
+
+@register("export_notebook_txt", _NOTEBOOK_SQL)
+def export_notebook_txt(spark: SparkSession, d: str) -> DataFrame:
+    """The seven text files of the notebook, written by one job and read back."""
+    paths = jobs.notebook_exports(jobs.pair_table(spark, d, "star"), scratch_path(spark, "notebook"), **NOISE)
+    out = None
+    for label, path in paths.items():
+        part = spark.read.schema(_EXPORT_SCHEMA).option("header", True).option("sep", " ").csv(path)
+        part = rounded(part).select(F.lit(label).alias("aperture"), "subhalo_id", *MEASURES)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+_OLD_PAIRS_SQL = (f"SELECT p.*, s.StarHalfMass AS subhalo_StarHalfMass FROM ({O.pairs_sql('star')}) p "
+                  f"JOIN ({O.subhalos_sql(with_half_mass=True)}) s ON p.subhalo_id = s.sub_id "
+                  f"WHERE s.StarHalfMass / {O.dbl(H_JOIN)} > {O.dbl(O.MASS_CUT)}")
+
+
+@register("partitioned_pairs_job", _OLD_PAIRS_SQL)
+def partitioned_pairs_job(spark: SparkSession, d: str) -> DataFrame:
+    """The older pipeline end to end: mass cut, join, radii, pairs partitioned by subhalo, read back."""
+    out = jobs.partitioned_pairs_job(jobs.snapshot_particles(spark, d, "star"), fx.subhalo_catalog(spark, d, with_half_mass=True),
+                                     fx.radius_side_table(spark, d), scratch_path(spark, "old-pairs"))
+    return spark.read.parquet(out)
 
 
 # ------------------------------------------------------------------ projections and filters
@@ -201,15 +297,72 @@ def aperture_scaled_rh2(spark: SparkSession, d: str) -> DataFrame:
 
 
 _KIN30 = O.kin_fixed_sql("star", 30, H)
-_SUFFIX_SQL = "SELECT subhalo_id, " + ", ".join(
-    f"{m} AS {ap.suffixed_name(m, '30')}" for m in MEASURES) + f" FROM ({_KIN30}) k"
+# FIXED VALUES: the measures' names with the aperture, in the order of MEASURES.
+NAMES_30 = """
+total_kinetic_energy_30
+mass_weighted_velocity_dispersion_30_x
+mass_weighted_velocity_dispersion_30_y
+mass_weighted_velocity_dispersion_30_z
+mass_weighted_velocity_dispersion_30
+rotation_kinetic_energy_30
+mass_weighted_rotation_velocity_30
+mass_weighted_velocity_dispersion_30_r
+mass_weighted_velocity_dispersion_30_theta
+mass_weighted_velocity_dispersion_30_phi
+mass_weighted_velocity_dispersion_30_phi_no_rotation
+mass_weighted_velocity_dispersion_30_no_rotation
+mass_weighted_velocity_dispersion_30_x_no_rotation
+mass_weighted_velocity_dispersion_30_y_no_rotation
+mass_weighted_velocity_dispersion_30_z_no_rotation
+""".split()
+_SUFFIX_SQL = "SELECT subhalo_id, " + ", ".join(f"{m} AS {n}" for m, n in zip(MEASURES, NAMES_30)) + f" FROM ({_KIN30}) k"
 
 
 @register("kin_suffix", _SUFFIX_SQL)
 def kin_suffix(spark: SparkSession, d: str) -> DataFrame:
     """Notebook naming: measures carry the aperture in their names."""
-    res = rounded(ap.aperture_kinematics(jobs.pair_table(spark, d, "star"), 30, "star", h=H))
-    return res.withColumnsRenamed({m: ap.suffixed_name(m, "30") for m in MEASURES})
+    res = ap.aperture_kinematics(jobs.pair_table(spark, d, "star"), 30, "star", h=H, suffix="30", **NOISE)
+    return res.select("subhalo_id", *[quantize(F.col(c), O.MEASURE_DECIMALS).alias(c) for c in res.columns if c != "subhalo_id"])
+
+
+# A group whose J is 7.5e-9 of the size of its terms, in whole numbers: two pairs of particles on opposite
+# sides, 8192 * 8192 against 8191 * 8193.
+_SMALL_J = ((8192, 8192), (-8192, -8192), (8191, -8193), (-8191, 8193))
+_SMALL_J_ROWS = " UNION ALL ".join(
+    f"SELECT s_suppkey AS subhalo_id, {O.dbl(x)} AS rel_px, {O.dbl(0)} AS rel_py, {O.dbl(0)} AS rel_pz, {O.dbl(x * x)} AS sq_dist_subhalo2ptl, "
+    f"{O.dbl(0)} AS vx, {O.dbl(v)} AS vy, {O.dbl(0)} AS vz, CAST(1 + s_suppkey % 4 AS DOUBLE) AS mass FROM supplier" for x, v in _SMALL_J)
+
+
+@register("kin_small_j", O.kinematics_sql(_SMALL_J_ROWS, ["subhalo_id"], j_noise=None))
+def kin_small_j(spark: SparkSession, d: str) -> DataFrame:
+    """A small but real J is no noise: the group is kept with all its measures."""
+    rows = None
+    for x, v in _SMALL_J:
+        part = fx.table(spark, d, "supplier").selectExpr(
+            "s_suppkey AS subhalo_id", f"double({x}) AS rel_px", "double(0) AS rel_py", "double(0) AS rel_pz", f"double({x * x}) AS sq_dist_subhalo2ptl",
+            "double(0) AS vx", f"double({v}) AS vy", "double(0) AS vz", "double(1 + s_suppkey % 4) AS mass")
+        rows = part if rows is None else rows.unionByName(part)
+    return rounded(kinematics(rows))
+
+
+_LONG_ID = "CAST(subhalo_id AS BIGINT) * 8589934592 - 10737418240"
+
+
+@register("sweep_long_ids", O.sweep_sql(("star", "dm"), (10, 20), (1,), subhalo_id=_LONG_ID))
+def sweep_long_ids(spark: SparkSession, d: str) -> DataFrame:
+    """Subhalo ids beyond 32 bits, below zero too, equal in their low bits."""
+    pairs = {sp: df.withColumn("subhalo_id", F.expr(_LONG_ID)) for sp, df in jobs.pair_tables(spark, d).items()}
+    return rounded(jobs.full_sweep(pairs, (10, 20), (1,), **NOISE))
+
+
+_SMALL_RADII = "CAST(CAST(StarHalfRad AS DOUBLE) / 100 AS FLOAT)"
+
+
+@register("subhalo_size_cut_small", f"SELECT * FROM (SELECT * REPLACE ({_SMALL_RADII} AS StarHalfRad) FROM ({O.subhalos_sql()}) s0) s "
+                                    f"WHERE StarHalfRad * 2 * {O.dbl(H)} > {O.dbl(O.SIZE_CUT)}")
+def subhalo_size_cut_small(spark: SparkSession, d: str) -> DataFrame:
+    """The size cut on radii of which it rejects a part."""
+    return size_cut(fx.subhalo_catalog(spark, d).withColumn("StarHalfRad", F.expr(_SMALL_RADII)), h=H)
 
 
 # ------------------------------------------------------------------ grid and vector expressions
@@ -254,6 +407,17 @@ def grid_adjacent(spark: SparkSession, d: str) -> DataFrame:
                                  "subhalo_iz", "ix", "iy", "iz")
 
 
+_SHIFTED_SQL = (f"SELECT * FROM (SELECT subhalo_id, id, px, py, pz, subhalo_ix, ix + id % 5 AS ix FROM ({O.pairs_sql('star')}) p) q "
+                f"WHERE least(abs(ix - subhalo_ix), {GRID_CELLS} - abs(ix - subhalo_ix)) <= 1")
+
+
+@register("grid_adjacent_shifted", _SHIFTED_SQL)
+def grid_adjacent_shifted(spark: SparkSession, d: str) -> DataFrame:
+    """The adjacency predicate on cells moved by 0 to 4, of which it rejects a part."""
+    p = jobs.pair_table(spark, d, "star").withColumn("ix", F.col("ix") + F.col("id") % 5)
+    return p.where(grid.periodic_adjacent(F.col("ix"), F.col("subhalo_ix"))).select("subhalo_id", "id", "px", "py", "pz", "subhalo_ix", "ix")
+
+
 @register("min_image", f"SELECT subhalo_id, id, px, py, pz, rel_px, rel_py, rel_pz FROM ({O.pairs_sql('star')}) p")
 def min_image(spark: SparkSession, d: str) -> DataFrame:
     """Minimum-image displacement of every neighbour pair."""
@@ -329,7 +493,7 @@ def weighted_dispersion(spark: SparkSession, d: str) -> DataFrame:
 def rotation_velocity(spark: SparkSession, d: str) -> DataFrame:
     """sum(mV_rot over valid rows) / M(all rows) per subhalo (30 kpc)."""
     rows = ap.fixed_aperture(jobs.pair_table(spark, d, "star"), 30, H)
-    return rounded(kinematics(rows).select("subhalo_id", MEASURES[6]))
+    return rounded(kinematics(rows, **NOISE).select("subhalo_id", MEASURES[6]))
 
 
 def _win_rows_sql() -> str:
@@ -437,7 +601,7 @@ def summary_stats(spark: SparkSession, d: str) -> DataFrame:
 
 def _rh_kin(spark: SparkSession, d: str) -> DataFrame:
     # the notebook's per-subhalo aperture: StarHalfRad x h (h = 0.6774), star particles
-    return ap.column_kinematics(jobs.pair_table(spark, d, "star"), "StarHalfRad", "star", scale=1, h=H_JOIN)
+    return ap.column_kinematics(jobs.pair_table(spark, d, "star"), "StarHalfRad", "star", scale=1, h=H_JOIN, **NOISE)
 
 
 _RH_KIN_SQL = O.kinematics_sql(O.scaled_rows_sql("star", 1, h=H_JOIN), ["subhalo_id"], decimals=None)
@@ -453,6 +617,12 @@ def histogram_sigma2(spark: SparkSession, d: str) -> DataFrame:
     return stats.histogram(_rh_kin(spark, d), MEASURES[4])
 
 
+@register("histogram_radius", O.hist_sql("StarHalfRad", O.subhalos_sql(), 4, 2.0, 10.0))
+def histogram_radius(spark: SparkSession, d: str) -> DataFrame:
+    """Radii of 2 to 10 in four bins: the largest falls on the closed end of the last."""
+    return stats.histogram(fx.subhalo_catalog(spark, d), "StarHalfRad", 4, 2.0, 10.0)
+
+
 @register("head_n", f"SELECT * FROM ({O.pairs_sql('star')}) p ORDER BY subhalo_id, sq_dist_subhalo2ptl, "
                     + ", ".join(c for c in STAR_COLS) + " LIMIT 4")
 def head_n(spark: SparkSession, d: str) -> DataFrame:

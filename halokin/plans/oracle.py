@@ -19,11 +19,13 @@ from ..constants import (BOX_SIZE, FIXED_APERTURES, GRID_CELLS, H_CATALOG, H_JOI
                          HIST_BINS, HIST_RANGE, JOIN_RADIUS_KPC, MASS_CUT, SIZE_CUT, dm_particle_mass,
                          join_radius)
 from ..schemas import CATALOG_2D, CATALOG_3D, MEASURES, UNIT_J
-from ..operators.kinematics import J_ZERO_TOLERANCE
 from ..sources.fixtures import DM_MULTIPLIERS, STAR_MULTIPLIERS
 
 MEASURE_DECIMALS = 3
 UNIT_DECIMALS = 6
+#: A group whose |J| is at most this part of sum m|x||u| has no axis that two engines agree on: its rotation
+#: measures are compared as NULL.
+J_NOISE = 1e-8
 
 
 def quantize_shift(decimals: int) -> float:
@@ -157,8 +159,9 @@ def _k(keys: Sequence[str], alias: str | None = None) -> str:
 
 
 def kinematics_sql(rows_sql: str, keys: Sequence[str], with_unit_j: bool = False,
-                   decimals: int | None = MEASURE_DECIMALS) -> str:
-    """Direct evaluation of the kinematics equations over ``rows_sql``.
+                   decimals: int | None = MEASURE_DECIMALS, j_noise: float | None = J_NOISE) -> str:
+    """Direct evaluation of the kinematics equations over ``rows_sql``. Groups with a zero J have no result;
+    by ``j_noise``, those with a J of rounding noise have NULL rotation measures.
 
     ``rows_sql`` yields the keys, rel_px..pz, sq_dist_subhalo2ptl, vx..vz, mass.
     """
@@ -167,12 +170,14 @@ def kinematics_sql(rows_sql: str, keys: Sequence[str], with_unit_j: bool = False
     unit = ""
     if with_unit_j:
         unit = ", " + ", ".join(
-            f"{qround(f'J{ax} / NULLIF(Jn, 0)', UNIT_DECIMALS)} AS unitJ_{ax}" for ax in "xyz")
+            f"{qround(f'val.J{ax} / NULLIF(Jn, 0)', UNIT_DECIMALS)} AS unitJ_{ax}" for ax in "xyz")
     if decimals is None:
         R = lambda e, name: f"{e} AS {name}"
     else:
         R = lambda e, name: f"{qround(e, decimals)} AS {name}"
     m = MEASURES
+    size = "sqrt(Jrx * Jrx + Jry * Jry + Jrz * Jrz)"
+    noise = f"(JS > 0 AND {size} <= {dbl(j_noise)} * JS)" if j_noise else "FALSE"
     return f"""
 WITH f AS (
   SELECT {K}, CAST(rel_px AS DOUBLE) AS x, CAST(rel_py AS DOUBLE) AS y, CAST(rel_pz AS DOUBLE) AS z,
@@ -199,10 +204,8 @@ jraw AS (
   FROM u GROUP BY {K}
 ),
 jj AS (
-  SELECT {K},
-    CASE WHEN sqrt(Jrx * Jrx + Jry * Jry + Jrz * Jrz) > {dbl(J_ZERO_TOLERANCE)} * JS THEN Jrx ELSE 0e0 END AS Jx,
-    CASE WHEN sqrt(Jrx * Jrx + Jry * Jry + Jrz * Jrz) > {dbl(J_ZERO_TOLERANCE)} * JS THEN Jry ELSE 0e0 END AS Jy,
-    CASE WHEN sqrt(Jrx * Jrx + Jry * Jry + Jrz * Jrz) > {dbl(J_ZERO_TOLERANCE)} * JS THEN Jrz ELSE 0e0 END AS Jz
+  SELECT {K}, {noise} AS noise, CASE WHEN {noise} THEN 0e0 ELSE Jrx END AS Jx, CASE WHEN {noise} THEN 0e0 ELSE Jry END AS Jy,
+         CASE WHEN {noise} THEN 0e0 ELSE Jrz END AS Jz
   FROM jraw
 ),
 g AS (SELECT u.*, Jx, Jy, Jz, sqrt(Jx * Jx + Jy * Jy + Jz * Jz) AS Jn FROM u JOIN jj {using}),
@@ -261,7 +264,8 @@ SELECT {K},
   {R('Sr / NULLIF(W, 0) + Np / NULLIF(W, 0) + St / NULLIF(W, 0)', m[11])},
   {R('Nx / NULLIF(W, 0)', m[12])}, {R('Ny / NULLIF(W, 0)', m[13])}, {R('Nz / NULLIF(W, 0)', m[14])}
   {unit}
-FROM tot JOIN val {using} JOIN nr {using}"""
+FROM tot JOIN jj {using} LEFT JOIN val {using} LEFT JOIN nr {using}
+WHERE W IS NOT NULL OR noise"""
 
 
 def mass_expr(species: str, h: float = H_CATALOG) -> str:
@@ -315,8 +319,8 @@ def sweep_rows_sql(species_list: Sequence[str], fixed: Sequence[float] = (),
 
 
 def sweep_sql(species_list: Sequence[str] = ("star", "dm"), fixed: Sequence[float] = (),
-              scales: Sequence[float] = (), h: float = H_CATALOG) -> str:
-    ctes = ", ".join(f"pairs_{sp} AS ({pairs_sql(sp)})" for sp in species_list)
+              scales: Sequence[float] = (), h: float = H_CATALOG, subhalo_id: str = "subhalo_id") -> str:
+    ctes = ", ".join(f"pairs_{sp} AS (SELECT * REPLACE ({subhalo_id} AS subhalo_id) FROM ({pairs_sql(sp)}) p0)" for sp in species_list)
     rows = sweep_rows_sql(species_list, fixed, scales, h)
     body = kinematics_sql(rows, SWEEP_KEYS, with_unit_j=True)
     jr = dbl(join_radius(H_JOIN))

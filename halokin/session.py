@@ -9,6 +9,7 @@ our own when it is unset (tests, local runs).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -37,14 +38,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session; set a private one if unset."""
+    """The shared checkpoint folder of the session.
+
+    A cluster session has to name one in ``spark.checkpoint.dir``. Only with a
+    local master, where driver and executors share one machine, a private
+    temporary folder is set when there is none."""
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if root:
         return root
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        # Only reached in tests/local runs: a cluster deployment names a shared folder.
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError(f"master {sc.master}: set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="halokin-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
@@ -55,6 +61,16 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     return os.path.join(checkpoint_root(spark), "halokin", f"{tag}-{uuid.uuid4().hex[:12]}")
 
 
+def remove_scratch(spark: SparkSession) -> bool:
+    """Delete the scratch tables of this session (through Hadoop's file system, so on any store).
+
+    Results are lazy and may read scratch tables, so a job calls this when its
+    output is written; DataFrames made before can't be used afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(checkpoint_root(spark), "halokin"))
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return bool(fs.delete(path, True))
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 

@@ -1,17 +1,21 @@
 """Raw particle CSV and catalogue text -> typed DataFrames -> Parquet.
 
 Files are read by Spark executors straight from the (shared) file system — a
-glob or directory, any number of files — never through the driver. Columns are
-selected by header *name* and cast to the typed schema, so a file with extra
-or reordered columns still maps correctly. ``mode`` follows the CSV reader:
-``PERMISSIVE`` turns unparseable values into NULL, ``FAILFAST`` raises.
+glob or directory, any number of files — never through the driver. Every file
+maps by its *own* header names: one scan of the files' first lines groups them
+by header, each layout is read with its schema, and the parts are unioned, so
+files with other column orders or extra columns mix freely. ``mode`` follows the
+CSV reader: ``PERMISSIVE`` turns unparseable values into NULL (counted by an
+``Observation``, listed by ``read_rejects``) and skips files that vanish;
+``FAILFAST`` raises on both.
 """
 
 from __future__ import annotations
 
+import csv
 from typing import Iterable, Mapping, Sequence, Union
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,8 +32,62 @@ SPECIES_LAYOUT = {
 }
 
 
-def _typed(raw: DataFrame, mapping: Mapping[str, str], schema: T.StructType, mode: str) -> DataFrame:
+def raw_string_schema(names: Iterable[str]) -> T.StructType:
+    """All-string schema with the file's header names (typing happens by name later)."""
+    return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+
+
+def csv_layouts(spark: SparkSession, paths: Paths, *, sep: str = ",", recursive: bool = False) -> dict[tuple[str, ...], list[str]]:
+    """Header -> files that have it. One row per file reaches the driver, as in any file listing."""
+    reader = spark.read.option("recursiveFileLookup", True) if recursive else spark.read
+    lines = reader.text(paths if isinstance(paths, str) else list(paths)).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("n"))
+    first = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "n").alias("header"))
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for r in first.orderBy("file").collect():
+        names = tuple(n.strip().lstrip("\ufeff") for n in next(csv.reader([r["header"]], delimiter=sep), []))
+        layouts.setdefault(names, []).append(r["file"])
+    return layouts
+
+
+def _read_by_name(spark: SparkSession, paths: Paths, wanted: Sequence[str], *, sep: str, mode: str, recursive: bool = False,
+                  with_file: bool = False) -> DataFrame:
+    """The wanted columns, as text, of every file by its own header."""
+    parts = []
+    for names, files in csv_layouts(spark, paths, sep=sep, recursive=recursive).items():
+        missing = [w for w in wanted if w not in names]
+        if missing:
+            raise ValueError(f"no column {', '.join(missing)} in the header of {len(files)} files, the first is {files[0]}")
+        # only wanted names stay; a repeated name means its first column
+        unique = [n if n in wanted and n not in names[:i] else f"_other{i}" for i, n in enumerate(names)]
+        raw = (spark.read.schema(raw_string_schema(unique)).option("header", True).option("sep", sep).option("mode", mode)
+               .option("ignoreMissingFiles", mode.upper() != "FAILFAST").csv(files))
+        cols = [F.col(f"`{w}`") for w in wanted]
+        parts.append(raw.select(*cols, F.col("_metadata.file_path").alias("file")) if with_file else raw.select(*cols))
+    if not parts:
+        return spark.createDataFrame([], raw_string_schema([*wanted, "file"] if with_file else wanted))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _rejected(mapping: Mapping[str, str], schema: T.StructType) -> Column:
+    """True if a value is there but can't be cast."""
     types = {f.name: f.dataType for f in schema.fields}
+    out = F.lit(False)
+    for src, dst in mapping.items():
+        c = F.col(f"`{src}`")
+        out = out | ((F.trim(c) != "") & c.try_cast(types[dst]).isNull())
+    return F.coalesce(out, F.lit(False))
+
+
+def _typed(raw: DataFrame, mapping: Mapping[str, str], schema: T.StructType, mode: str,
+           observation: Observation | None = None) -> DataFrame:
+    types = {f.name: f.dataType for f in schema.fields}
+    if observation is not None:
+        raw = raw.observe(observation, F.count(F.lit(1)).alias("rows"), F.count_if(_rejected(mapping, schema)).alias("rejected"))
     cols: list[Column] = []
     for src, dst in mapping.items():
         c = F.col(f"`{src}`")
@@ -37,21 +95,21 @@ def _typed(raw: DataFrame, mapping: Mapping[str, str], schema: T.StructType, mod
     return raw.select(*cols)
 
 
-def raw_string_schema(names: Iterable[str]) -> T.StructType:
-    """All-string schema with the file's header names (typing happens by name later)."""
-    return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+def read_particle_csv(spark: SparkSession, paths: Paths, species: str = "star", *, mode: str = "PERMISSIVE", sep: str = ",",
+                      recursive: bool = False, observation: Observation | None = None) -> DataFrame:
+    """Particle CSV files with a header row -> typed particle DataFrame.
+
+    ``observation`` gets ``rows`` and ``rejected`` (rows with a value that can't be cast) when the result is written."""
+    mapping, schema = SPECIES_LAYOUT[species]
+    raw = _read_by_name(spark, paths, list(mapping), sep=sep, mode=mode, recursive=recursive)
+    return _typed(raw, mapping, schema, mode, observation)
 
 
-def read_particle_csv(spark: SparkSession, paths: Paths, species: str = "star", *,
-                      mode: str = "PERMISSIVE", sep: str = ",", recursive: bool = False) -> DataFrame:
-    """Particle CSV files with a header row -> typed particle DataFrame."""
+def read_rejects(spark: SparkSession, paths: Paths, species: str = "star", *, sep: str = ",", recursive: bool = False) -> DataFrame:
+    """The rows, as text and with their file, of which a value can't be cast."""
     mapping, schema = SPECIES_LAYOUT[species]
-    reader = (spark.read.option("header", True).option("sep", sep).option("mode", mode)
-              .option("inferSchema", False).option("ignoreMissingFiles", True))
-    if recursive:
-        reader = reader.option("recursiveFileLookup", True)
-    raw = reader.csv(paths if isinstance(paths, str) else list(paths))
-    return _typed(raw, mapping, schema, mode)
+    raw = _read_by_name(spark, paths, list(mapping), sep=sep, mode="PERMISSIVE", recursive=recursive, with_file=True)
+    return raw.where(_rejected(mapping, schema))
 
 
 def read_subhalo_text(spark: SparkSession, paths: Paths, *, mode: str = "PERMISSIVE",
@@ -60,9 +118,7 @@ def read_subhalo_text(spark: SparkSession, paths: Paths, *, mode: str = "PERMISS
 
     ``cut=True`` applies the size cut ``StarHalfRad * 2 * h > 0.1``.
     """
-    raw = (spark.read.option("header", True).option("sep", " ").option("mode", mode)
-           .option("inferSchema", False).option("ignoreMissingFiles", True)
-           .csv(paths if isinstance(paths, str) else list(paths)))
+    raw = _read_by_name(spark, paths, list(SUBHALO_TXT_COLUMNS), sep=" ", mode=mode)
     cat = _typed(raw, SUBHALO_TXT_COLUMNS, SUBHALOS, mode)
     if cut:
         cat = cat.filter(F.col("StarHalfRad") * F.lit(2) * F.lit(h) > F.lit(SIZE_CUT))
@@ -71,18 +127,13 @@ def read_subhalo_text(spark: SparkSession, paths: Paths, *, mode: str = "PERMISS
 
 def ingest_csv(spark: SparkSession, paths: Paths, out: str, species: str = "star", *,
                    mode: str = "PERMISSIVE", n_files: int | None = None,
-                   compression: str = "snappy") -> DataFrame:
+                   compression: str = "snappy", observation: Observation | None = None) -> DataFrame:
     """One distributed job: read every CSV file, type it, write Snappy Parquet."""
-    df = read_particle_csv(spark, paths, species, mode=mode)
+    df = read_particle_csv(spark, paths, species, mode=mode, observation=observation)
     sinks.write_parquet(df, out, compression=compression, n_files=n_files)
     return spark.read.parquet(out)
 
 
-def empty_particles(spark: SparkSession, species: str = "star") -> DataFrame:
-    """Typed empty particle frame (the neutral element of a union of batches)."""
-    return spark.createDataFrame([], SPECIES_LAYOUT[species][1])
-
-
 def scan_recursive(spark: SparkSession, path: str) -> DataFrame:
     """Parquet files anywhere below ``path`` (no partition discovery)."""
     return spark.read.option("recursiveFileLookup", True).parquet(path)

@@ -1,38 +1,103 @@
 """Batched, resumable CSV -> Parquet ingest on Structured Streaming.
 
 The original ingest converts a very large set of per-cell CSV files in batches
-of N files, one output directory per batch, reporting and skipping a batch
-that fails. Structured Streaming gives exactly that with a file source:
+of N files, one output directory per batch, and reports which batch failed:
 
-* ``maxFilesPerTrigger = N`` makes each micro-batch take N new files;
+* the stream is the list of files (a ``binaryFile`` source of which only the path is
+  read); ``maxFilesPerTrigger = N`` makes each micro-batch take N new ones;
 * ``trigger(availableNow=True)`` processes everything present, then stops;
-* the checkpoint records which files are done, so a restarted job (or one
+* the checkpoint records which files were taken, so a restarted job (or one
   whose executors were lost) resumes where it stopped instead of starting over;
-* ``foreachBatch`` writes each micro-batch to ``batch_<id>`` with overwrite,
-  so a batch re-run after a failure replaces its own output (idempotent).
+* ``foreachBatch`` reads its files as the one-shot ingest does, each by its own
+  header, and writes them to ``batch_<id>`` with overwrite, so a batch that is run
+  again replaces its own output.
 
-All remainder files are kept (the last batch is simply smaller), and a batch
-that fails to write is recorded in the status table and skipped.
+No file is lost. A batch that fails is split in halves until the bad files are
+alone; the others are written, and the bad ones stand in the status table as
+failed, with their error. ``retry_failed`` takes up all files whose last status is
+failed; every later run does so first.
 """
 
 from __future__ import annotations
 
 import os
-from typing import Optional
+import uuid
+from typing import Optional, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 from ..session import scratch_path
-from ..sources.ingest import SPECIES_LAYOUT, _typed, raw_string_schema
+from ..sources.ingest import read_particle_csv
 
 STATUS_SCHEMA = T.StructType([
     T.StructField("batch_id", T.LongType(), False),
     T.StructField("status", T.StringType(), False),
     T.StructField("rows", T.LongType(), True),
+    T.StructField("rejected", T.LongType(), True),
     T.StructField("path", T.StringType(), True),
+    T.StructField("files", T.ArrayType(T.StringType()), False),
     T.StructField("error", T.StringType(), True),
+    T.StructField("at", T.TimestampType(), False),
 ])
+_FILE_LIST = "path string, modificationTime timestamp, length long, content binary"
+
+
+def _write(spark: SparkSession, files: Sequence[str], path: str, batch_id: int, species: str, mode: str,
+           n_files: Optional[int]) -> list[tuple]:
+    """Status rows of the files: written together, or in halves if that fails."""
+    seen = Observation()
+    try:
+        batch = read_particle_csv(spark, list(files), species, mode=mode, observation=seen)
+        out = batch.repartition(n_files) if n_files else batch
+        out.write.mode("overwrite").option("compression", "snappy").parquet(path)
+        return [(batch_id, "ok", seen.get["rows"], seen.get["rejected"], path, list(files), None)]
+    except Exception as exc:  # noqa: BLE001 - any error of a file is reported with the file
+        if len(files) == 1:
+            return [(batch_id, "failed", None, None, path, list(files), f"{type(exc).__name__}: {str(exc)[:500]}")]
+    half = len(files) // 2
+    return (_write(spark, files[:half], path + "a", batch_id, species, mode, n_files)
+            + _write(spark, files[half:], path + "b", batch_id, species, mode, n_files))
+
+
+def _report(spark: SparkSession, out_root: str, rows: list[tuple]) -> DataFrame:
+    """Append to the status table; returns the new rows."""
+    status = spark.createDataFrame(rows, T.StructType(STATUS_SCHEMA.fields[:-1])).withColumn("at", F.current_timestamp())
+    path = os.path.join(out_root, "_status", uuid.uuid4().hex)  # one folder per run: a new table to read back
+    status.write.parquet(path)
+    return spark.read.schema(STATUS_SCHEMA).parquet(path)
+
+
+def batch_status(spark: SparkSession, out_root: str) -> DataFrame:
+    """The status table of all runs so far."""
+    try:
+        return spark.read.schema(STATUS_SCHEMA).parquet(os.path.join(out_root, "_status", "*"))
+    except AnalysisException:
+        return spark.createDataFrame([], STATUS_SCHEMA)
+
+
+def failed_files(spark: SparkSession, out_root: str) -> DataFrame:
+    """(file, batch_id) of the files whose last status is failed."""
+    each = batch_status(spark, out_root).select("batch_id", "status", "at", F.explode("files").alias("file"))
+    last = each.groupBy("file").agg(F.max_by(F.struct("status", "batch_id"), "at").alias("x"))
+    return last.where("x.status = 'failed'").select("file", "x.batch_id")
+
+
+def retry_failed(spark: SparkSession, out_root: str, species: str = "dm", *, mode: str = "PERMISSIVE",
+                 n_files: Optional[int] = None) -> DataFrame:
+    """Try again all files whose last status is failed; returns their new status rows.
+
+    The failed files are few: they are listed on the driver, one write for each batch they came from."""
+    by_batch: dict[int, list[str]] = {}
+    for r in failed_files(spark, out_root).orderBy("file").collect():
+        by_batch.setdefault(r["batch_id"], []).append(r["file"])
+    rows = []
+    for batch_id, files in by_batch.items():
+        path = os.path.join(out_root, f"batch_{batch_id:04d}_retry_{uuid.uuid4().hex[:8]}")
+        rows += _write(spark, files, path, batch_id, species, mode, n_files)
+    return _report(spark, out_root, rows) if rows else spark.createDataFrame([], STATUS_SCHEMA)
 
 
 def ingest_in_batches(spark: SparkSession, source_dir: str, out_root: str, species: str = "dm", *,
@@ -40,36 +105,27 @@ def ingest_in_batches(spark: SparkSession, source_dir: str, out_root: str, speci
                       n_files: Optional[int] = None, checkpoint: Optional[str] = None,
                       recursive: bool = True) -> DataFrame:
     """Convert every CSV under ``source_dir`` into ``out_root/batch_<id>`` Parquet
-    directories, ``files_per_batch`` files per batch. Returns the status table
-    ``(batch_id, status, rows, path, error)``; read the data with
+    directories, ``files_per_batch`` files per batch, after retrying what failed in
+    earlier runs. Returns this run's status rows; read the data with
     ``spark.read.parquet(f"{out_root}/batch_*")``.
     """
-    mapping, schema = SPECIES_LAYOUT[species]
-    # header names validated against the files (enforceSchema=false), then typed by name
-    raw_schema = raw_string_schema(mapping.keys())
-    reader = (spark.readStream.schema(raw_schema).option("header", True).option("enforceSchema", False)
-              .option("mode", mode).option("maxFilesPerTrigger", int(files_per_batch))
-              .option("pathGlobFilter", file_glob))
+    retried = retry_failed(spark, out_root, species, mode=mode, n_files=n_files)
+    reader = (spark.readStream.format("binaryFile").schema(_FILE_LIST).option("pathGlobFilter", file_glob)
+              .option("maxFilesPerTrigger", int(files_per_batch)))
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
-    typed = _typed(reader.csv(source_dir), mapping, schema, mode)
-
     statuses: list[tuple] = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        path = os.path.join(out_root, f"batch_{batch_id:04d}")
-        try:
-            out = batch.repartition(n_files) if n_files else batch
-            out.write.mode("overwrite").option("compression", "snappy").parquet(path)
-            rows = spark.read.parquet(path).count()
-            statuses.append((batch_id, "ok", rows, path, None))
-        except Exception as exc:  # noqa: BLE001 - report and skip, as the batch job does
-            statuses.append((batch_id, "failed", None, path, f"{type(exc).__name__}: {str(exc)[:500]}"))
+        files = sorted(r["path"] for r in batch.collect())  # at most files_per_batch
+        if files:
+            rows = _write(spark, files, os.path.join(out_root, f"batch_{batch_id:04d}"), batch_id, species, mode, n_files)
+            _report(spark, out_root, rows)
+            statuses.extend(rows)
 
     ckpt = checkpoint or scratch_path(spark, "ingest-checkpoint")
-    query = (typed.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt)
-             .trigger(availableNow=True).start())
+    query = (reader.load(source_dir).select("path").writeStream.foreachBatch(write_batch)
+             .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     query.awaitTermination()
-    status = spark.createDataFrame(statuses, STATUS_SCHEMA)
-    status.write.mode("append").parquet(os.path.join(out_root, "_status"))
-    return status
+    new = spark.createDataFrame(statuses, T.StructType(STATUS_SCHEMA.fields[:-1])).withColumn("at", F.current_timestamp())
+    return retried.unionByName(new)

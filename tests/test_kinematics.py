@@ -194,10 +194,10 @@ def test_range_chunked_join_back(small_pairs):
             assert _close(a[sid][m], b[sid][m], rel=1e-9, abs_=1e-9)
 
 
-def test_noise_angular_momentum_is_zero(spark):
+def test_noise_angular_momentum(spark):
     # group 1: two particles at one position -> J = x cross (sum m u) = 0, computed
-    # only as rounding noise; it has no rotation axis and is dropped like J = 0.
-    # group 2 rotates and is kept. Both methods agree.
+    # only as rounding noise. By default only J = 0 or NULL drops a group; with a tolerance
+    # the group stays too, and its rotation measures are NULL. Both methods agree.
     cols = "subhalo_id int, rel_px double, rel_py double, rel_pz double, sq_dist_subhalo2ptl double, " \
            "vx float, vy float, vz float, mass float"
     x = (0.37, -1.3, 0.71)
@@ -209,7 +209,41 @@ def test_noise_angular_momentum_is_zero(spark):
         (2, -1.0, 0.0, 0.0, 1.0, 0.0, -5.0, 0.0, 1.0),
     ], cols)
     for method in ("three_pass", "two_pass"):
-        assert set(_by_id(kinematics(rows, method=method))) == {2}
+        assert 2 in _by_id(kinematics(rows, method=method))
+        got = _by_id(kinematics(rows, method=method, j_tolerance=1e-8))
+        assert set(got) == {1, 2}
+        assert got[1][MEASURES[0]] > 0 and got[1][MEASURES[4]] > 0
+        assert all(got[1][m] is None for m in MEASURES[5:]) and all(got[2][m] is not None for m in MEASURES)
+
+
+def test_no_variance_is_negative(spark):
+    """Cold discs: all of the motion is rotation, and what is left is rounding."""
+    import math
+    import random
+
+    rng = random.Random(7)
+    rows = []
+    for g in range(40):
+        n = [rng.gauss(0, 1) for _ in range(3)]
+        size = math.sqrt(sum(c * c for c in n))
+        n = [c / size for c in n]
+        a = [n[1], -n[0], 0.0]
+        size = math.sqrt(sum(c * c for c in a))
+        a = [c / size for c in a]
+        b = [n[1] * a[2] - n[2] * a[1], n[2] * a[0] - n[0] * a[2], n[0] * a[1] - n[1] * a[0]]
+        for k in range(60):
+            t, r = 2 * math.pi * k / 60, rng.choice([1.0, 3.0, 7.5])
+            c, s = math.cos(t), math.sin(t)
+            x = [r * (c * a[i] + s * b[i]) for i in range(3)]
+            v = [300 * (-s * a[i] + c * b[i]) for i in range(3)]
+            rows.append((g, *x, sum(q * q for q in x), *v, 1.0))
+    df = spark.createDataFrame(rows, "subhalo_id int, rel_px double, rel_py double, rel_pz double, sq_dist_subhalo2ptl double, "
+                                     "vx double, vy double, vz double, mass double")
+    for method in ("three_pass", "two_pass"):
+        got = _by_id(kinematics(df, method=method))
+        assert len(got) == 40
+        for r in got.values():
+            assert all(0 <= r[m] < 1e-6 for m in MEASURES[10:15]), [r[m] for m in MEASURES[10:15]]
 
 
 def test_scan_prunes_columns_and_pushes_aperture(small_pairs):
