@@ -58,6 +58,12 @@ def test_sentencepiece_ids_and_text(model, texts):
     assert [data[a:b].tobytes().decode() for a, b in zip(off, off[1:])] == [t.replace("▁", " ") for t in texts] == sp.decode(sp.encode(texts))
 
 
+def test_last_code_point(model):
+    sp, own = model
+    texts = ["\U0010ffff", "the\U0010ffff\U0010ffff x", "\U0010fffe▁"]
+    assert runs(*own.encode(*tb.utf8(pa.array(texts)))) == sp.encode(texts)
+
+
 def test_sentencepiece_long_units(model):
     sp, own = model
     rng = random.Random(4)
