@@ -24,6 +24,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -275,9 +276,7 @@ def _apply(docs: DataFrame, windows: Windows, text_col: str, first: bool, last:
     columns = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in tb.slices(batches, text_col):
             data, off = tb.utf8(batch.column(text_col))
             n_words, found, items = _search_batch(windows, data, off)
             spans: list[list[tuple[int, int]]] = [[] for _ in range(batch.num_rows)]
@@ -306,9 +305,8 @@ def _apply(docs: DataFrame, windows: Windows, text_col: str, first: bool, last:
 
 def _without(column: pa.Array, data: np.ndarray, off: np.ndarray, spans: list[list[tuple[int, int]]]) -> pa.Array:
     """The text column without the spans."""
-    keep = np.ones(len(data), bool)
-    for r, s in enumerate(spans):
-        for a, b in s:
-            keep[off[r] + a: off[r] + b] = False
-    total = np.concatenate(([0], np.cumsum(keep)))
-    return tb.strings_of(data[keep].tobytes(), total[off], column.is_null().to_numpy(zero_copy_only=False))
+    fresh = []
+    for r in [r for r, s in enumerate(spans) if s]:
+        edges = [0, *(x for span in spans[r] for x in span), off[r + 1] - off[r]]
+        fresh.append(b"".join(data[off[r] + a: off[r] + b].tobytes() for a, b in zip(edges[::2], edges[1::2])).decode(errors="replace"))
+    return pc.replace_with_mask(column, pa.array([bool(s) for s in spans]), pa.array(fresh, column.type))

@@ -118,7 +118,7 @@ def _signatures(docs: DataFrame, id_col: str, text_col: str, width: int, bands:
     id_type = some.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in tb.slices(batches, "text"):
             data, off = tb.utf8(batch.column("text"))
             for i, j in tb.pieces(off):
                 owner, h = shingle_sets(data[off[i]: off[j]], off[i: j + 1] - off[i], width)
@@ -145,7 +145,7 @@ def _signatures(docs: DataFrame, id_col: str, text_col: str, width: int, bands:
 def _sets(texts: DataFrame, width: int) -> DataFrame:
     """(node, shingles): the sorted hashes of (node, text) rows as bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in tb.slices(batches, "text"):
             data, off = tb.utf8(batch.column("text"))
             for i, j in tb.pieces(off):
                 owner, h = shingle_sets(data[off[i]: off[j]], off[i: j + 1] - off[i], width)

@@ -35,8 +35,8 @@ from . import units
 
 _BAR = "▁"
 #: Characters that one suffix array indexes (a longer unit goes alone), and pairs of pieces that a worker remembers.
-INDEXED = 200_000
-REMEMBERED_PAIRS = 4_000_000
+INDEXED = 100_000
+REMEMBERED_PAIRS = 2_000_000
 
 
 class PieceModel(units.UnitIds):
@@ -67,6 +67,10 @@ class PieceModel(units.UnitIds):
         self.match_ids = np.array(reached, np.int64)
         self.longest = max((len(self.pieces[i]) for i in reached), default=1)
         self.match = np.array([self.pieces[i] for i in reached], f"U{self.longest}")
+        # what sorts behind every text that starts with the piece: the piece and a number beyond all characters
+        end = self.match.astype(f"U{self.longest + 1}").view(np.uint32).reshape(len(reached), -1).copy()
+        end[np.arange(len(reached)), np.char.str_len(self.match)] = 0x110000
+        self.match_end = end.view(f"U{self.longest + 1}").reshape(-1)
         self.length = np.array([len(p) for p in self.pieces], np.int64)
         self.single = np.array(sorted(ord(p) for p in self.score if len(p) == 1), np.uint32)
         self.raw_bytes = np.frombuffer(b"".join(self.raw), np.uint8)
@@ -122,9 +126,8 @@ class PieceModel(units.UnitIds):
         suffixes = np.argsort(text, kind="stable")
         ordered = text[suffixes]
         lo = np.searchsorted(ordered, self.match, "left")
-        after = np.char.add(self.match, "\U0010ffff" * 1)
-        hi = np.searchsorted(ordered, after.astype(f"U{width + 1}"), "left")
-        count = np.maximum(hi - lo, 0)
+        hi = np.searchsorted(ordered, self.match_end, "left")
+        count = hi - lo
         return suffixes[tb.ranges(lo, count)], np.repeat(self.match_ids, count)
 
     def encode_new(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -235,7 +238,7 @@ def encode(docs: DataFrame, model: str, *, text_col: str = "text", with_ids: boo
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces: PieceModel = tb.per_process("sentencepiece " + model, lambda: PieceModel(model))
-        for batch in batches:
+        for batch in tb.slices(batches, text_col):
             data, off = tb.utf8(batch.column(text_col))
             null = batch.column(text_col).is_null().to_numpy(zero_copy_only=False)
             for i, j in tb.pieces(off):

@@ -17,7 +17,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are turned into number arrays at a time (a longer text goes alone).
-PIECE = 1 << 21
+PIECE = 1 << 20
+#: Bytes of text in a slice of an Arrow batch that is worked on and passed on at a time.
+SLICE = 8 << 20
 
 #: [^\x20\x09-\x0D]
 NOT_SPACE = np.ones(256, bool)
@@ -71,6 +73,15 @@ def pieces(off: np.ndarray, limit: int = PIECE) -> Iterator[tuple[int, int]]:
         i = j
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ``limit`` bytes of text, or one row; memory that Arrow holds unused is given back."""
+    for batch in batches:
+        _, off = utf8(batch.column(column))
+        for i, j in pieces(off, limit):
+            yield batch.slice(i, j - i)
+        pa.default_memory_pool().release_unused()
+
+
 def word_spans(is_word: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, row) of every word; ``is_word`` tells of each byte whether a word has it."""
     n = len(is_word)
@@ -107,11 +118,3 @@ def ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     first = np.repeat(start - np.concatenate(([0], np.cumsum(length)[:-1])), length)
     return first + np.arange(total)
-
-
-def strings_of(data: bytes | np.ndarray, off: np.ndarray, mask: np.ndarray | None = None) -> pa.Array:
-    """An Arrow string column of bytes and offsets; null where ``mask``."""
-    out = pa.LargeStringArray.from_buffers(len(off) - 1, pa.py_buffer(off.astype(np.int64)), pa.py_buffer(bytes(data)))
-    if mask is not None and mask.any():
-        out = pc.if_else(pa.array(mask), pa.scalar(None, pa.large_string()), out)
-    return out.cast(pa.string())

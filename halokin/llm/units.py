@@ -7,7 +7,7 @@ import numpy as np
 from . import textbytes as tb
 
 #: Distinct units that a worker remembers; beyond it starts anew.
-REMEMBERED = 1_500_000
+REMEMBERED = 1_000_000
 
 
 def decoded(data: np.ndarray, off: np.ndarray) -> tuple[str, np.ndarray, np.ndarray]:
