@@ -28,15 +28,23 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import materialize
 
-# Rows of a statistics table that may be broadcast (about 100 bytes each).
+# Rows of a table that may be broadcast, and its bytes in memory, whichever is less.
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 256 * 2**20
 DEFAULT_SALT_BUCKETS = 16
 DEFAULT_MAX_CHUNKS = 64
 
 
+def broadcastable_rows(table: DataFrame, max_rows: int) -> int:
+    """How many rows of ``table`` fit both bounds: 8 bytes a column and 24 a row, 32 more for text and other long types."""
+    wide = sum(not isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType)) for f in table.schema.fields)
+    return min(max_rows, BROADCAST_MAX_BYTES // (24 + 8 * len(table.columns) + 32 * wide))
+
+
 def key_ranges(stats: DataFrame, col: str, n: int, limit: int, max_chunks: int) -> list[tuple] | None:
     """Ranges ``[lo, hi)`` of ``col`` (None = open end) holding about
     ``0.8 * limit`` statistics rows each, or None if more than ``max_chunks``."""
@@ -74,6 +82,7 @@ def attach(rows: DataFrame, stats: DataFrame, keys: Sequence[str], *,
     """
     keys = list(keys)
     n = stats.count() if n_stats is None else n_stats
+    broadcast_max_rows = broadcastable_rows(stats, broadcast_max_rows)
     shared = bool(chunk_col) and chunk_col in rows.columns and chunk_col in stats.columns
     # a range column that is a per-group constant, not a key, is taken from the rows only
     extra = [chunk_col] if shared and chunk_col not in keys else []

@@ -13,9 +13,10 @@ Plan (Spark-first form of a grid pre-filter):
    x-slab ranges that each fit the limit ("chunked"): every chunk is a
    broadcast join of the particles of its slab range only, selected by a
    ``px`` range that Parquet can prune on row-group statistics, so a
-   spatially clustered snapshot is read about once and never shuffled. Only
-   if a single slab exceeds the limit are both sides shuffled on the cell key
-   plus a salt (hot cells spread over ``salt_buckets`` tasks).
+   snapshot clustered by x (``jobs.write_snapshot``) is read about once and never
+   shuffled. Only if a single slab exceeds the limit are both sides shuffled on the
+   cell key. Cells with more particles than a task should have are found by a
+   count first; only they are salted, over as many tasks as their size asks for.
 3. The exact test ``|min_image(p - s)|^2 < radius^2`` runs after the join, in
    the same codegen stage. Pairs are many-to-many: one particle can appear
    under several subhalos.
@@ -36,9 +37,8 @@ from ..functions.grid import cell_size
 from ..functions.vectors import min_image, sq
 from ..schemas import SUBHALO_RENAMES
 from ..session import materialize
+from .joinback import DEFAULT_BROADCAST_MAX_ROWS, broadcastable_rows
 
-DEFAULT_BROADCAST_MAX_ROWS = 2_000_000  # registrations (cell, subhalo), ~120 bytes each: ~240 MB
-DEFAULT_SALT_BUCKETS = 16
 DEFAULT_MAX_CHUNKS = 64
 
 
@@ -119,12 +119,24 @@ def _slab_filter(k0: int, k1: int, box: float, n_cells: int) -> Column:
     return superset & (F.col("cx") >= k0) & (F.col("cx") < k1)
 
 
+def _hot_cells(parts: DataFrame, keys: list[str], rows_per_task: int | None) -> DataFrame:
+    """(cell, _salts): cells of more than ``rows_per_task`` particles and the tasks to spread them over.
+
+    By default that is half of a shuffle partition's share, so there are at most
+    twice as many such cells as partitions, and the table can be broadcast."""
+    sizes = materialize(parts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), "cell-sizes")
+    if rows_per_task is None:
+        partitions = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        rows_per_task = max(1, (sizes.agg(F.sum("n")).first()[0] or 0) // (2 * partitions))
+    return sizes.where(F.col("n") > rows_per_task).select(*keys, F.ceil(F.col("n") / rows_per_task).alias("_salts"))
+
+
 def neighbour_join(particles: DataFrame, subhalos: DataFrame, *,
                    h: float = H_JOIN, radius_kpc: float = JOIN_RADIUS_KPC,
                    box: float = BOX_SIZE, n_cells: int = GRID_CELLS,
                    strict: bool = True,
                    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-                   salt_buckets: int = DEFAULT_SALT_BUCKETS,
+                   salt_buckets: int | None = None, rows_per_task: int | None = None,
                    max_chunks: int = DEFAULT_MAX_CHUNKS,
                    strategy: str = "auto") -> DataFrame:
     """All (particle, subhalo) pairs with ``sq_dist < (radius_kpc*h)^2``.
@@ -133,7 +145,9 @@ def neighbour_join(particles: DataFrame, subhalos: DataFrame, *,
     is at most ``broadcast_max_rows``, otherwise uses slab chunks of at most
     that size, otherwise a salted shuffle; ``"broadcast"``, ``"chunked"`` and
     ``"shuffle"`` force one of them. ``strict=False`` keeps pairs at exactly
-    the radius (``<=``).
+    the radius (``<=``). ``rows_per_task`` is the number of particles above which
+    a cell is split in the shuffle tier (default: half of a partition's share);
+    ``salt_buckets`` splits every cell in so many parts instead.
     """
     radius = radius_kpc * h
     sq_radius = radius * radius
@@ -143,6 +157,7 @@ def neighbour_join(particles: DataFrame, subhalos: DataFrame, *,
     parts = particle_cells(particles, box, n_cells)
     keys = ["cx", "cy", "cz"]
 
+    broadcast_max_rows = broadcastable_rows(regs, broadcast_max_rows)
     chunks = None
     if strategy in ("auto", "chunked"):
         if strategy == "auto" and regs.count() <= broadcast_max_rows:
@@ -163,10 +178,14 @@ def neighbour_join(particles: DataFrame, subhalos: DataFrame, *,
         for piece in pieces[1:]:
             joined = joined.unionByName(piece)
     elif strategy == "shuffle":
-        buckets = max(1, int(salt_buckets))
-        parts = parts.withColumn(
-            "_salt", F.pmod(F.xxhash64(*[F.col(c) for c in part_cols]), F.lit(buckets)).cast("int"))
-        regs = regs.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+        if salt_buckets:
+            salts = F.lit(int(salt_buckets))
+        else:
+            hot = F.broadcast(_hot_cells(parts, keys, rows_per_task))
+            parts, regs = parts.join(hot, keys, "left"), regs.join(hot, keys, "left")
+            salts = F.coalesce(F.col("_salts"), F.lit(1))
+        parts = parts.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in part_cols]), salts).cast("int")).drop("_salts")
+        regs = regs.withColumn("_salt", F.explode(F.sequence(F.lit(0), (salts - 1).cast("int")))).drop("_salts")
         joined = parts.join(regs, keys + ["_salt"], "inner")
     else:
         raise ValueError(f"unknown strategy {strategy!r}")

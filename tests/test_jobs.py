@@ -15,7 +15,8 @@ from conftest import ROOT, SF_SMALL
 from halokin import session
 from halokin.__main__ import run
 from halokin.constants import H_JOIN, join_radius
-from halokin.operators.neighbors import neighbour_join, rename_subhalos, subhalo_registrations
+from halokin.operators.joinback import broadcastable_rows
+from halokin.operators.neighbors import _hot_cells, neighbour_join, particle_cells, rename_subhalos, subhalo_registrations
 from halokin.operators.sweep import fixed_apertures, shell_mean_velocity, sweep
 from halokin.plans import jobs
 from halokin.session import scratch_path
@@ -147,6 +148,24 @@ def test_a_chunk_reads_its_own_files_only(spark):
     assert neighbour_join(snap, subs.limit(0), strategy="chunked").count() == 0
 
 
+def test_only_hot_cells_are_salted(spark):
+    parts, subs = fx.star_particles(spark, SF_SMALL), fx.subhalo_catalog(spark, SF_SMALL)
+    want = neighbour_join(parts, subs, strategy="broadcast")
+    for rows in (None, 3, 10**9):
+        got = neighbour_join(parts, subs, strategy="shuffle", rows_per_task=rows)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    cells = particle_cells(parts)
+    hot = _hot_cells(cells, ["cx", "cy", "cz"], 40).collect()
+    sizes = [r["count"] for r in cells.groupBy("cx", "cy", "cz").count().collect()]
+    assert sorted(r["_salts"] for r in hot) == sorted(-(-n // 40) for n in sizes if n > 40) and hot
+
+
+def test_broadcast_is_bounded_by_bytes(spark):
+    narrow, wide = spark.range(1), spark.range(1).select(*[F.lit("x").alias(f"c{k}") for k in range(50)])
+    assert broadcastable_rows(narrow, 10) == 10
+    assert broadcastable_rows(wide, 10**9) * 50 * 40 <= 256 * 2**20
+
+
 def test_partitioned_sink_splits_a_hot_key(spark):
     """A third of all rows has one key: the rebalance writes it by more than four tasks."""
     old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions")}
