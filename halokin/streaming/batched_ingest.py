@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from ..session import scratch_path
-from ..sources.ingest import read_particle_csv
+from ..sources.ingest import empty_particles, read_particle_csv, scan_batches
 
 STATUS_SCHEMA = T.StructType([
     T.StructField("batch_id", T.LongType(), False),
@@ -85,6 +85,13 @@ def failed_files(spark: SparkSession, out_root: str) -> DataFrame:
     return last.where("x.status = 'failed'").select("file", "x.batch_id")
 
 
+def read_batches(spark: SparkSession, out_root: str, species: str = "dm") -> DataFrame:
+    """The particles of all batches so far; an empty table if there are none yet."""
+    if not batch_status(spark, out_root).where("status = 'ok'").head(1):
+        return empty_particles(spark, species)
+    return scan_batches(spark, out_root, "batch_")
+
+
 def retry_failed(spark: SparkSession, out_root: str, species: str = "dm", *, mode: str = "PERMISSIVE",
                  n_files: Optional[int] = None) -> DataFrame:
     """Try again all files whose last status is failed; returns their new status rows.
@@ -106,8 +113,7 @@ def ingest_in_batches(spark: SparkSession, source_dir: str, out_root: str, speci
                       recursive: bool = True) -> DataFrame:
     """Convert every CSV under ``source_dir`` into ``out_root/batch_<id>`` Parquet
     directories, ``files_per_batch`` files per batch, after retrying what failed in
-    earlier runs. Returns this run's status rows; read the data with
-    ``spark.read.parquet(f"{out_root}/batch_*")``.
+    earlier runs. Returns this run's status rows; ``read_batches`` reads the data.
     """
     retried = retry_failed(spark, out_root, species, mode=mode, n_files=n_files)
     reader = (spark.readStream.format("binaryFile").schema(_FILE_LIST).option("pathGlobFilter", file_glob)

@@ -19,10 +19,11 @@ from halokin.operators.joinback import broadcastable_rows
 from halokin.operators.neighbors import _hot_cells, neighbour_join, particle_cells, rename_subhalos, subhalo_registrations
 from halokin.operators.sweep import fixed_apertures, shell_mean_velocity, sweep
 from halokin.plans import jobs
+from halokin.schemas import DM_PARTICLES
 from halokin.session import scratch_path
 from halokin.sources import fixtures as fx
 from halokin.sources import ingest, sinks
-from halokin.streaming.batched_ingest import batch_status, failed_files, ingest_in_batches
+from halokin.streaming.batched_ingest import batch_status, failed_files, ingest_in_batches, read_batches
 
 HEADER = "px,py,pz,vx,vy,vz,ID"
 
@@ -79,10 +80,11 @@ def test_failed_files_are_recovered_by_the_next_run(spark, tmp_path):
     raw = write(str(tmp_path / "raw"), **good, bad="px,py\n1,2\n")
     out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
     go = lambda: run(["ingest", "--species", "dm", "--csv", raw, "--out", out, "--files-per-batch", "100"], spark)
+    assert read_batches(spark, out, "dm").schema == DM_PARTICLES and read_batches(spark, out, "dm").count() == 0
     first = ingest_in_batches(spark, raw, out, "dm", files_per_batch=100, checkpoint=ckpt).collect()
     assert sum(len(r["files"]) for r in first if r["status"] == "ok") == 5
     assert [os.path.basename(f) for r in first if r["status"] == "failed" for f in r["files"]] == ["bad.csv"]
-    assert len(ids(spark.read.parquet(out + "/batch_*"))) == 5 and failed_files(spark, out).count() == 1
+    assert len(ids(read_batches(spark, out, "dm"))) == 5 and failed_files(spark, out).count() == 1
     again = ingest_in_batches(spark, raw, out, "dm", files_per_batch=100, checkpoint=ckpt).collect()
     assert [r["status"] for r in again] == ["failed"]
     write(raw, bad=f"{HEADER}\n9,2,3,4,5,6,9\n")
