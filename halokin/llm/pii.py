@@ -1,11 +1,16 @@
 """Format-preserving pseudonyms for personal data (operator 2).
 
-Candidates are found by one pattern and validated: payment cards by the Luhn digit,
-IBANs by their remainder mod 97, social security numbers by their excluded ranges,
-IPv4 addresses by their octets, dates by the calendar, phone numbers by their digit
-count. A valid value is mapped by a keyed Feistel network within its own format, a
+Candidates have a pattern for each kind and are validated: payment cards by the Luhn digit,
+IBANs by their country's length and their remainder mod 97, social security numbers by their
+excluded ranges, IPv4 addresses by their octets, dates by the calendar, phone numbers by their
+digit count (bare ones as 3-3-4 digits). Cards and IBANs are tried at every start, also inside
+candidates that fail, and the valid ones are marked; then one scan takes the leftmost first, and a
+phone number of free length ends before a mark. Of valid values that overlap the leftmost stands.
+A valid value is mapped by a keyed Feistel network within its own format, a
 permutation: equal values get equal pseudonyms in all documents, different values
-different ones, check digits are right again, and ``decrypt=True`` undoes it.
+different ones, check digits are right again, and ``decrypt=True`` undoes it (but where the
+digits of a neighbour and a card's pseudonym happen to form a valid card, one in ten for each
+such reading, the text is read differently; ``pii`` has every value).
 
 * card, SSN, phone: the digits in two halves, mod 10**k each; separators stay. A card
   keeps its length and gets a new Luhn digit; an SSN keeps the area, so that it stays
@@ -32,17 +37,54 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Fixed patterns of the candidates, in the order in which they are tried.
-PATTERNS = {
-    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
-    "iban": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "date": r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9])",
-    "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9])",
-    "ip": r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9])",
-    "phone": r"(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}(?![0-9])",
-    "card": r"[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![0-9])|[0-9]{4}[ -]?[0-9]{6}[ -]?[0-9]{5}(?![0-9])",
+#: Marks the places where a valid card or IBAN starts, within a text; it and ESCAPE are escaped in texts that hold them.
+MARK, ESCAPE = "\ufdd0", "\ufdd1"
+#: Length of an IBAN by country code.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE BI", 18: "DK FK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ DZ ES MD PK RO SA SE SK ST TN VG",
+    25: "AO CV GW LY MZ PT", 26: "IR IS TR", 27: "BF CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+
+
+def _iban_pattern() -> str:
+    """Of the length of its country; other lengths and codes by the longest run of blocks."""
+    fixed = [rf"(?:{'|'.join(codes.split())})[0-9]{{2}}(?: ?~[A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (rf" ?~[A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+             for n, codes in IBAN_LENGTHS.items()]
+    return rf"(?:{'|'.join(fixed)}|[A-Z]{{2}}[0-9]{{2}}(?: ?~[A-Z0-9]{{4}}){{2,7}}(?: ?~[A-Z0-9]{{1,3}})?)(?![A-Za-z0-9])"
+
+
+_OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
+#: Patterns of the candidates, in the order in which they are tried. ``~``: a mark may stand here.
+_TEMPLATES = {
+    "email": r"[A-Za-z0-9][A-Za-z0-9._%+~-]{0,63}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "iban": _iban_pattern(),
+    "date": r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.~[0-9]{4}|[0-9]{2}/[0-9]{2}/~[0-9]{4})(?![0-9])",
+    "ssn": r"(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-~(?!0000)[0-9]{4}(?![0-9])",
+    "ip": rf"{_OCTET}(?:\.{_OCTET}){{3}}(?![0-9])",
+    # in brackets, or +1 and ten digits, or + and up to 15 digits, or bare 3-3-4
+    "phone": r"(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?~[0-9]{3,4}(?![0-9])"
+             r"|\+1(?:[ .-]?[0-9]){10}(?![0-9])|\+[0-9](?:[ .-]?[0-9]){6,14}(?![0-9])"
+             r"|[0-9]{3}(?:-[0-9]{3}-|\.[0-9]{3}\.| [0-9]{3} )~[0-9]{4}(?![0-9])",
+    "card": r"[0-9]{4}(?:[ -]?~[0-9]{4}){2}[ -]?~[0-9]{1,7}(?![0-9])|[0-9]{4}[ -]?~[0-9]{6}[ -]?~[0-9]{5}(?![0-9])",
 }
-CANDIDATE = r"(?<![A-Za-z0-9_.+-])(?:" + "|".join(PATTERNS.values()) + ")"
+PATTERNS = {k: p.replace("~", "") for k, p in _TEMPLATES.items()}
+#: What may stand before a candidate; numbers may also follow a hyphen behind a digit.
+_WORD_EDGE, _DIGIT_EDGE = r"(?<![A-Za-z0-9_.+-])", r"(?<![A-Za-z0-9_.+])(?<![^0-9]-)"
+_EDGES = {k: _WORD_EDGE if k in ("email", "iban", "ip") else _DIGIT_EDGE for k in PATTERNS}
+#: The kinds whose candidates may overlap: they are tried at every start, and the valid ones marked.
+CHECKED = ("iban", "card")
+STARTS = "|".join(f"{_EDGES[k]}(?={PATTERNS[k]})" for k in CHECKED)
+#: No candidate that is tried is longer, or has more starts inside it.
+LONGEST, MOST_STARTS = 44, 12
+
+
+def _scanned(kind: str) -> str:
+    p = _TEMPLATES[kind].replace("~", MARK if kind == "email" else MARK + "?")
+    return f"{_EDGES[kind]}{MARK}{'' if kind in CHECKED else '?'}(?:{p})"
+
+
+CANDIDATE = "|".join(_scanned(k) for k in PATTERNS)
 KINDS = tuple(PATTERNS)
 ROUNDS = 8
 #: A day pair within 1800-01-01 .. 2199-12-31.
@@ -139,13 +181,34 @@ def kind_of(m: Column) -> Column:
     iban = full["iban"] & F.length(compact).between(15, 34) & (
         _mod97(F.concat(F.substring(compact, F.lit(5), F.length(compact)), F.substring(compact, 1, 4))) == 1)
     year = F.substring(_date_parts(m)[1], 1, 4).cast("int")
-    ssn = full["ssn"] & ~m.rlike("^(?:000|666|9)") & ~m.rlike("-00-") & ~m.rlike("-0000$")
-    octets = F.split(m, r"\.")
-    ip = full["ip"] & F.forall(octets, lambda o: (o.cast("int") <= 255) & ~o.rlike("^0[0-9]"))
     card = full["card"] & F.length(d).between(13, 19) & (_luhn_sum(d) % 10 == 0) & ~d.rlike("^0+$")
     return (F.when(full["email"], "email").when(iban, "iban")
             .when(full["date"] & F.coalesce(year.between(1800, 2199), F.lit(False)), "date")
-            .when(ssn, "ssn").when(ip, "ip").when(full["phone"] & F.length(d).between(7, 15), "phone").when(card, "card"))
+            .when(full["ssn"], "ssn").when(full["ip"], "ip").when(full["phone"], "phone").when(card, "card"))
+
+
+def _marked(text: Column) -> Column:
+    """``text`` with a mark before every valid card or IBAN, also those that overlap others. What starts
+    inside a candidate is tried as well, so one that fails hides nothing."""
+    def judge(parts: Column) -> Column:
+        def one(part: Column, i: Column) -> Column:
+            ahead = F.substring(F.array_join(F.slice(parts, i + 1, F.lit(MOST_STARTS)), ""), 1, LONGEST)
+            value = F.regexp_extract(ahead, f"^(?:{'|'.join(PATTERNS[k] for k in CHECKED)})", 0)
+            return F.when(i == 0, part).when(_let(value, lambda m: kind_of(m).isin(*CHECKED)), F.concat(F.lit(MARK), part)).otherwise(part)
+
+        return F.array_join(F.transform(parts, one), "")
+
+    return F.when(text.rlike(STARTS), _let(F.split(F.regexp_replace(text, STARTS, MARK), MARK, -1), judge)).otherwise(text)
+
+
+def _escaped(text: Column) -> Column:
+    return F.when(text.rlike(f"[{MARK}{ESCAPE}]"), F.regexp_replace(F.regexp_replace(
+        text, ESCAPE, ESCAPE + "\ufdd2"), MARK, ESCAPE + "\ufdd3")).otherwise(text)
+
+
+def _unescaped(text: Column) -> Column:
+    return F.when(text.rlike(ESCAPE), F.regexp_replace(F.regexp_replace(
+        text, ESCAPE + "\ufdd3", MARK), ESCAPE + "\ufdd2", ESCAPE)).otherwise(text)
 
 
 def _card(m: Column, key: str, decrypt: bool) -> Column:
@@ -236,15 +299,17 @@ def pseudonymise(docs: DataFrame, key: str, *, text_col: str = "text", decrypt:
     """``docs`` with the text column replaced, and the columns ``pii`` (array of (kind, value, pseudonym), in
     text order, valid ones only) and ``n_<kind>`` for each kind added (existing ones of these names are replaced)."""
     text = F.col(text_col)
-    # Most texts hold nothing like a candidate: a scan for one character class decides before the full pattern runs.
-    found = F.when(text.rlike("[0-9]|@"), F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    added = ["pii", *(f"n_{k}" for k in KINDS), "__found", "__split"]
-    rest = docs.drop(*[c for c in added if c in docs.columns])
-    marked = rest.withColumn("__found", F.transform(F.coalesce(found, F.array().cast("array<string>")), lambda m: _let(
-        kind_of(m), lambda k: F.struct(k.alias("kind"), m.alias("value"), pseudonym(m, k, key, decrypt).alias("pseudonym")))))
-    joined = F.array_join(F.zip_with(F.split(text, CANDIDATE, -1), F.col("__found"),
-                                     lambda t, f: F.concat(t, F.coalesce(f["pseudonym"], F.lit("")))), "")
-    out = marked.withColumn(text_col, F.when(F.size("__found") > 0, joined).otherwise(text))
-    out = out.withColumn("pii", F.filter("__found", lambda x: x["kind"].isNotNull())).drop("__found")
+    # Most texts hold nothing like a candidate: a scan for one character class decides before the full patterns run.
+    marked = F.when(text.rlike("[0-9]|@"), _marked(_escaped(text)))
+    found = F.when(F.col("__marked").isNotNull(), F.regexp_extract_all("__marked", F.lit(CANDIDATE), F.lit(0)))
+    bare = lambda t: F.regexp_replace(t, MARK, "")
+    added = ["pii", *(f"n_{k}" for k in KINDS), "__found", "__marked"]
+    rest = docs.drop(*[c for c in added if c in docs.columns]).withColumn("__marked", marked)
+    judged = rest.withColumn("__found", F.transform(F.coalesce(found, F.array().cast("array<string>")), lambda x: _let(bare(x), lambda m: _let(
+        kind_of(m), lambda k: F.struct(k.alias("kind"), m.alias("value"), pseudonym(m, k, key, decrypt).alias("pseudonym"))))))
+    joined = F.array_join(F.zip_with(F.split("__marked", CANDIDATE, -1), F.col("__found"),
+                                     lambda t, f: F.concat(bare(t), F.coalesce(f["pseudonym"], F.lit("")))), "")
+    out = judged.withColumn(text_col, F.when(F.size("__found") > 0, _unescaped(joined)).otherwise(text))
+    out = out.withColumn("pii", F.filter("__found", lambda x: x["kind"].isNotNull())).drop("__found", "__marked")
     count = lambda kind: F.size(F.filter("pii", lambda x: x["kind"] == kind))
     return out.withColumns({f"n_{k}": count(k) for k in KINDS})

@@ -129,6 +129,24 @@ def test_invalid_and_missing_values_stay(spark):
     assert pii.pseudonymise(df.limit(0), KEY).count() == 0
 
 
+CARD, MORE = "4111 1111 1111 1111", ["743-555-3824", "743.555.3824", "ES91 2100 0418 4502 0005 1332", "AT61 1904 3002 3457 3201", "BE68 5390 0754 7034"]
+BESIDE = [("in 2023 {} ok", CARD), ("2023-{}", CARD.replace(" ", "-")), ("{} 2023", CARD), ("12 {} 7", CARD), ("2023-{}", "123-45-6789"),
+          ("2020-01-01-{}", "2021-01-01"), ("EUR {} EUR", CARD), ("\ufdd0 1234 {} \ufdd1\ufdd2", CARD), ("DE12 {}", "GB82 WEST 1234 5698 7654 32"),
+          *((form, v) for v in MORE + ["GB82WEST12345698765432", "70.123.182.155", "+1 988 555 2485"]
+            for form in ("{} EUR", "{} BIC 12", "{} 2001", "2023 {}", "SWIFT {} X"))]
+
+
+def test_a_failed_candidate_hides_nothing(spark):
+    df = spark.createDataFrame([(i, form.format(v)) for i, (form, v) in enumerate(BESIDE)], "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.pseudonymise(df, KEY).collect()}
+    for i, (form, v) in enumerate(BESIDE):
+        new = {value: p for _, value, p in got[i].pii}
+        assert v in new and new[v] != v and (len(new) > 1 or got[i].text == form.format(new[v])), (form, v, got[i])
+    phone_and_card = spark.createDataFrame([("+49 30 1234567 " + CARD,), (CARD + " " + CARD,)], "text string")
+    assert [[(k, v) for k, v, _ in r.pii] for r in pii.pseudonymise(phone_and_card, KEY).collect()] == [
+        [("phone", "+49 30 1234567"), ("card", CARD)], [("card", CARD), ("card", CARD)]]
+
+
 # ------------------------------------------------------------------ pipeline
 
 
