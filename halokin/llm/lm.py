@@ -147,7 +147,7 @@ def backoff_scores(row: np.ndarray, seen: list[np.ndarray], inside: list[np.ndar
     return score, lower
 
 
-def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", order: int = 2) -> DataFrame:
+def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", order: int = 3) -> DataFrame:
     """(id, n_words, n_backoff, log_score, perplexity) of every row."""
     chunks = materialize(_chunks(docs, id_col, text_col), "lm-chunks")
     size = chunks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0

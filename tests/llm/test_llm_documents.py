@@ -121,6 +121,16 @@ def test_backoff_empty_and_repeated(spark, none):
     assert len(got) == 3 and len({tuple(r) for r in got}) == 1 and got[0].n_backoff == 0
 
 
+def test_the_query_counts_trigrams(spark, tmp_path):
+    """Known bigrams put together anew are no fluent text."""
+    rows = [(1, "a b c d"), (2, "a b c d"), (3, "x b d y"), (4, "x b d y"), (5, "a b d y"), (6, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in queries.op8_lm_backoff(spark, str(tmp_path)).collect()}
+    for k, (n, lower, score) in brute.backoff(rows, 3).items():
+        assert (got[k].n_words, got[k].n_backoff) == (n, lower) and got[k].log_score == pytest.approx(score, rel=1e-9, abs=1e-9)
+    assert got[1].n_backoff == 0 and got[5].n_backoff == 1
+
+
 @pytest.mark.parametrize("width, percent", [(3, 85), (5, 80)])
 def test_near_duplicates(texts, width, percent):
     rows, df = texts
