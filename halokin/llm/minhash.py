@@ -182,6 +182,11 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """Per row of ``docs``: id, n_shingles, component_id, kept (the id is its component's smallest), node (hash of id and text).
 
     Links join rows whose shingle sets have 100 * intersection >= percent * union."""
+    return _labelled(docs, id_col, text_col, width, percent).drop("label")
+
+
+def _labelled(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
+    """The columns of ``near_duplicates``, and label: a node that stands for the component; for an empty set its own."""
     bands, rows = banding(percent)
     sigs = materialize(_signatures(docs, id_col, text_col, width, bands, rows), "minhash-sigs")
     classes = materialize(sigs.where("n > 0").groupBy("f1", "f2").agg(
@@ -218,18 +223,23 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     named = classes.join(labels, "node", "left").select("f1", "f2", "id", F.coalesce("label", "node").alias("label"))
     lowest = named.groupBy("label").agg(F.min("id").alias("component_id"))
-    of_class = named.join(lowest, "label").select("f1", "f2", "component_id")
-    empty = sigs.where("n = 0").select("id", "n", F.col("id").alias("component_id"), "node")
-    out = sigs.where("n > 0").select("id", "n", "f1", "f2", "node").join(of_class, ["f1", "f2"]).select("id", "n", "component_id", "node").union(empty)
+    of_class = named.join(lowest, "label").select("f1", "f2", "component_id", "label")
+    empty = sigs.where("n = 0").select("id", "n", F.col("id").alias("component_id"), "node", F.col("node").alias("label"))
+    out = sigs.where("n > 0").select("id", "n", "f1", "f2", "node").join(of_class, ["f1", "f2"]).select(
+        "id", "n", "component_id", "node", "label").union(empty)
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
-                      F.col("id").eqNullSafe(F.col("component_id")).alias("kept"), "node")
+                      F.col("id").eqNullSafe(F.col("component_id")).alias("kept"), "node", "label")
 
 
 def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` without near-duplicates: of each component the document of the smallest id stays, once.
+    """The rows of ``docs`` without near-duplicates: of each component the document of the smallest id stays, once;
+    of equal ids that of the smallest hash, and one of a null id only where all are null.
     Texts are shuffled only where a row may go."""
-    judged = near_duplicates(docs, id_col=id_col, text_col=text_col, width=width, percent=percent)
-    nodes = judged.groupBy("node").agg(F.bool_and("kept").alias("kept"), F.count("*").alias("n"))
+    judged = _labelled(docs, id_col, text_col, width, percent)
+    nodes = materialize(judged.groupBy("node").agg(F.min("label").alias("label"), F.min(id_col).alias("id"), F.count("*").alias("n")), "minhash-nodes")
+    first = nodes.groupBy("label").agg(F.min(F.struct(F.col("id").isNull(), "id", "node")).alias("x")).select(
+        F.col("x.node").alias("node"), F.lit(True).alias("kept"))
+    nodes = nodes.join(first, "node", "left").select("node", F.coalesce("kept", F.lit(False)).alias("kept"), "n")
     change = materialize(nodes.where("NOT kept OR n > 1").select(F.col("node").alias("__rid"), "kept"), "minhash-gone")
     rows = docs.withColumn("__rid", F.xxhash64(id_col, text_col))
     maybe, rest = Bloom(change, "__rid", change.count()).split(rows, "__rid")

@@ -163,6 +163,17 @@ def test_one_of_each(spark, none):
     assert minhash.near_duplicates(none).count() == 0 and minhash.one_of_each(none).count() == 0
 
 
+def test_one_of_each_without_distinct_ids(spark):
+    """Near copies whose ids are all null, or all equal, or both."""
+    words = [f"w{k}" for k in range(200)]
+    copies = lambda tag: [" ".join([f"{tag}{w}" for w in words] + [f"end{k}"]) for k in range(4)]
+    rows = ([(None, t) for t in copies("a")] + [(7, t) for t in copies("b")] + [(i, t) for i, t in zip((None, 9, 9, None), copies("c"))]
+            + [(i, t) for i, t in zip((4, 3, 5, 3), copies("d"))] + [(None, ""), (None, " ")])
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.text[:3].strip(), r.doc_id) for r in minhash.one_of_each(df).collect()]
+    assert sorted(got, key=repr) == sorted([("aw0", None), ("bw0", 7), ("cw0", 9), ("dw0", 3), ("", None), ("", None)], key=repr)
+
+
 @pytest.mark.parametrize("block", [4_000_000, 500])
 def test_passages(spark, texts, block):
     rows, df = texts
