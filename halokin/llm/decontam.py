@@ -11,8 +11,9 @@ merge into removal spans. Documents are never shuffled.
 The benchmark goes to the tasks in blocks of at most ``block_bytes`` of text, one
 pass over the batches for each block, so what a task holds does not grow with it.
 
-Defined results: null or empty text has no words and is not contaminated. Items that
-are null or have no word have no window. Repeated documents and items are searched
+Defined results: null or empty text has no words and is not contaminated. Items whose
+text is null or has no word have no window; an item without an id is searched like others, but has
+no name among the items found. Repeated documents and items are searched
 alike; the same item id counts once for a document. An empty benchmark or document
 table gives no hits or no rows. Columns of ``docs`` with the names of the added ones
 are replaced.
@@ -135,7 +136,7 @@ class FMIndex:
 class Windows:
     """The windows of a block of items: vocabulary, patterns by length, items of each pattern."""
 
-    def __init__(self, items: Iterable[tuple[str, str]], window: int) -> None:
+    def __init__(self, items: Iterable[tuple[str | None, str]], window: int) -> None:
         items = list(items)
         ids = np.array([i for i, _ in items], object)
         data, off = tb.utf8(pa.array([t for _, t in items], pa.string()))
@@ -147,7 +148,9 @@ class Windows:
             a, b = np.searchsorted(row, [r, r + 1])
             size = min(window, b - a)
             for k in range(a, b - size + 1) if size else ():
-                known.setdefault(tuple(symbol[k: k + size].tolist()), set()).add(str(ids[r]))
+                names = known.setdefault(tuple(symbol[k: k + size].tolist()), set())
+                if ids[r] is not None:
+                    names.add(str(ids[r]))
         self.by_length = {}
         for size in sorted({len(p) for p in known}):
             patterns = [p for p in known if len(p) == size]
@@ -257,7 +260,7 @@ def mark_passages(docs: DataFrame, items: DataFrame, *, id_col: str = "item_id",
     """``docs`` with n_words, n_hit (words inside an occurrence of a window), spans (merged removal spans, byte
     offsets in the UTF-8 text) and items (ids of the items found, as sorted strings). With ``remove`` the
     text loses its spans."""
-    some = items.select(F.col(id_col).cast("string").alias("id"), F.col(item_text).alias("text")).where("id IS NOT NULL AND text IS NOT NULL")
+    some = items.select(F.col(id_col).cast("string").alias("id"), F.col(item_text).alias("text")).where("text IS NOT NULL")
     total = some.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-total // block_bytes) or 1
     part = F.pmod(F.xxhash64("id", "text"), F.lit(blocks))

@@ -174,6 +174,16 @@ def test_one_of_each_without_distinct_ids(spark):
     assert sorted(got, key=repr) == sorted([("aw0", None), ("bw0", 7), ("cw0", 9), ("dw0", 3), ("", None), ("", None)], key=repr)
 
 
+@pytest.mark.parametrize("block", [4_000_000, 500])
+def test_items_without_an_id_are_searched(spark, block):
+    items = spark.createDataFrame([(None, "red green blue"), (5, "one two"), (None, "one two"), (None, None)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "a red green blue b"), (2, "one two three"), (3, "red green")], "doc_id long, text string")
+    got = {r.doc_id: (r.n_hit, r["items"]) for r in decontam.mark_passages(docs, items, block_bytes=block // 100).collect()}
+    assert got == {1: (3, []), 2: (2, ["5"]), 3: (0, [])}
+    cut = {r.doc_id: r.text for r in decontam.mark_passages(docs, items, remove=True).collect()}
+    assert cut == {1: "a  b", 2: " three", 3: "red green"}
+
+
 @pytest.mark.parametrize("block", [4_000_000, 500])
 def test_passages(spark, texts, block):
     rows, df = texts
