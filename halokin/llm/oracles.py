@@ -59,3 +59,23 @@ FROM docs d LEFT JOIN (
   FROM judged GROUP BY doc_id
 ) USING (doc_id)
 """
+
+_TERMS = f"regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+RANKED_SEARCH = f"""
+WITH occ AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents
+), lengths AS (SELECT doc_id, count(*) AS n FROM occ GROUP BY doc_id
+), total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM lengths
+), tfs AS (SELECT doc_id, term, count(*) AS tf FROM occ GROUP BY doc_id, term
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tfs, total GROUP BY term
+), wanted AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark)
+), scores AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // terms))))::BIGINT AS score
+  FROM wanted JOIN weights USING (term) JOIN tfs USING (term) JOIN lengths USING (doc_id), total
+  GROUP BY item_id, doc_id
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+WHERE rank <= 10
+"""

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontam, langid, lines, lm, minhash, oracles, pieces, pii, quality, token_files, urls
+from . import alignment, decontam, html_text, langid, lines, lm, minhash, oracles, pieces, pii, quality, search, token_files, urls
 
 #: The rules that op7 judges by.
 URL_RULES = (
@@ -92,7 +92,21 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digests(spark, path)
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = search.build_index(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return search.search(index, table(spark, sf_dir, "benchmark"))
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_pii_pseudonyms, op3_language_mixture, op4_line_dedup, op5_minhash_near_duplicates, op6_sentencepiece, op7_url_filter,
-    op8_lm_backoff, op9_decontamination, op10_token_files)}
-ORACLES = {"op4_line_dedup": oracles.LINE_DEDUP, "op7_url_filter": oracles.URL_FILTER}
+    op8_lm_backoff, op9_decontamination, op10_token_files, op11_ranked_search, op12_tokenizer_alignment, op13_html_text)}
+ORACLES = {"op4_line_dedup": oracles.LINE_DEDUP, "op7_url_filter": oracles.URL_FILTER, "op11_ranked_search": oracles.RANKED_SEARCH}
