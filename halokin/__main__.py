@@ -74,7 +74,7 @@ def run(argv: list[str], spark: SparkSession | None = None) -> dict:
     from .operators.neighbors import neighbour_join
     from .plans import jobs
     from .sources import ingest, sinks
-    from .streaming.batched_ingest import ingest_in_batches
+    from .streaming.batched_ingest import ingest_in_batches, read_snapshot
 
     if args.job == "ingest":
         if args.files_per_batch:
@@ -95,12 +95,12 @@ def run(argv: list[str], spark: SparkSession | None = None) -> dict:
         sinks.write_parquet(cat, args.out)
         return {"subhalos": spark.read.parquet(args.out).count(), "out": args.out}
     if args.job == "join":
-        particles = spark.read.option("recursiveFileLookup", True).parquet(args.particles)
+        particles = read_snapshot(spark, args.particles)
         pairs = neighbour_join(particles, spark.read.parquet(args.subhalos), h=args.h, radius_kpc=args.radius)
         jobs.write_pair_table(pairs, args.out)
         return {"pairs": spark.read.parquet(args.out).count(), "out": args.out}
     if args.job == "pairs":
-        particles = spark.read.option("recursiveFileLookup", True).parquet(args.particles)
+        particles = read_snapshot(spark, args.particles)
         jobs.partitioned_pairs_job(particles, spark.read.parquet(args.subhalos), spark.read.parquet(args.radii), args.out,
                                    h=args.h, buckets=args.buckets or None)
         return {"pairs": spark.read.parquet(args.out).count(), "out": args.out}

@@ -15,10 +15,11 @@ aggregation, written to the shared folder, and joined back.
   large side. Range boundaries come from approximate quantiles of the small
   table; one subhalo has only a handful of statistics rows, so no range can
   be dominated by one key.
-* Otherwise both sides are shuffled on the key plus a salt: every row gets a
-  deterministic salt from a hash of its own values, and every statistics row is
-  replicated once per salt value, so a hot group is split over ``salt_buckets``
-  tasks instead of landing in one.
+* Otherwise both sides are shuffled on the key. Groups of more rows than a
+  ``PIECES``-th of a partition's share, by their counts, are cut in pieces of that size: a row
+  gets a deterministic salt below the number of its group's pieces, from a hash of its own values, and
+  the group's statistics row is there once for each piece. A group of a third of all rows falls into as many
+  pieces as that is, spread over all tasks; small groups are neither salted nor repeated.
 """
 
 from __future__ import annotations
@@ -35,8 +36,9 @@ from ..session import materialize
 # Rows of a table that may be broadcast, and its bytes in memory, whichever is less.
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
 BROADCAST_MAX_BYTES = 256 * 2**20
-DEFAULT_SALT_BUCKETS = 16
 DEFAULT_MAX_CHUNKS = 64
+#: Pieces that a shuffle partition's share of the rows is cut into; larger groups are salted.
+PIECES = 16
 
 
 def broadcastable_rows(table: DataFrame, max_rows: int) -> int:
@@ -67,21 +69,38 @@ def _in_range(col: str, lo, hi) -> Column:
     return cond
 
 
+def hot_groups(sizes: DataFrame, keys: Sequence[str], rows_per_task: int | None = None) -> DataFrame:
+    """(keys, _salts): the groups of ``sizes`` (keys, n) with more than ``rows_per_task`` rows, and their pieces.
+
+    By default that is a ``PIECES``-th of a shuffle partition's share, so there are fewer such groups than ``PIECES``
+    times the partitions: a table that can be broadcast."""
+    if rows_per_task is None:
+        partitions = int(sizes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        rows_per_task = max(1, (sizes.agg(F.sum("n")).first()[0] or 0) // (PIECES * partitions))
+    return sizes.where(F.col("n") > rows_per_task).select(*keys, F.ceil(F.col("n") / rows_per_task).cast("int").alias("_salts"))
+
+
 def attach(rows: DataFrame, stats: DataFrame, keys: Sequence[str], *,
            salt_cols: Sequence[str] | None = None,
            broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-           salt_buckets: int = DEFAULT_SALT_BUCKETS,
+           salt_buckets: int | None = None,
+           rows_per_task: int | None = None,
            n_stats: int | None = None,
+           count_col: str | None = None,
            chunk_col: str | None = "subhalo_id",
            max_chunks: int = DEFAULT_MAX_CHUNKS) -> DataFrame:
     """Inner-join ``stats`` (one row per key) onto ``rows`` by ``keys``.
 
     ``n_stats`` is the known row count of ``stats``; when omitted it is counted
-    (cheap on a materialized table). ``chunk_col`` (present on both sides, a
-    key or a per-group constant) defines the ranges of the middle tier.
+    (cheap on a materialized table). ``count_col`` names a column of ``stats`` with the rows of each
+    group, which is not attached; without it the shuffle tier counts them. ``chunk_col`` (present on both sides, a
+    key or a per-group constant) defines the ranges of the middle tier. ``salt_buckets`` salts
+    every group that often instead of by its size.
     """
     keys = list(keys)
     n = stats.count() if n_stats is None else n_stats
+    sizes = stats.select(*keys, F.col(count_col).alias("n")) if count_col else None
+    stats = stats.drop(count_col) if count_col else stats
     broadcast_max_rows = broadcastable_rows(stats, broadcast_max_rows)
     shared = bool(chunk_col) and chunk_col in rows.columns and chunk_col in stats.columns
     # a range column that is a per-group constant, not a key, is taken from the rows only
@@ -98,17 +117,25 @@ def attach(rows: DataFrame, stats: DataFrame, keys: Sequence[str], *,
         for piece in pieces[1:]:
             out = out.unionByName(piece)
         return out
-    buckets = max(1, int(salt_buckets))
     src = list(salt_cols) if salt_cols else [c for c in rows.columns if c not in keys]
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*src), F.lit(buckets)).cast("int"))
-    spread = stats.drop(*extra).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    stats = stats.drop(*extra)
+    if salt_buckets:
+        salts = F.lit(int(salt_buckets))
+    else:
+        if sizes is None:
+            sizes = materialize(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), "group-sizes")
+        hot = F.broadcast(hot_groups(sizes, keys, rows_per_task))
+        rows, stats = rows.join(hot, keys, "left"), stats.join(hot, keys, "left")
+        salts = F.coalesce(F.col("_salts"), F.lit(1))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*src), salts).cast("int")).drop("_salts")
+    spread = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
     return salted.join(spread, keys + ["_salt"], "inner").drop("_salt")
 
 
 def group_totals(rows: DataFrame, keys: Sequence[str], totals: dict, *,
                  salt_cols: Sequence[str] | None = None,
                  broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-                 salt_buckets: int = DEFAULT_SALT_BUCKETS,
+                 salt_buckets: int | None = None,
                  tag: str = "group-totals") -> DataFrame:
     """Every row of ``rows`` with per-group aggregates ``totals`` (name -> Column).
 
@@ -116,7 +143,7 @@ def group_totals(rows: DataFrame, keys: Sequence[str], totals: dict, *,
     frame, but with partial aggregation and a size-checked join back. Rows with
     a NULL key are dropped (they match no group), as an inner join would.
     """
-    stats = rows.groupBy(*keys).agg(*[c.alias(n) for n, c in totals.items()])
+    stats = rows.groupBy(*keys).agg(*[c.alias(n) for n, c in totals.items()], F.count(F.lit(1)).alias("_n"))
     stats = materialize(stats, tag)
-    return attach(rows, stats, keys, salt_cols=salt_cols,
+    return attach(rows, stats, keys, salt_cols=salt_cols, count_col="_n",
                   broadcast_max_rows=broadcast_max_rows, salt_buckets=salt_buckets)

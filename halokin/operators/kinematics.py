@@ -28,7 +28,7 @@ Execution: no windows. Each pass is a grouped aggregation with partial
 (map-side) aggregation, so a group holding a third of all rows is reduced
 locally in every task before the shuffle. The small per-group tables are
 written to the shared folder and joined back (broadcast when their exact row
-count allows, salted shuffle otherwise; see ``joinback``).
+count allows, a shuffle with large groups salted otherwise; see ``joinback``).
 
 * ``method="three_pass"`` (default): pass 1 -> M, vbar; pass 2 -> J from
   u = v - vbar on every row (the same arithmetic as the original formulation);
@@ -54,7 +54,7 @@ from pyspark.sql import functions as F
 from ..functions.vectors import cross, divide, dot, norm, norm2, safe_div, scale, sq, sub
 from ..schemas import MEASURES, UNIT_J
 from ..session import materialize
-from .joinback import DEFAULT_BROADCAST_MAX_ROWS, DEFAULT_SALT_BUCKETS, attach
+from .joinback import DEFAULT_BROADCAST_MAX_ROWS, attach
 
 X = ("rel_px", "rel_py", "rel_pz")
 V = ("vx", "vy", "vz")
@@ -78,14 +78,14 @@ def _mean_velocity(base: DataFrame, keys: Sequence[str], two_pass: bool,
     m = F.col("mass")
     x, v = _vec(X), _vec(V)
     aggs = [F.max(c).alias(c) for c in carry]
-    aggs += [F.sum(m).alias("_M")] + [F.sum(m * c).alias(f"_mv{i}") for i, c in enumerate(v)]
+    aggs += [F.count(F.lit(1)).alias("_n"), F.sum(m).alias("_M")] + [F.sum(m * c).alias(f"_mv{i}") for i, c in enumerate(v)]
     if two_pass:
         aggs += [F.sum(m * c).alias(f"_mx{i}") for i, c in enumerate(x)]
         aggs += [F.sum(m * c).alias(f"_mxv{i}") for i, c in enumerate(cross(x, v))]
         aggs += [F.sum(m * norm(x) * norm(v)).alias("_JS"), F.sum(m * norm(x)).alias("_mr")]
     s = base.groupBy(*keys).agg(*aggs)
     vbar = [safe_div(F.col(f"_mv{i}"), F.col("_M")).alias(f"_vb{i}") for i in range(3)]
-    cols = [*keys, *carry, "_M", *vbar]
+    cols = [*keys, *carry, "_n", "_M", *vbar]
     if two_pass:
         mx = _vec(["_mx0", "_mx1", "_mx2"])
         vb = tuple(safe_div(F.col(f"_mv{i}"), F.col("_M")) for i in range(3))
@@ -204,28 +204,30 @@ def _measures(s: DataFrame, keys: Sequence[str], with_unit_j: bool, carry: Seque
 
 def kinematics(rows: DataFrame, keys: Sequence[str] = ("subhalo_id",), *,
                method: str = "three_pass", with_unit_j: bool = False,
-               carry: Sequence[str] = (), j_tolerance: float = 0.0, mean_velocity: DataFrame | None = None,
+               carry: Sequence[str] = (), j_tolerance: float = 0.0, axis: DataFrame | None = None,
                broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-               salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+               salt_buckets: int | None = None) -> DataFrame:
     """Per-group kinematics; one output row per group with a valid row.
 
     ``rows`` are already restricted to the aperture and carry ``mass``.
     ``carry`` names columns that are constant within a group (returned with the
-    result, never used as grouping keys). ``mean_velocity`` may give the first
-    pass's result: keys, carry, ``_M`` and ``_vb0`` to ``_vb2``.
+    result, never used as grouping keys). ``axis`` may give the result of the first two
+    passes: keys, carry, ``_n`` (rows), ``_M``, ``_vb0`` to ``_vb2``, ``_J0`` to ``_J2``, ``_noise`` and ``_V0``.
     """
     keys = list(keys)
     carry = list(carry)
     base = kinematic_input(rows, keys, carry)
     join_opts = dict(salt_cols=_SALT_COLS, broadcast_max_rows=broadcast_max_rows,
-                     salt_buckets=salt_buckets)
+                     salt_buckets=salt_buckets, count_col="_n")
     # a carried subhalo id stays on the rows: it is the range column of the
     # chunked join-back tier (pair tables are sorted by it)
     keep = [c for c in carry if c == "subhalo_id"]  # if it is no key itself
     drop = [c for c in carry if c not in keep]
-    if method == "three_pass":
-        s1 = _mean_velocity(base, keys, False, carry) if mean_velocity is None else mean_velocity
-        s1 = materialize(s1, "kin-vbar")
+    if axis is not None:
+        stats = materialize(axis, "kin-J")
+        n_groups = stats.count()
+    elif method == "three_pass":
+        s1 = materialize(_mean_velocity(base, keys, False, carry), "kin-vbar")
         n_groups = s1.count()  # exact size of every per-group table below
         rows1 = attach(base.drop(*drop), s1.drop(*drop), keys, n_stats=n_groups, **join_opts)
         stats = materialize(_angular_momentum(rows1, s1, keys, j_tolerance), "kin-J")
@@ -234,7 +236,7 @@ def kinematics(rows: DataFrame, keys: Sequence[str] = ("subhalo_id",), *,
         n_groups = stats.count()
     else:
         raise ValueError(f"unknown method {method!r}")
-    slim = stats.select(*keys, *keep, "_M", "_vb0", "_vb1", "_vb2", "_J0", "_J1", "_J2", "_V0")
+    slim = stats.select(*keys, *keep, "_n", "_M", "_vb0", "_vb1", "_vb2", "_J0", "_J1", "_J2", "_V0")
     rows2 = attach(base.drop(*drop), slim, keys, n_stats=n_groups, **join_opts)
     sums = _final_sums(rows2, keys)
     per_group = stats.select(*keys, *carry, "_M", "_J0", "_J1", "_J2", "_noise", "_V0")
@@ -243,7 +245,7 @@ def kinematics(rows: DataFrame, keys: Sequence[str] = ("subhalo_id",), *,
 
 def velocity_moments(rows: DataFrame, keys: Sequence[str] = ("subhalo_id",), *,
                      broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-                     salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+                     salt_buckets: int | None = None) -> DataFrame:
     """Per group, over all rows: total kinetic energy 1/2 sum m u.u and the
     mass-weighted variances sum m u_k^2 / M (k = x, y, z) and their sum.
 
@@ -254,7 +256,7 @@ def velocity_moments(rows: DataFrame, keys: Sequence[str] = ("subhalo_id",), *,
     base = kinematic_input(rows, keys)
     s1 = materialize(_mean_velocity(base, keys, two_pass=False), "moments-vbar")
     r = attach(base, s1, keys, salt_cols=_SALT_COLS, broadcast_max_rows=broadcast_max_rows,
-               salt_buckets=salt_buckets)
+               salt_buckets=salt_buckets, count_col="_n")
     m = F.col("mass")
     u = sub(_vec(V), _vec(["_vb0", "_vb1", "_vb2"]))
     s = r.groupBy(*keys, "_M").agg(

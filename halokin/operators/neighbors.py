@@ -14,7 +14,9 @@ Plan (Spark-first form of a grid pre-filter):
    broadcast join of the particles of its slab range only, selected by a
    ``px`` range that Parquet can prune on row-group statistics, so a
    snapshot clustered by x (``jobs.write_snapshot``) is read about once and never
-   shuffled. Only if a single slab exceeds the limit are both sides shuffled on the
+   shuffled, whatever the number of chunks: beyond ``max_chunks`` they are worked off in
+   waves. A slab beyond the limit is cut into up to ``MAX_PARTS`` parts by cell. Only the particles of
+   still fuller slabs are shuffled on the
    cell key. Cells with more particles than a task should have are found by a
    count first; only they are salted, over as many tasks as their size asks for.
 3. The exact test ``|min_image(p - s)|^2 < radius^2`` runs after the join, in
@@ -28,6 +30,10 @@ pair table), the renamed subhalo columns, ``subhalo_ix..iz``, the displacement
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,10 +42,12 @@ from ..functions import grid
 from ..functions.grid import cell_size
 from ..functions.vectors import min_image, sq
 from ..schemas import SUBHALO_RENAMES
-from ..session import materialize
-from .joinback import DEFAULT_BROADCAST_MAX_ROWS, broadcastable_rows
+from ..session import materialize, scratch_path
+from .joinback import DEFAULT_BROADCAST_MAX_ROWS, broadcastable_rows, hot_groups
 
 DEFAULT_MAX_CHUNKS = 64
+#: Parts that an x-slab's registrations are cut into at most; its particles are read once for each.
+MAX_PARTS = 4
 
 
 def rename_subhalos(catalog: DataFrame) -> DataFrame:
@@ -84,30 +92,6 @@ def particle_cells(particles: DataFrame, box: float = BOX_SIZE, n_cells: int = G
     })
 
 
-def slab_chunks(regs: DataFrame, limit: int, max_chunks: int) -> list[tuple[int, int]] | None:
-    """Consecutive x-slab ranges ``[k0, k1)`` holding at most ``limit`` registrations each.
-
-    Reads one count per occupied slab (at most ``n_cells`` small rows). Returns
-    None when a single slab exceeds the limit or more than ``max_chunks`` chunks
-    would be needed. Slabs without registrations are left out: their particles
-    have no partners.
-    """
-    per_slab = sorted((r["cx"], r["n"]) for r in regs.groupBy("cx").agg(F.count(F.lit(1)).alias("n")).collect())
-    chunks, start, prev, total = [], None, None, 0
-    for cx, n in per_slab:
-        if n > limit:
-            return None
-        if start is not None and total + n > limit:
-            chunks.append((start, prev + 1))
-            start, total = None, 0
-        if start is None:
-            start = cx
-        prev, total = cx, total + n
-    if start is not None:
-        chunks.append((start, prev + 1))
-    return chunks if len(chunks) <= max_chunks else None
-
-
 def _slab_filter(k0: int, k1: int, box: float, n_cells: int) -> Column:
     """Rows whose wrapped x cell is in ``[k0, k1)``: an exact test on the cell,
     and a ``px`` range superset of it that the scan can push down."""
@@ -119,16 +103,80 @@ def _slab_filter(k0: int, k1: int, box: float, n_cells: int) -> Column:
     return superset & (F.col("cx") >= k0) & (F.col("cx") < k1)
 
 
-def _hot_cells(parts: DataFrame, keys: list[str], rows_per_task: int | None) -> DataFrame:
-    """(cell, _salts): cells of more than ``rows_per_task`` particles and the tasks to spread them over.
+@dataclass(frozen=True)
+class Chunk:
+    """Registrations of the x-slabs ``[k0, k1)``: all, or one ``part`` of ``parts`` by a hash of the cell."""
+    k0: int
+    k1: int
+    part: int = 0
+    parts: int = 1
+
+    def _own(self) -> Column:
+        own = (F.col("cx") >= self.k0) & (F.col("cx") < self.k1)
+        return own & (F.pmod(F.xxhash64("cx", "cy", "cz"), F.lit(self.parts)) == self.part) if self.parts > 1 else own
+
+    def registrations(self, regs: DataFrame) -> DataFrame:
+        return regs.filter(self._own())
+
+    def particles(self, parts: DataFrame, box: float, n_cells: int) -> DataFrame:
+        return parts.filter(_slab_filter(self.k0, self.k1, box, n_cells) & self._own())
+
+
+def plan_chunks(regs: DataFrame, limit: int) -> tuple[list[Chunk], list[int]]:
+    """(chunks of at most ``limit`` registrations, x-slabs that are too full for chunks).
+
+    Slabs next to each other are put together. A slab of more registrations is cut into parts by cell, of which
+    each reads the slab's particles again; with more than ``MAX_PARTS`` parts, or if one cell is too full, the
+    slab is not chunked. What reaches the driver is a count for each slab that has registrations, and for each part."""
+    counts = sorted((r["cx"], r["n"]) for r in regs.groupBy("cx").agg(F.count(F.lit(1)).alias("n")).collect())
+    parts = {cx: math.ceil(1.25 * n / limit) for cx, n in counts if n > limit}
+    full = {cx for cx, k in parts.items() if k > MAX_PARTS}
+    cut = {cx: k for cx, k in parts.items() if cx not in full}
+    if cut:
+        number = F.lit(1)
+        for k in sorted(set(cut.values())):
+            number = F.when(F.col("cx").isin([cx for cx, own in cut.items() if own == k]), F.lit(k)).otherwise(number)
+        each = regs.where(F.col("cx").isin(list(cut))).groupBy("cx", F.pmod(F.xxhash64("cx", "cy", "cz"), number).alias("part"))
+        full |= {r["cx"] for r in each.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit).select("cx").distinct().collect()}
+    chunks: list[Chunk] = []
+    start, end, total = None, 0, 0
+    for cx, n in [*counts, (None, limit + 1)]:
+        if start is not None and (n > limit or total + n > limit):
+            chunks.append(Chunk(start, end))
+            start = None
+        if n > limit:
+            if cx in cut and cx not in full:
+                chunks += [Chunk(cx, cx + 1, p, cut[cx]) for p in range(cut[cx])]
+            continue
+        start, total = (cx, n) if start is None else (start, total + n)
+        end = cx + 1
+    return chunks, sorted(full)
 
-    By default that is half of a shuffle partition's share, so there are at most
-    twice as many such cells as partitions, and the table can be broadcast."""
+
+def slab_chunks(regs: DataFrame, limit: int, max_chunks: int) -> list[tuple[int, int]] | None:
+    """The slab ranges of ``plan_chunks`` if whole slabs make at most ``max_chunks`` chunks, else None."""
+    chunks, full = plan_chunks(regs, limit)
+    return None if full or len(chunks) > max_chunks or any(c.parts > 1 for c in chunks) else [(c.k0, c.k1) for c in chunks]
+
+
+def _hot_cells(parts: DataFrame, keys: list[str], rows_per_task: int | None) -> DataFrame:
+    """(cell, _salts): cells of more than ``rows_per_task`` particles and the tasks to spread them over."""
     sizes = materialize(parts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), "cell-sizes")
-    if rows_per_task is None:
-        partitions = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        rows_per_task = max(1, (sizes.agg(F.sum("n")).first()[0] or 0) // (2 * partitions))
-    return sizes.where(F.col("n") > rows_per_task).select(*keys, F.ceil(F.col("n") / rows_per_task).alias("_salts"))
+    return hot_groups(sizes, keys, rows_per_task)
+
+
+def _shuffled(parts: DataFrame, regs: DataFrame, part_cols: list[str], salt_buckets: int | None, rows_per_task: int | None) -> DataFrame:
+    """Both sides shuffled on the cell key, large cells salted."""
+    keys = ["cx", "cy", "cz"]
+    if salt_buckets:
+        salts = F.lit(int(salt_buckets))
+    else:
+        hot = F.broadcast(_hot_cells(parts, keys, rows_per_task))
+        parts, regs = parts.join(hot, keys, "left"), regs.join(hot, keys, "left")
+        salts = F.coalesce(F.col("_salts"), F.lit(1))
+    parts = parts.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in part_cols]), salts).cast("int")).drop("_salts")
+    regs = regs.withColumn("_salt", F.explode(F.sequence(F.lit(0), (salts - 1).cast("int")))).drop("_salts")
+    return parts.join(regs, keys + ["_salt"], "inner")
 
 
 def neighbour_join(particles: DataFrame, subhalos: DataFrame, *,
@@ -137,16 +185,22 @@ def neighbour_join(particles: DataFrame, subhalos: DataFrame, *,
                    strict: bool = True,
                    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
                    salt_buckets: int | None = None, rows_per_task: int | None = None,
-                   max_chunks: int = DEFAULT_MAX_CHUNKS,
+                   max_chunks: int = DEFAULT_MAX_CHUNKS, clustered: bool = True,
                    strategy: str = "auto") -> DataFrame:
     """All (particle, subhalo) pairs with ``sq_dist < (radius_kpc*h)^2``.
 
     ``strategy``: ``"auto"`` broadcasts the registrations when their exact count
     is at most ``broadcast_max_rows``, otherwise uses slab chunks of at most
-    that size, otherwise a salted shuffle; ``"broadcast"``, ``"chunked"`` and
-    ``"shuffle"`` force one of them. ``strict=False`` keeps pairs at exactly
-    the radius (``<=``). ``rows_per_task`` is the number of particles above which
-    a cell is split in the shuffle tier (default: half of a partition's share);
+    that size, in any number; only the particles of slabs that are too full for that
+    are shuffled. ``"broadcast"``, ``"chunked"`` and
+    ``"shuffle"`` (of all particles) force one of them. ``strict=False`` keeps pairs at exactly
+    the radius (``<=``).
+
+    Up to ``max_chunks`` chunks are one lazy union. More are worked off here, so many at a time, and their pairs
+    written; the result reads these. ``clustered=False`` says that the particles are not stored in order of x: before more than
+    ``max_chunks`` chunks they are written so (one range shuffle), instead of being scanned for each chunk.
+    ``rows_per_task`` is the number of particles above which
+    a cell is split where particles are shuffled (default: see ``joinback.hot_groups``);
     ``salt_buckets`` splits every cell in so many parts instead.
     """
     radius = radius_kpc * h
@@ -158,38 +212,44 @@ def neighbour_join(particles: DataFrame, subhalos: DataFrame, *,
     keys = ["cx", "cy", "cz"]
 
     broadcast_max_rows = broadcastable_rows(regs, broadcast_max_rows)
-    chunks = None
+    chunks: list[Chunk] = []
+    full: list[int] = []
     if strategy in ("auto", "chunked"):
         if strategy == "auto" and regs.count() <= broadcast_max_rows:
             strategy = "broadcast"
         else:
             regs = materialize(regs, "registrations")
-            chunks = slab_chunks(regs, broadcast_max_rows, max_chunks)
+            chunks, full = plan_chunks(regs, broadcast_max_rows)
             # without registrations there is nothing to cut: an empty broadcast join
-            strategy = "shuffle" if chunks is None else "chunked" if chunks else "broadcast"
+            strategy = "chunked" if chunks or full else "broadcast"
+
+    def finished(joined: DataFrame) -> DataFrame:
+        return _pairs(joined, part_cols, sub_cols, box, sq_radius, strict)
 
     if strategy == "broadcast":
-        joined = parts.join(F.broadcast(regs), keys, "inner")
-    elif strategy == "chunked":
-        pieces = [parts.filter(_slab_filter(k0, k1, box, n_cells)).join(
-                      F.broadcast(regs.filter((F.col("cx") >= k0) & (F.col("cx") < k1))), keys, "inner")
-                  for k0, k1 in chunks]
-        joined = pieces[0]
-        for piece in pieces[1:]:
-            joined = joined.unionByName(piece)
-    elif strategy == "shuffle":
-        if salt_buckets:
-            salts = F.lit(int(salt_buckets))
-        else:
-            hot = F.broadcast(_hot_cells(parts, keys, rows_per_task))
-            parts, regs = parts.join(hot, keys, "left"), regs.join(hot, keys, "left")
-            salts = F.coalesce(F.col("_salts"), F.lit(1))
-        parts = parts.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in part_cols]), salts).cast("int")).drop("_salts")
-        regs = regs.withColumn("_salt", F.explode(F.sequence(F.lit(0), (salts - 1).cast("int")))).drop("_salts")
-        joined = parts.join(regs, keys + ["_salt"], "inner")
-    else:
+        return finished(parts.join(F.broadcast(regs), keys, "inner"))
+    if strategy == "shuffle":
+        return finished(_shuffled(parts, regs, part_cols, salt_buckets, rows_per_task))
+    if strategy != "chunked":
         raise ValueError(f"unknown strategy {strategy!r}")
+    if len(chunks) > max_chunks and not clustered:
+        ordered = particles.repartitionByRange("px").sortWithinPartitions("px")
+        parts = particle_cells(materialize(ordered, "clustered"), box, n_cells)
+    pieces = [c.particles(parts, box, n_cells).join(F.broadcast(c.registrations(regs)), keys, "inner") for c in chunks]
+    if full:
+        own = F.col("cx").isin(full)
+        near = _slab_filter(min(full), max(full) + 1, box, n_cells)
+        pieces.append(_shuffled(parts.filter(near & own), regs.filter(own), part_cols, salt_buckets, rows_per_task))
+    if len(pieces) <= max_chunks + 1:
+        return finished(reduce(DataFrame.unionByName, pieces))
+    path = scratch_path(particles.sparkSession, "pairs-by-chunk")
+    for k in range(0, len(pieces), max_chunks):
+        finished(reduce(DataFrame.unionByName, pieces[k: k + max_chunks])).write.parquet(f"{path}/wave={k}")
+    return particles.sparkSession.read.parquet(*[f"{path}/wave={k}" for k in range(0, len(pieces), max_chunks)])
+
 
+def _pairs(joined: DataFrame, part_cols: list[str], sub_cols: list[str], box: float, sq_radius: float, strict: bool) -> DataFrame:
+    """The displacement of every candidate, and the exact test."""
     rel = {
         "rel_px": min_image(F.col("px"), F.col("subhalo_px"), box),
         "rel_py": min_image(F.col("py"), F.col("subhalo_py"), box),

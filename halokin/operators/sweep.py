@@ -4,23 +4,24 @@ Instead of one job per (aperture, species) — 20 jobs that each rescan the pair
 tables — every pair row is tagged with the apertures that contain it
 (``explode(filter(array_of_apertures, contains))``), the species tables are
 unioned, and the kinematics group by ``(species, aperture, subhalo_id)``.
-Apertures are nested, so a pair emits at most one row per aperture, and the
-first pass (mass, mean velocity) needs no such rows: see ``shell_mean_velocity``.
+Apertures are nested, so a pair emits at most one row per aperture, and mass, mean
+velocity and angular momentum need no such rows: see ``shell_axis``. Only the last pass, whose
+terms depend on the aperture's own axis, has them.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from itertools import product
 from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import FIXED_APERTURES, H_CATALOG, HALF_RADIUS_SCALES, H_JOIN, join_radius
-from ..functions.vectors import safe_div
+from ..functions.twofloat import at_place, named, two_product, two_sum
+from ..functions.vectors import dot, norm, norm2, safe_div
 from .apertures import scaled_radius, species_mass
-from .kinematics import D2, V, X, kinematics
+from .kinematics import D2, V, X, _axis, kinematics
 
 KEYS = ("species_id", "aperture_id", "subhalo_id")
 
@@ -70,37 +71,114 @@ def aperture_rows(pairs: DataFrame, species_id: int, apertures: Sequence[Apertur
                        "subhalo_id", F.col("_ap.radius").alias("aperture_radius"), *X, D2, *V, "mass")
 
 
-def shell_mean_velocity(pairs_by_species: Mapping[str, DataFrame], apertures: Sequence[Aperture], h: float) -> DataFrame:
-    """The sweep's first pass without exploding rows: KEYS, aperture_radius, mass and mean velocity.
-
-    Fixed apertures nest, and so do the multiples of one column. Every row gets
-    the number of the smallest aperture of the family that holds it (its shell);
-    mass and momentum are summed per subhalo and shell, and only this small table
-    is spread over the apertures and added up."""
+#: Scales of the terms of a sum, in km/s and kpc/h: the parts of a term below 2**-22 of these are summed on their own.
+_SPEED, _LENGTH = 4096.0, 64.0
+_EXACT = (*[f"_A{i}" for i in range(3)], *[f"_B{i}{side}" for i in range(3) for side in range(2)])
+_SHELL_SUMS = ("_n", "_M", "_mr", "_xx", "_vv", "_P0", "_P1", "_P2", *[name + part for name in _EXACT for part in "hlt"])
+
+
+def _shell_terms(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The terms of M, sum m|x|, sum m x.x, sum m v.v, P = sum m v, and of A = sum m (x cross v) and B = sum m x, each of these in
+    three parts. B has the two components that a component of A goes with, over the rows where that one isn't NULL."""
+    x, v, m = [F.col(f"_x{i}") for i in range(3)], [F.col(f"_v{i}") for i in range(3)], F.col("_mass")
+    r = rows.select(*keys, F.col("mass").cast("double").alias("_mass"), *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(X)],
+                    *[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(V)])
+    plain = {"_n": F.lit(1).cast("long"), "_M": m, "_mr": m * norm(tuple(x)), "_xx": m * norm2(tuple(x)), "_vv": m * norm2(tuple(v)), **{f"_P{i}": m * v[i] for i in range(3)}}
+    turn = {}  # x cross v, each component with its rounding error
+    for i in range(3):
+        j, k = (i + 1) % 3, (i + 2) % 3
+        turn[f"_c{i}"], turn[f"_e{i}"] = two_sum(x[j] * v[k], -(x[k] * v[j]))
+    r = named(r, {**plain, **turn}, [*keys, "_mass", "_x0", "_x1", "_x2"])
+    products = {}
+    for i in range(3):
+        p, e = two_product(m, F.col(f"_c{i}"))
+        products[f"_A{i}p"], products[f"_A{i}t"] = p, e + m * F.col(f"_e{i}")
+        products[f"_x{i}p"], products[f"_x{i}t"] = two_product(m, x[i])
+    r = named(r, products, [*keys, "_mass", *plain])
+    parts = {}
+    for i in range(3):
+        parts[f"_A{i}h"], parts[f"_A{i}l"] = at_place(F.col(f"_A{i}p"), m * F.lit(_SPEED * _LENGTH))
+        parts[f"_A{i}t"] = F.col(f"_A{i}t")
+        of_x = [*at_place(F.col(f"_x{i}p"), m * F.lit(_LENGTH)), F.col(f"_x{i}t")]
+        for a, side in (((i + 2) % 3, 0), ((i + 1) % 3, 1)):  # x_i goes with these components of A
+            parts.update({f"_B{a}{side}{part}": F.when(F.col(f"_A{a}p").isNotNull(), y) for y, part in zip(of_x, "hlt")})
+    return named(r, parts, [*keys, *plain])
+
+
+def _axis_of_sums(sums: DataFrame, keep: Sequence[str], j_tolerance: float) -> DataFrame:
+    """Mean velocity and J = A - B x vbar of every group, in two-float arithmetic, from its sums.
+
+    vbar is the rounded mean, as row by row: of a lone particle J is what its rounding leaves. With ``j_tolerance`` a J of at most
+    that times sqrt(sum m x.x * sum m u.u) is noise (and zero), as in ``kinematics``. A J below the error of the sums is zero."""
+    result = [*keep, "_n", "_M", "_vb0", "_vb1", "_vb2"]
+    keep = [*keep, "_n", "_M", "_mr", "_xx", "_vv", "_P0", "_P1", "_P2"]
+    col = lambda name, i: F.col(f"_{name}{i}")
+    vec = lambda name: tuple(col(name, i) for i in range(3))
+    two = {f"_q{i}": safe_div(col("P", i), F.col("_M")) for i in range(3)}
+    for name in _EXACT:
+        s, e = two_sum(F.col(name + "h"), F.col(name + "l"))
+        two[name], two[name + "r"] = s, e + F.col(name + "t")
+    r = named(sums, two, keep)
+    pieces = {}
+    for i in range(3):
+        for side, k in ((0, (i + 2) % 3), (1, (i + 1) % 3)):  # x_j vbar_k, and x_k vbar_j
+            p, e = two_product(F.col(f"_B{i}{side}"), col("q", k))
+            pieces[f"_t{i}{side}"], pieces[f"_u{i}{side}"] = p, e + F.col(f"_B{i}{side}r") * col("q", k)
+    r = named(r, pieces, [*keep, *two])
+    joined = {}
+    for i in range(3):
+        joined[f"_f{i}"], joined[f"_g{i}"] = two_sum(col("A", i), -F.col(f"_t{i}0"))
+    r = named(r, joined, [*keep, *two, *pieces])
+    J = {}
+    for i in range(3):
+        s, e = two_sum(col("f", i), F.col(f"_t{i}1"))
+        J[f"_J{i}"] = s + (((e + col("g", i)) + F.col(f"_A{i}r")) + (F.col(f"_u{i}1") - F.col(f"_u{i}0")))
+    r = named(r, J, [*keep, *two, *pieces])
+    size = norm(tuple(F.abs(col("A", i)) + F.abs(F.col(f"_t{i}0")) + F.abs(F.col(f"_t{i}1")) for i in range(3)))
+    uu = F.col("_vv") - dot(vec("P"), vec("q"))
+    uu = F.when(uu > F.col("_vv") * F.lit(2.0 ** -40), uu).otherwise(F.lit(0.0))  # below: rounding of the two sums
+    r = named(r, {**{f"_vb{i}": col("q", i) for i in range(3)},
+                  **{f"_J{i}": F.when(norm(vec("J")) > size * F.lit(2.0 ** -72), col("J", i)).otherwise(F.lit(0.0)) for i in range(3)},
+                  "_JS": F.sqrt(uu * F.col("_xx"))}, keep)
+    return r.select(*result, *_axis(vec("J"), F.col("_JS"), j_tolerance))
+
+
+def shell_axis(pairs_by_species: Mapping[str, DataFrame], apertures: Sequence[Aperture], h: float, j_tolerance: float = 0.0) -> DataFrame:
+    """The sweep's mean velocities and angular momenta without exploding pair rows, in one scan for each species.
+
+    Fixed apertures nest, and so do the multiples of one column: a family. In every family a row gets
+    the number of the smallest aperture that holds it (its shell); the sums are grouped by subhalo and the shells of all
+    families, and only this small table is spread over the apertures and added up. J about the mean velocity of
+    an aperture comes from sums that don't know it: what cancels there is kept by two-float sums."""
     families: dict[str | None, list[int]] = {}
     for i, a in enumerate(apertures):
         families.setdefault(a.column if a.radius_kpc is None else None, []).append(i)
-    sums = [f"_s{k}" for k in range(4)]
-    total = None
-    for (column, ids), (number, (sp, pairs)) in product(families.items(), enumerate(pairs_by_species.items())):
-        ids = sorted(ids, key=lambda i: apertures[i].scale if column else apertures[i].radius_kpc)
-        shell = F.lit(None).cast("int")
+    ordered = [sorted(ids, key=lambda i: apertures[i].scale if column else apertures[i].radius_kpc) for column, ids in families.items()]
+    columns = [c for c in families if c]
+    shells, inside = [], {}
+    for f, ids in enumerate(ordered):
+        shell = F.lit(len(ids))
         for k, i in reversed(list(enumerate(ids))):
             radius = apertures[i].radius(h)
             shell = F.when(F.col(D2) <= radius * radius, F.lit(k)).otherwise(shell)
-        extra = [column] if column else []
-        m = F.col("mass").cast("double")
-        terms = [m, *[m * F.col(v).cast("double") for v in V]]
-        rows = species_mass(pairs, sp, h).select("subhalo_id", *extra, shell.alias("shell"), *[t.alias(n) for n, t in zip(sums, terms)])
-        shells = rows.where("shell IS NOT NULL").groupBy("subhalo_id", *extra, "shell").agg(*[F.sum(n).alias(n) for n in sums])
-        each = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(i).alias("aperture_id"), apertures[i].radius(h).alias("radius"))
-                                   for k, i in enumerate(ids)])).alias("a")
-        held = shells.select("subhalo_id", "shell", *sums, each).where(F.col("shell") <= F.col("a.k"))
-        part = held.groupBy(F.lit(number).alias("species_id"), F.col("a.aperture_id").alias("aperture_id"), "subhalo_id").agg(
-            F.max("a.radius").alias("aperture_radius"), *[F.sum(n).alias(n) for n in sums])
-        total = part if total is None else total.unionByName(part)
-    vbar = [safe_div(F.col(f"_s{i + 1}"), F.col("_s0")).alias(f"_vb{i}") for i in range(3)]
-    return total.select(*KEYS, "aperture_radius", F.col("_s0").alias("_M"), *vbar)
+            inside[i] = F.col(f"_shell{f}") <= F.lit(k)
+        shells.append(shell.alias(f"_shell{f}"))
+    keys = ["subhalo_id", *columns, *[f"_shell{f}" for f in range(len(ordered))]]
+    out_of_all = " AND ".join(f"_shell{f} = {len(ids)}" for f, ids in enumerate(ordered))
+    parts = []
+    for number, (sp, pairs) in enumerate(pairs_by_species.items()):
+        rows = species_mass(pairs, sp, h).select("subhalo_id", *columns, *shells, *X, *V, "mass").where(f"NOT ({out_of_all})")
+        sums = _shell_terms(rows, keys).groupBy(*keys).agg(*[F.sum(n).alias(n) for n in _SHELL_SUMS])
+        parts.append(sums.select(F.lit(number).alias("species_id"), *keys, *_SHELL_SUMS))
+    total = parts[0]
+    for p in parts[1:]:
+        total = total.unionByName(p)
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("aperture_id"), a.radius(h).alias("radius"), inside[i].alias("inside"))
+                               for i, a in enumerate(apertures)])).alias("a")
+    held = total.select("species_id", "subhalo_id", *_SHELL_SUMS, each).where("a.inside")
+    sums = held.groupBy("species_id", F.col("a.aperture_id").alias("aperture_id"), "subhalo_id").agg(
+        F.max("a.radius").alias("aperture_radius"), *[F.sum(n).alias(n) for n in _SHELL_SUMS])
+    return _axis_of_sums(sums, [*KEYS, "aperture_radius"], j_tolerance)
 
 
 def sweep(pairs_by_species: Mapping[str, DataFrame], apertures: Sequence[Aperture], *,
@@ -117,7 +195,7 @@ def sweep(pairs_by_species: Mapping[str, DataFrame], apertures: Sequence[Apertur
     for p in parts[1:]:
         rows = rows.unionByName(p)
     if opts.get("method", "three_pass") == "three_pass":
-        opts["mean_velocity"] = shell_mean_velocity(pairs_by_species, apertures, h)
+        opts["axis"] = shell_axis(pairs_by_species, apertures, h, opts.get("j_tolerance", 0.0))
     res = kinematics(rows, KEYS, carry=("aperture_radius",), with_unit_j=True, **opts)
     species_label = F.element_at(F.array(*[F.lit(sp) for sp in species]), F.col("species_id") + 1)
     aperture_label = F.element_at(F.array(*[F.lit(a.label) for a in apertures]), F.col("aperture_id") + 1)

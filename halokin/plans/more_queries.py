@@ -22,7 +22,7 @@ from ..schemas import MEASURES
 from ..session import scratch_path
 from ..sources import fixtures as fx
 from ..sources import ingest, sinks
-from ..streaming.batched_ingest import ingest_in_batches
+from ..streaming.batched_ingest import ingest_in_batches, read_batches
 from . import jobs
 from . import oracle as O
 from .registry import NOISE, quantize, register, rounded
@@ -78,8 +78,8 @@ def _batches(spark: SparkSession, d: str, species: str) -> str:
 
 @register("ingest_batched", O.particles_sql("dm"))
 def ingest_batched(spark: SparkSession, d: str) -> DataFrame:
-    """Batched, resumable ingest (3 files per batch); all batches re-read."""
-    return spark.read.parquet(_batches(spark, d, "dm") + "/batch_*")
+    """Batched, resumable ingest (3 files per batch); all committed batches re-read."""
+    return read_batches(spark, _batches(spark, d, "dm"), "dm")
 
 
 def _other_layouts(spark: SparkSession, d: str) -> str:
@@ -104,45 +104,80 @@ def ingest_mixed_headers(spark: SparkSession, d: str) -> DataFrame:
 def ingest_batched_mixed(spark: SparkSession, d: str) -> DataFrame:
     out = scratch_path(spark, "star-mixed-batches")
     ingest_in_batches(spark, _other_layouts(spark, d), out, "star", files_per_batch=2)
-    return spark.read.parquet(out + "/batch_*")
+    return read_batches(spark, out, "star")
 
 
-def _put_file(spark: SparkSession, df: DataFrame, path: str) -> None:
-    """One CSV file at exactly ``path``."""
-    folder = scratch_path(spark, "one-file")
-    df.coalesce(1).write.option("header", True).csv(folder)
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    to = hadoop.Path(path)
-    fs = to.getFileSystem(spark._jsc.hadoopConfiguration())
-    part = fs.globStatus(hadoop.Path(f"{folder}/part-*"))[0].getPath()
-    fs.mkdirs(to.getParent())
-    fs.delete(to, False)
-    fs.rename(part, to)
+def _bad_cell(spark: SparkSession, d: str) -> tuple[str, Callable[[], None]]:
+    """Dark-matter CSV files by cell, those of cell 3 without a needed column; and what mends these files in place."""
+    p = fx.dm_particles(spark, d).withColumn("cell", _cells())
+    raw, mended = scratch_path(spark, "raw-retry"), scratch_path(spark, "mended")
+    names = {dst: src for src, dst in ingest.SPECIES_LAYOUT["dm"][0].items()}
+    good = p.select("cell", *[F.col(c).alias(names[c]) for c in names])
+    third = good.where("cell = 3").drop("cell")
+    good.where("cell <> 3").write.option("header", True).partitionBy("cell").csv(raw)
+    third.withColumnRenamed("px", "lost").write.option("header", True).csv(f"{raw}/cell=3")
+    third.write.option("header", True).csv(mended)
+
+    def mend() -> None:
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        root = hadoop.Path(raw)
+        fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+        bad, right = ([x.getPath() for x in fs.globStatus(hadoop.Path(f"{folder}/part-*"))] for folder in (f"{raw}/cell=3", mended))
+        for old, new in zip(sorted(bad, key=str), sorted(right, key=str), strict=True):  # written alike, so as many files
+            fs.delete(old, False)
+            fs.rename(new, old)
+
+    return raw, mend
 
 
 @register("ingest_batched_retry", O.particles_sql("dm"))
 def ingest_batched_retry(spark: SparkSession, d: str) -> DataFrame:
-    """A file without a needed column fails alone; mended, the next run of the same job takes it up."""
-    p = fx.dm_particles(spark, d).withColumn("cell", _cells())
-    raw, out, ckpt = (scratch_path(spark, t) for t in ("raw-retry", "retry-batches", "retry-checkpoint"))
-    names = {dst: src for src, dst in ingest.SPECIES_LAYOUT["dm"][0].items()}
-    csv = lambda df: df.select(*[F.col(c).alias(names[c]) for c in names])
-    for cell in range(10):
-        rows = csv(p.where(F.col("cell") == cell))
-        _put_file(spark, rows.withColumnRenamed("px", "lost") if cell == 3 else rows, f"{raw}/cell_{cell}.csv")
+    """Files without a needed column fail alone; mended, the next run of the same job takes them up."""
+    raw, mend = _bad_cell(spark, d)
+    out, ckpt = (scratch_path(spark, t) for t in ("retry-batches", "retry-checkpoint"))
     run = lambda: ingest_in_batches(spark, raw, out, "dm", files_per_batch=4, checkpoint=ckpt)
-    failed = run().where("status = 'failed'").select("files").collect()
-    if len(failed) != 1 or not failed[0]["files"][0].endswith("cell_3.csv"):
-        raise AssertionError(f"expected one failed file, got {failed}")
-    _put_file(spark, csv(p.where("cell = 3")), f"{raw}/cell_3.csv")
+    failed = [f for r in run().where("status = 'failed'").select("files").collect() for f in r["files"]]
+    if not failed or any("/cell=3/" not in f for f in failed):
+        raise AssertionError(f"expected the files of cell 3 to fail, got {failed}")
+    mend()
     run()
-    return spark.read.parquet(out + "/batch_*")
+    return read_batches(spark, out, "dm")
+
+
+@register("ingest_batched_recovered", O.particles_sql("dm"))
+def ingest_batched_recovered(spark: SparkSession, d: str) -> DataFrame:
+    """The job is lost again and again between the write of a batch and its commit (a split batch among them, and the retry of
+    mended files); what it left behind is not read, and every file is there once in the end."""
+    raw, mend = _bad_cell(spark, d)
+    out, ckpt = (scratch_path(spark, t) for t in ("lost-batches", "lost-checkpoint"))
+    lost: set[tuple[str, int]] = set()
+
+    def run(stage: str) -> bool:
+        def lose_once(batch_id: int) -> None:
+            if (stage, batch_id) not in lost:
+                lost.add((stage, batch_id))
+                raise RuntimeError(f"lost before the commit of batch {batch_id}")
+
+        try:
+            ingest_in_batches(spark, raw, out, "dm", files_per_batch=4, checkpoint=ckpt, before_commit=lose_once)
+            return True
+        except Exception as exc:  # noqa: BLE001 - the simulated loss, as the stream reports it
+            if "lost before the commit" not in str(exc):
+                raise
+            return False
+
+    for stage in ("first", "mended"):
+        while not run(stage):
+            pass
+        if stage == "first":
+            mend()
+    return read_batches(spark, out, "dm")
 
 
 @register("scan_batches", O.particles_sql("star"))
 def scan_batches(spark: SparkSession, d: str) -> DataFrame:
     """Union of all batch directories by one glob scan."""
-    return ingest.scan_batches(spark, _batches(spark, d, "star"), "batch_")
+    return ingest.scan_batches(spark, _batches(spark, d, "star"), "batch=")
 
 
 @register("scan_recursive", O.particles_sql("star"))

@@ -2,8 +2,8 @@
 
 Files are read by Spark executors straight from the (shared) file system — a
 glob or directory, any number of files — never through the driver. Every file
-maps by its *own* header names: one scan of the files' first lines groups them
-by header, each layout is read with its schema, and the parts are unioned, so
+maps by its *own* header names: a first pass reads the first line of each file,
+and no more of it, into a table (file, header), by which the files' lines are parsed, so
 files with other column orders or extra columns mix freely. ``mode`` follows the
 CSV reader: ``PERMISSIVE`` turns unparseable values into NULL (counted by an
 ``Observation``, listed by ``read_rejects``) and skips files that vanish;
@@ -13,8 +13,12 @@ CSV reader: ``PERMISSIVE`` turns unparseable values into NULL (counted by an
 from __future__ import annotations
 
 import csv
-from typing import Iterable, Mapping, Sequence, Union
+import sys
+from typing import BinaryIO, Iterable, Iterator, Mapping, Sequence, Union
 
+import pyarrow as pa
+import pyarrow.fs
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,10 +26,14 @@ from pyspark.sql import types as T
 from ..constants import H_CATALOG, SIZE_CUT
 from ..schemas import (DM_CSV_COLUMNS, DM_PARTICLES, STAR_CSV_COLUMNS, STAR_PARTICLES, SUBHALOS,
                        SUBHALO_TXT_COLUMNS)
+from ..session import materialize, scratch_path
 from . import sinks
 
 Paths = Union[str, Sequence[str]]
 
+# what tasks run travels with its code, so executors need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SPECIES_LAYOUT = {
     "star": (STAR_CSV_COLUMNS, STAR_PARTICLES),
     "dm": (DM_CSV_COLUMNS, DM_PARTICLES),
@@ -37,40 +45,100 @@ def raw_string_schema(names: Iterable[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
 
-def csv_layouts(spark: SparkSession, paths: Paths, *, sep: str = ",", recursive: bool = False) -> dict[tuple[str, ...], list[str]]:
-    """Header -> files that have it. One row per file reaches the driver, as in any file listing."""
-    reader = spark.read.option("recursiveFileLookup", True) if recursive else spark.read
+#: Bytes that are read of a file for its first line, at first; twice as many as long as no line ends there.
+HEADER_BYTES = 1 << 16
+#: Files whose layouts are broadcast to the lines; beyond that they are joined by a shuffle.
+BROADCAST_FILES = 1_000_000
+
+
+def first_line(stream: BinaryIO) -> str | None:
+    """The first line of a UTF-8 stream, of which no more than the blocks that hold it are read; None if it's empty."""
+    head, size = b"", HEADER_BYTES
+    while True:
+        block = stream.read(size)
+        head, size = head + block, 2 * size
+        end = [i for i in (head.find(b"\n"), head.find(b"\r")) if i >= 0]
+        if end or not block:
+            return head[: min(end)].decode(errors="replace") if end else head.decode(errors="replace") or None
+
+
+def file_headers(spark: SparkSession, paths: Paths, *, recursive: bool = False, ignore_missing: bool = True) -> DataFrame:
+    """(file, header): the first line of every file that has one, as a written table.
+
+    Spark lists the files, and tasks open each for its first block only. Where Python has no file system for a file's address, Spark
+    itself reads the lines of these files."""
+    source = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
+    listed = source.load(paths if isinstance(paths, str) else list(paths)).select(F.col("_metadata.file_path").alias("file"))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = batch.column("file").to_pylist()
+            found: list[tuple[str, str | None, bool]] = []
+            for name in names:
+                try:
+                    system, path = pyarrow.fs.FileSystem.from_uri(name)
+                except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+                    found.append((name, None, False))
+                    continue
+                try:
+                    with system.open_input_stream(path, compression="detect") as stream:
+                        found.append((name, first_line(stream), True))
+                except FileNotFoundError:
+                    if not ignore_missing:
+                        raise
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found) if found else ([], [], []), (pa.string(), pa.string(), pa.bool_()))],
+                                             ["file", "header", "opened"])
+
+    out = scratch_path(spark, "csv-headers")
+    listed.mapInArrow(read, "file string, header string, opened boolean").write.parquet(out)
+    table = spark.read.parquet(out)
+    if not table.where("NOT opened").head(1):
+        return table.where("header IS NOT NULL").select("file", "header")
+    reader = spark.read.option("recursiveFileLookup", recursive).option("ignoreMissingFiles", ignore_missing)
     lines = reader.text(paths if isinstance(paths, str) else list(paths)).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("n"))
-    first = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "n").alias("header"))
-    layouts: dict[tuple[str, ...], list[str]] = {}
-    for r in first.orderBy("file").collect():
-        names = tuple(n.strip().lstrip("\ufeff") for n in next(csv.reader([r["header"]], delimiter=sep), []))
-        layouts.setdefault(names, []).append(r["file"])
-    return layouts
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("n"))
+    return materialize(lines.where("start = 0").groupBy("file").agg(F.min_by("value", "n").alias("header")), "csv-headers")
+
+
+def _names(header: str, sep: str) -> tuple[str, ...]:
+    return tuple(n.strip().lstrip("\ufeff") for n in next(csv.reader([header], delimiter=sep), []))
 
 
 def _read_by_name(spark: SparkSession, paths: Paths, wanted: Sequence[str], *, sep: str, mode: str, recursive: bool = False,
                   with_file: bool = False) -> DataFrame:
-    """The wanted columns, as text, of every file by its own header."""
-    parts = []
-    for names, files in csv_layouts(spark, paths, sep=sep, recursive=recursive).items():
-        missing = [w for w in wanted if w not in names]
-        if missing:
-            raise ValueError(f"no column {', '.join(missing)} in the header of {len(files)} files, the first is {files[0]}")
-        # only wanted names stay; a repeated name means its first column
-        unique = [n if n in wanted and n not in names[:i] else f"_other{i}" for i, n in enumerate(names)]
-        raw = (spark.read.schema(raw_string_schema(unique)).option("header", True).option("sep", sep).option("mode", mode)
-               .option("ignoreMissingFiles", mode.upper() != "FAILFAST").csv(files))
-        cols = [F.col(f"`{w}`") for w in wanted]
-        parts.append(raw.select(*cols, F.col("_metadata.file_path").alias("file")) if with_file else raw.select(*cols))
-    if not parts:
+    """The wanted columns, as text, of every file by its own header.
+
+    What reaches the driver are the different headers. With one header all files are one CSV scan; with more, one scan of
+    lines, each parsed by the layout that the table of headers has for its file."""
+    lenient = mode.upper() != "FAILFAST"
+    table = file_headers(spark, paths, recursive=recursive, ignore_missing=lenient)
+    headers = [r["header"] for r in table.select("header").distinct().orderBy("header").collect()]
+    if not headers:
         return spark.createDataFrame([], raw_string_schema([*wanted, "file"] if with_file else wanted))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    layouts = []
+    for h in headers:
+        names = _names(h, sep)
+        if missing := [w for w in wanted if w not in names]:
+            where = table.where(F.col("header") == h).agg(F.count("file").alias("n"), F.min("file").alias("first")).first()
+            raise ValueError(f"no column {', '.join(missing)} in the header of {where['n']} files, the first is {where['first']}")
+        # only wanted names stay; a repeated name means its first column
+        layouts.append(raw_string_schema(n if n in wanted and n not in names[:i] else f"_other{i}" for i, n in enumerate(names)))
+    reader = spark.read.option("recursiveFileLookup", True) if recursive else spark.read
+    reader = reader.option("ignoreMissingFiles", lenient)
+    where = paths if isinstance(paths, str) else list(paths)
+    file = [F.col("file")] if with_file else []
+    if all(x == layouts[0] for x in layouts):
+        raw = reader.schema(layouts[0]).option("header", True).option("sep", sep).option("mode", mode).csv(where)
+        return raw.select(*[F.col(f"`{w}`") for w in wanted], *[F.col("_metadata.file_path").alias("file") for _ in file])
+    lines = reader.text(where).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    lines = lines.join(F.broadcast(table) if table.count() <= BROADCAST_FILES else table, "file")
+    lines = lines.where((F.trim("value") != "") & ~((F.col("start") == 0) & (F.col("value") == F.col("header"))))
+    # one struct for each layout, NULL but for its own rows. The number makes this projection one that later filters and
+    # projections are not merged into, so that a line is parsed once
+    rows = [F.when(F.col("header") == h, F.from_csv("value", ", ".join(f"`{f.name}` string" for f in layout), {"sep": sep, "mode": mode})).alias(f"row{i}")
+            for i, (h, layout) in enumerate(zip(headers, layouts))]
+    parsed = lines.select(*rows, *file, F.monotonically_increasing_id().alias("number"))
+    return parsed.select(*[F.coalesce(*[F.col(f"row{i}")[w] for i in range(len(headers))]).alias(w) for w in wanted], *file)
 
 
 def _rejected(mapping: Mapping[str, str], schema: T.StructType) -> Column:

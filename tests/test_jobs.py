@@ -17,7 +17,7 @@ from halokin.__main__ import run
 from halokin.constants import H_JOIN, join_radius
 from halokin.operators.joinback import broadcastable_rows
 from halokin.operators.neighbors import _hot_cells, neighbour_join, particle_cells, rename_subhalos, subhalo_registrations
-from halokin.operators.sweep import fixed_apertures, shell_mean_velocity, sweep
+from halokin.operators.sweep import fixed_apertures, shell_axis, sweep
 from halokin.plans import jobs
 from halokin.schemas import DM_PARTICLES
 from halokin.session import scratch_path
@@ -51,7 +51,7 @@ def test_each_file_maps_by_its_own_header(spark, tmp_path):
         assert ids(ingest.read_particle_csv(spark, raw, "dm", mode=mode)) == want
     out = str(tmp_path / "out")
     ingest_in_batches(spark, raw, out, "dm", files_per_batch=10)
-    assert ids(spark.read.parquet(out + "/batch_*")) == want
+    assert ids(read_batches(spark, out, "dm")) == want
 
 
 def test_rejected_values_are_counted_and_listed(spark, tmp_path):
@@ -90,7 +90,7 @@ def test_failed_files_are_recovered_by_the_next_run(spark, tmp_path):
     write(raw, bad=f"{HEADER}\n9,2,3,4,5,6,9\n")
     third = ingest_in_batches(spark, raw, out, "dm", files_per_batch=100, checkpoint=ckpt).collect()
     assert [r["status"] for r in third] == ["ok"] and failed_files(spark, out).count() == 0
-    assert [i for i, _, _ in ids(spark.read.parquet(out + "/batch_*"))] == [0, 1, 2, 3, 4, 9]
+    assert [i for i, _, _ in ids(read_batches(spark, out, "dm"))] == [0, 1, 2, 3, 4, 9]
     assert batch_status(spark, out).count() > 3
     assert ingest_in_batches(spark, raw, out, "dm", files_per_batch=100, checkpoint=ckpt).count() == 0
     write(raw, bad="px,py\n1,2\n")
@@ -185,10 +185,10 @@ def test_partitioned_sink_splits_a_hot_key(spark):
 
 
 def test_sweep_first_pass_has_no_generate(spark, small_pairs):
-    plan = shell_mean_velocity(small_pairs, fixed_apertures((3, 10)), 0.7)._jdf.queryExecution().optimizedPlan().toString()
-    # the explode works on the shells: below each one is the aggregate over the rows, and no other explode
-    below = [p.split("Relation")[0] for p in plan.split("Generate")[1:]]
-    assert len(below) == len(small_pairs) and all("Aggregate" in p for p in below)
+    plan = shell_axis(small_pairs, fixed_apertures((3, 10)), 0.7)._jdf.queryExecution().optimizedPlan().toString()
+    # the one explode works on the shells: below it are the aggregates over the rows, one for each species
+    below = plan.split("Generate")[1:]
+    assert len(below) == 1 and below[0].count("Aggregate") == below[0].count("Relation") == len(small_pairs)
 
 
 def test_sweep_takes_long_ids_and_many_apertures(small_pairs):
