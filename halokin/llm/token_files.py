@@ -146,7 +146,8 @@ def _with_end(ids: np.ndarray, n: np.ndarray) -> np.ndarray:
 def _tokenised(docs: DataFrame, tokenizer: str, id_col: str, text_col: str) -> DataFrame:
     """Shards in document order (partition, number and first id's place within it); ids compressed, in 16 bits if they fit."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows = rows.repartitionByRange("id").sortWithinPartitions("id", F.xxhash64("text"))
+    # by the text's hash too: rows with equal ids can be divided
+    rows = rows.withColumn("h", F.xxhash64("text")).repartitionByRange("id", "h").sortWithinPartitions("id", "h").drop("h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Pieces = tb.per_process("pieces " + tokenizer, lambda: Pieces(tokenizer))
