@@ -17,9 +17,8 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import FIXED_APERTURES, H_CATALOG, HALF_RADIUS_SCALES, H_JOIN, join_radius
-from ..functions.twofloat import at_place, named, two_product, two_sum
-from ..functions.vectors import dot, norm, norm2, safe_div
+from ..constants import FIXED_APERTURES, H_CATALOG, HALF_RADIUS_SCALES, H_JOIN, dm_particle_mass, join_radius
+from ..functions.twofloat import at_place, halves, project, two_difference, two_product, two_sum
 from .apertures import scaled_radius, species_mass
 from .kinematics import D2, V, X, _axis, kinematics
 
@@ -72,75 +71,81 @@ def aperture_rows(pairs: DataFrame, species_id: int, apertures: Sequence[Apertur
 
 
 #: Scales of the terms of a sum, in km/s and kpc/h: the parts of a term below 2**-22 of these are summed on their own.
-_SPEED, _LENGTH = 4096.0, 64.0
-_EXACT = (*[f"_A{i}" for i in range(3)], *[f"_B{i}{side}" for i in range(3) for side in range(2)])
-_SHELL_SUMS = ("_n", "_M", "_mr", "_xx", "_vv", "_P0", "_P1", "_P2", *[name + part for name in _EXACT for part in "hlt"])
+_SPEED, _LENGTH = "4096D", "64D"
+_PLAIN = ("_n", "_M", "_mr", "_xx", "_vv", "_P0", "_P1", "_P2")
+_TURN = [f"_A{i}" for i in range(3)]
+_ARM = [f"_B{i}{side}" for i in range(3) for side in range(2)]
+_SHELL_SUMS = (*_PLAIN, *[name + part for name in _TURN for part in "hlt"], *[name + part for name in _ARM for part in "hl"])
 
 
 def _shell_terms(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The terms of M, sum m|x|, sum m x.x, sum m v.v, P = sum m v, and of A = sum m (x cross v) and B = sum m x, each of these in
-    three parts. B has the two components that a component of A goes with, over the rows where that one isn't NULL."""
-    x, v, m = [F.col(f"_x{i}") for i in range(3)], [F.col(f"_v{i}") for i in range(3)], F.col("_mass")
-    r = rows.select(*keys, F.col("mass").cast("double").alias("_mass"), *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(X)],
-                    *[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(V)])
-    plain = {"_n": F.lit(1).cast("long"), "_M": m, "_mr": m * norm(tuple(x)), "_xx": m * norm2(tuple(x)), "_vv": m * norm2(tuple(v)), **{f"_P{i}": m * v[i] for i in range(3)}}
-    turn = {}  # x cross v, each component with its rounding error
+    """The terms of M, sum m|x|, sum m x.x, sum m v.v, P = sum m v, and, in parts, of A = sum m (x cross v) and B = sum m x.
+
+    B has the two components that a component of A goes with. Rows where that one is NULL have no part in them, nor in the plain
+    sums that are NULL there. A and B have the mass ``_own``: 1 for a species whose particles all have the same, by
+    which their sums are multiplied. The parts are exact for x, v and masses of 24 bits."""
+    given = {"_m": "coalesce(double(mass), 0D)", "_u": "coalesce(double(_own), 0D)"}
+    given |= {f"_x{i}": f"coalesce(double({c}), 0D)" for i, c in enumerate(X)} | {f"_v{i}": f"coalesce(double({c}), 0D)" for i, c in enumerate(V)}
+    both = [((i + 1) % 3, (i + 2) % 3) for i in range(3)]
+    given |= {f"_k{i}": f"CASE WHEN {V[j]} IS NULL OR {V[k]} IS NULL OR mass IS NULL THEN 0D ELSE 1D END" for i, (j, k) in enumerate(both)}
+    given["_k"] = f"CASE WHEN {' OR '.join(f'{c} IS NULL' for c in V)} THEN 0D ELSE 1D END"
+    r = project(rows, given, keys)
+    square = lambda c: f"({c}0 * {c}0 + {c}1 * {c}1 + {c}2 * {c}2)"
+    plain = {"_n": "1L", "_M": "_m", "_mr": f"_m * sqrt{square('_x')}", "_xx": f"_m * {square('_x')}", "_vv": f"_k * _m * {square('_v')}",
+             **{f"_P{i}": f"_m * _v{i}" for i in range(3)}}
+    products = {f"_a{i}": f"_x{j} * _v{k}" for i, (j, k) in enumerate(both)} | {f"_b{i}": f"_x{k} * _v{j}" for i, (j, k) in enumerate(both)}
+    r = project(r, {**plain, **products, **{f"_w{i}": f"_k{i} * _u" for i in range(3)}}, [*keys, "_u", "_x0", "_x1", "_x2"])
+    turn = {}
     for i in range(3):
-        j, k = (i + 1) % 3, (i + 2) % 3
-        turn[f"_c{i}"], turn[f"_e{i}"] = two_sum(x[j] * v[k], -(x[k] * v[j]))
-    r = named(r, {**plain, **turn}, [*keys, "_mass", "_x0", "_x1", "_x2"])
-    products = {}
-    for i in range(3):
-        p, e = two_product(m, F.col(f"_c{i}"))
-        products[f"_A{i}p"], products[f"_A{i}t"] = p, e + m * F.col(f"_e{i}")
-        products[f"_x{i}p"], products[f"_x{i}t"] = two_product(m, x[i])
-    r = named(r, products, [*keys, "_mass", *plain])
-    parts = {}
-    for i in range(3):
-        parts[f"_A{i}h"], parts[f"_A{i}l"] = at_place(F.col(f"_A{i}p"), m * F.lit(_SPEED * _LENGTH))
-        parts[f"_A{i}t"] = F.col(f"_A{i}t")
-        of_x = [*at_place(F.col(f"_x{i}p"), m * F.lit(_LENGTH)), F.col(f"_x{i}t")]
-        for a, side in (((i + 2) % 3, 0), ((i + 1) % 3, 1)):  # x_i goes with these components of A
-            parts.update({f"_B{a}{side}{part}": F.when(F.col(f"_A{a}p").isNotNull(), y) for y, part in zip(of_x, "hlt")})
-    return named(r, parts, [*keys, *plain])
+        turn[f"_c{i}"], turn[f"_e{i}"] = two_difference(f"_a{i}", f"_b{i}")
+    arms = {f"_B{i}{side}p": f"_w{i} * _x{j}" for i in range(3) for side, j in enumerate(both[i])}
+    r = project(r, {**turn, **arms}, [*keys, *plain, "_u", "_w0", "_w1", "_w2"])
+    upper = {f"_s{i}": halves(f"_c{i}")[0] for i in range(3)}
+    r = project(r, upper, [*keys, *plain, "_u", "_w0", "_w1", "_w2", *turn, *arms])
+    parts = {f"_A{i}p": f"_w{i} * _s{i}" for i in range(3)} | {f"_A{i}t": f"_w{i} * (_c{i} - _s{i}) + _w{i} * _e{i}" for i in range(3)}
+    r = project(r, parts, [*keys, *plain, "_u", *arms])
+    cut = {}
+    for names, scale in ((_TURN, f"_u * {_SPEED} * {_LENGTH}"), (_ARM, f"_u * {_LENGTH}")):
+        for name in names:
+            cut[name + "h"], cut[name + "l"] = at_place(name + "p", f"({scale})")
+    return project(r, cut, [*keys, *plain, "_A0t", "_A1t", "_A2t"])
 
 
 def _axis_of_sums(sums: DataFrame, keep: Sequence[str], j_tolerance: float) -> DataFrame:
-    """Mean velocity and J = A - B x vbar of every group, in two-float arithmetic, from its sums.
+    """Mean velocity and J = A - B x vbar of every group, in two-float arithmetic, from its sums; ``_unit`` is what A and B are times.
 
     vbar is the rounded mean, as row by row: of a lone particle J is what its rounding leaves. With ``j_tolerance`` a J of at most
     that times sqrt(sum m x.x * sum m u.u) is noise (and zero), as in ``kinematics``. A J below the error of the sums is zero."""
     result = [*keep, "_n", "_M", "_vb0", "_vb1", "_vb2"]
-    keep = [*keep, "_n", "_M", "_mr", "_xx", "_vv", "_P0", "_P1", "_P2"]
-    col = lambda name, i: F.col(f"_{name}{i}")
-    vec = lambda name: tuple(col(name, i) for i in range(3))
-    two = {f"_q{i}": safe_div(col("P", i), F.col("_M")) for i in range(3)}
-    for name in _EXACT:
-        s, e = two_sum(F.col(name + "h"), F.col(name + "l"))
-        two[name], two[name + "r"] = s, e + F.col(name + "t")
-    r = named(sums, two, keep)
-    pieces = {}
+    keep = [*keep, *_PLAIN, "_unit"]
+    two = {f"_vb{i}": f"try_divide(_P{i}, _M)" for i in range(3)}
+    for name in (*_TURN, *_ARM):
+        two[name], e = two_sum(name + "h", name + "l")
+        two[name + "r"] = f"{e} + {name}t" if name in _TURN else e
+    r = project(sums, two, keep)
+    turned = {}
     for i in range(3):
         for side, k in ((0, (i + 2) % 3), (1, (i + 1) % 3)):  # x_j vbar_k, and x_k vbar_j
-            p, e = two_product(F.col(f"_B{i}{side}"), col("q", k))
-            pieces[f"_t{i}{side}"], pieces[f"_u{i}{side}"] = p, e + F.col(f"_B{i}{side}r") * col("q", k)
-    r = named(r, pieces, [*keep, *two])
-    joined = {}
+            p, e = two_product(f"_B{i}{side}", f"_vb{k}")
+            turned[f"_t{i}{side}"], turned[f"_u{i}{side}"] = p, f"{e} + _B{i}{side}r * _vb{k}"
+    r = project(r, turned, [*keep, *two])
+    first = {}
     for i in range(3):
-        joined[f"_f{i}"], joined[f"_g{i}"] = two_sum(col("A", i), -F.col(f"_t{i}0"))
-    r = named(r, joined, [*keep, *two, *pieces])
+        first[f"_f{i}"], first[f"_g{i}"] = two_difference(f"_A{i}", f"_t{i}0")
+    r = project(r, first, [*keep, *two, *turned])
     J = {}
     for i in range(3):
-        s, e = two_sum(col("f", i), F.col(f"_t{i}1"))
-        J[f"_J{i}"] = s + (((e + col("g", i)) + F.col(f"_A{i}r")) + (F.col(f"_u{i}1") - F.col(f"_u{i}0")))
-    r = named(r, J, [*keep, *two, *pieces])
-    size = norm(tuple(F.abs(col("A", i)) + F.abs(F.col(f"_t{i}0")) + F.abs(F.col(f"_t{i}1")) for i in range(3)))
-    uu = F.col("_vv") - dot(vec("P"), vec("q"))
-    uu = F.when(uu > F.col("_vv") * F.lit(2.0 ** -40), uu).otherwise(F.lit(0.0))  # below: rounding of the two sums
-    r = named(r, {**{f"_vb{i}": col("q", i) for i in range(3)},
-                  **{f"_J{i}": F.when(norm(vec("J")) > size * F.lit(2.0 ** -72), col("J", i)).otherwise(F.lit(0.0)) for i in range(3)},
-                  "_JS": F.sqrt(uu * F.col("_xx"))}, keep)
-    return r.select(*result, *_axis(vec("J"), F.col("_JS"), j_tolerance))
+        s, e = two_sum(f"_f{i}", f"_t{i}1")
+        J[f"_K{i}"] = f"{s} + ((({e} + _g{i}) + _A{i}r) + (_u{i}1 - _u{i}0))"
+    length = lambda parts: "sqrt(" + " + ".join(f"{p} * {p}" for p in parts) + ")"
+    J["_size"] = length([f"(abs(_A{i}) + abs(_t{i}0) + abs(_t{i}1))" for i in range(3)])
+    J["_uu"] = "_vv - (_P0 * _vb0 + _P1 * _vb1 + _P2 * _vb2)"
+    r = project(r, J, [*keep, *two])
+    small = f"{length(['_K0', '_K1', '_K2'])} > _size * {2.0 ** -72!r}D"
+    r = project(r, {**{f"_J{i}": f"CASE WHEN {small} THEN _unit * _K{i} ELSE 0D END" for i in range(3)},
+                    "_JS": f"sqrt(CASE WHEN _uu > _vv * {2.0 ** -40!r}D THEN _uu ELSE 0D END * _xx)"},  # below: rounding of the two sums
+                [*keep, "_vb0", "_vb1", "_vb2"])
+    return r.select(*result, *_axis((F.col("_J0"), F.col("_J1"), F.col("_J2")), F.col("_JS"), j_tolerance))
 
 
 def shell_axis(pairs_by_species: Mapping[str, DataFrame], apertures: Sequence[Aperture], h: float, j_tolerance: float = 0.0) -> DataFrame:
@@ -163,21 +168,21 @@ def shell_axis(pairs_by_species: Mapping[str, DataFrame], apertures: Sequence[Ap
             shell = F.when(F.col(D2) <= radius * radius, F.lit(k)).otherwise(shell)
             inside[i] = F.col(f"_shell{f}") <= F.lit(k)
         shells.append(shell.alias(f"_shell{f}"))
-    keys = ["subhalo_id", *columns, *[f"_shell{f}" for f in range(len(ordered))]]
+    keys = ["species_id", "_unit", "subhalo_id", *columns, *[f"_shell{f}" for f in range(len(ordered))]]
     out_of_all = " AND ".join(f"_shell{f} = {len(ids)}" for f, ids in enumerate(ordered))
-    parts = []
+    rows = None
     for number, (sp, pairs) in enumerate(pairs_by_species.items()):
-        rows = species_mass(pairs, sp, h).select("subhalo_id", *columns, *shells, *X, *V, "mass").where(f"NOT ({out_of_all})")
-        sums = _shell_terms(rows, keys).groupBy(*keys).agg(*[F.sum(n).alias(n) for n in _SHELL_SUMS])
-        parts.append(sums.select(F.lit(number).alias("species_id"), *keys, *_SHELL_SUMS))
-    total = parts[0]
-    for p in parts[1:]:
-        total = total.unionByName(p)
+        unit = dm_particle_mass(h) if sp == "dm" else 1.0
+        own = F.lit(1.0) if sp == "dm" else F.col("mass").cast("double")
+        part = species_mass(pairs, sp, h).select(F.lit(number).alias("species_id"), F.lit(unit).alias("_unit"), *keys[2:-len(ordered)], *shells, *X, *V,
+                                                 F.col("mass").cast("double").alias("mass"), own.alias("_own")).where(f"NOT ({out_of_all})")
+        rows = part if rows is None else rows.unionByName(part)
+    total = _shell_terms(rows, keys).groupBy(*keys).agg(*[F.sum(n).alias(n) for n in _SHELL_SUMS])
     each = F.explode(F.array(*[F.struct(F.lit(i).alias("aperture_id"), a.radius(h).alias("radius"), inside[i].alias("inside"))
                                for i, a in enumerate(apertures)])).alias("a")
-    held = total.select("species_id", "subhalo_id", *_SHELL_SUMS, each).where("a.inside")
+    held = total.select("species_id", "subhalo_id", "_unit", *_SHELL_SUMS, each).where("a.inside")
     sums = held.groupBy("species_id", F.col("a.aperture_id").alias("aperture_id"), "subhalo_id").agg(
-        F.max("a.radius").alias("aperture_radius"), *[F.sum(n).alias(n) for n in _SHELL_SUMS])
+        F.max("a.radius").alias("aperture_radius"), F.max("_unit").alias("_unit"), *[F.sum(n).alias(n) for n in _SHELL_SUMS])
     return _axis_of_sums(sums, [*KEYS, "aperture_radius"], j_tolerance)
 
 
