@@ -55,6 +55,7 @@ def run(argv: list[str], spark: SparkSession | None = None) -> dict:
     p.add_argument("--out", required=True)
     p.add_argument("--fixed", default=",".join(str(r) for r in FIXED_APERTURES))
     p.add_argument("--scales", default=",".join(str(s) for s in HALF_RADIUS_SCALES))
+    p.add_argument("--resume", default="", help="shared folder for finished passes, read again by a job that is started again")
     p.add_argument("--h", type=float, default=H_CATALOG)
     p = sub.add_parser("pairs", help="the older pipeline: mass cut, join, radii, pairs partitioned by subhalo")
     p.add_argument("--particles", required=True)
@@ -109,7 +110,8 @@ def run(argv: list[str], spark: SparkSession | None = None) -> dict:
     pairs = {sp: spark.read.parquet(path) for sp, path in (("star", args.star), ("dm", args.dm)) if path}
     if not pairs:
         ap.error("kinematics needs --star and/or --dm")
-    paths = jobs.catalog_job(pairs, args.out, fixed=_floats(args.fixed), scales=_floats(args.scales), h=args.h)
+    paths = jobs.catalog_job(pairs, args.out, resume=args.resume or None, fixed=_floats(args.fixed), scales=_floats(args.scales),
+                             h=args.h)
     return {"groups": spark.read.parquet(paths["kinematics"]).count(), **paths}
 
 

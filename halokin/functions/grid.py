@@ -54,3 +54,17 @@ def overlap_cells(centre: Column, radius: float, box: float = BOX_SIZE,
 def max_cells_per_axis(radius: float, box: float = BOX_SIZE, n_cells: int = GRID_CELLS) -> int:
     """Upper bound of ``size(overlap_cells(...))`` on one axis."""
     return min(n_cells, int(math.floor(2.0 * radius / cell_size(box, n_cells))) + 2)
+
+
+def morton_key(x: str, y: str, z: str, box: float = BOX_SIZE, bits: int = 20) -> Column:
+    """The place of a position on a space-filling curve: the bits of its three cells, ``2**bits`` on an axis, taken in turn.
+
+    Positions outside of the box wrap; NULL in any coordinate gives NULL."""
+    def spread(c: str) -> Column:
+        v = F.pmod(F.floor(F.col(c).cast("double") / F.lit(box / 2 ** bits)), F.lit(2 ** bits))
+        # two zero bits behind each bit, by halves of the number: the fixed masks of 21-bit interleaving
+        for shift, mask in ((32, 0x1F00000000FFFF), (16, 0x1F0000FF0000FF), (8, 0x100F00F00F00F00F), (4, 0x10C30C30C30C30C3), (2, 0x1249249249249249)):
+            v = v.bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(F.lit(mask))
+        return v
+
+    return F.shiftleft(spread(x), 2).bitwiseOR(F.shiftleft(spread(y), 1)).bitwiseOR(spread(z))

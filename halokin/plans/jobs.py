@@ -8,17 +8,20 @@ job; (3) the catalogues are written by DataFrame writers.
 
 from __future__ import annotations
 
+import math
+from contextlib import nullcontext
 from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..constants import FIXED_APERTURES, HALF_RADIUS_SCALES, H_CATALOG, H_JOIN, NOTEBOOK_APERTURES
+from ..constants import BOX_SIZE, FIXED_APERTURES, HALF_RADIUS_SCALES, H_CATALOG, H_JOIN, NOTEBOOK_APERTURES
+from ..functions import grid
 from ..operators.apertures import suffix_measures
 from ..operators.catalog import catalog_2d, catalog_3d, enrich, mass_cut
 from ..operators.neighbors import neighbour_join
 from ..operators.sweep import fixed_apertures, scaled_apertures, sweep
 from ..schemas import MEASURES
-from ..session import scratch_path
+from ..session import materialize, resumable, scratch_path
 from ..sources import fixtures as fx
 from ..sources import sinks
 
@@ -51,13 +54,32 @@ def forget_tables() -> None:
     _CACHE.clear()
 
 
-def write_snapshot(particles: DataFrame, path: str, n_files: int | None = None) -> str:
-    """Particles as Parquet clustered by x: range-partitioned on ``px`` and sorted
-    within files, so that the slab chunks of the neighbour join read their own
-    files and row groups only."""
-    n = n_files or particles.sparkSession.sparkContext.defaultParallelism
-    (particles.repartitionByRange(n, "px").sortWithinPartitions("px")
-     .write.mode("overwrite").parquet(path))
+#: Bytes of particles in a stored file, by the width of their types.
+FILE_BYTES = 256 * 2**20
+
+
+def files_for(particles: DataFrame, file_bytes: int = FILE_BYTES) -> int:
+    """How many files of about ``file_bytes`` the rows make: their count times the width of their types."""
+    width = sum({"double": 8, "bigint": 8, "string": 24}.get(f.dataType.simpleString(), 4) for f in particles.schema)
+    return max(1, math.ceil(particles.count() * width / file_bytes))
+
+
+def write_snapshot(particles: DataFrame, path: str, n_files: int | None = None, *, layout: str = "x", box: float = BOX_SIZE,
+                   file_bytes: int = FILE_BYTES) -> str:
+    """Particles as Parquet in ``n_files`` files (default: by their bytes), ordered in space and over the files.
+
+    ``layout="x"`` orders by ``px``, so that the slab chunks of the neighbour join read their own
+    files and row groups only. ``layout="morton"`` orders by the space-filling key of (px, py, pz), so that files and row
+    groups are compact in all three coordinates, and a filter on a region of space reads few of them."""
+    n = n_files or files_for(particles, file_bytes)
+    if layout == "x":
+        ordered = particles.repartitionByRange(n, "px").sortWithinPartitions("px")
+    elif layout == "morton":
+        keyed = particles.withColumn("_key", grid.morton_key("px", "py", "pz", box))
+        ordered = keyed.repartitionByRange(n, "_key").sortWithinPartitions("_key").drop("_key")
+    else:
+        raise ValueError(f"unknown layout {layout!r}")
+    ordered.write.mode("overwrite").parquet(path)
     return path
 
 
@@ -110,11 +132,17 @@ def export_catalogs(result: DataFrame, out_root: str) -> dict[str, str]:
     return paths
 
 
-def catalog_job(pairs_by_species: Mapping[str, DataFrame], out_root: str, **opts) -> dict[str, str]:
+def catalog_job(pairs_by_species: Mapping[str, DataFrame], out_root: str, *, resume: str | None = None, **opts) -> dict[str, str]:
     """All apertures and species: the tidy result table as Parquet (written once),
-    then the 3D and 2D CSV catalogues exported from it."""
+    then the 3D and 2D CSV catalogues exported from it.
+
+    ``resume`` names a shared folder for the tables of the passes: a job that is started again with it goes on
+    from the passes that were finished, if their sources, apertures and options are the same."""
     tidy = f"{out_root}/kinematics"
-    sinks.write_parquet(full_sweep(pairs_by_species, **opts), tidy)
+    with resumable(resume) if resume else nullcontext():
+        result = full_sweep(pairs_by_species, **opts)
+        result = materialize(result, "sweep") if resume else result
+    sinks.write_parquet(result, tidy)
     spark = next(iter(pairs_by_species.values())).sparkSession
     paths = export_catalogs(spark.read.parquet(tidy), out_root)
     return {"kinematics": tidy, **paths}

@@ -5,9 +5,12 @@ is a table SQL can produce."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 from ..constants import GRID_CELLS, H_CATALOG, H_JOIN, NOTEBOOK_APERTURES, dm_particle_mass
 from ..functions import grid
@@ -19,7 +22,7 @@ from ..operators.joinback import group_totals
 from ..operators.kinematics import kinematics, velocity_moments
 from ..operators.neighbors import particle_cells, rename_subhalos
 from ..schemas import MEASURES
-from ..session import scratch_path
+from ..session import resumable, scratch_path, tables_of
 from ..sources import fixtures as fx
 from ..sources import ingest, sinks
 from ..streaming.batched_ingest import ingest_in_batches, read_batches
@@ -192,6 +195,43 @@ def roundtrip_parquet(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+@register("roundtrip_codecs", O.particles_sql("star"))
+def roundtrip_codecs(spark: SparkSession, d: str) -> DataFrame:
+    """A third of the particles with each of three codecs, appended to one folder and read back as one table."""
+    path = scratch_path(spark, "star-codecs")
+    p = fx.star_particles(spark, d)
+    for k, codec in enumerate(("snappy", "gzip", "zstd")):
+        sinks.write_parquet(p.where(F.pmod("id", F.lit(3)) == k), path, mode="append", compression=codec)
+    return spark.read.parquet(path)
+
+
+@register("sink_modes", O.particles_sql("star"))
+def sink_modes(spark: SparkSession, d: str) -> DataFrame:
+    """The four writer modes after each other: only overwrite and append change what is there."""
+    path = scratch_path(spark, "star-modes")
+    p = fx.star_particles(spark, d)
+    even, odd = p.where("id % 2 = 0"), p.where("id % 2 <> 0")
+    sinks.write_parquet(odd, path, mode="error")  # a new folder
+    sinks.write_parquet(even, path, mode="overwrite")
+    sinks.write_parquet(even, path, mode="ignore")
+    sinks.write_parquet(odd, path, mode="append")
+    try:
+        sinks.write_parquet(even, path, mode="error")
+    except AnalysisException:
+        return spark.read.parquet(path)
+    raise AssertionError("a folder that exists was written in mode error")
+
+
+_REGION = "px BETWEEN 30000 AND 90000 AND py BETWEEN 60000 AND 120000 AND pz BETWEEN 20000 AND 100000"
+
+
+@register("snapshot_region", f"SELECT * FROM ({O.particles_sql('star')}) p WHERE {_REGION}")
+def snapshot_region(spark: SparkSession, d: str) -> DataFrame:
+    """The particles of a box-shaped region, from a snapshot stored along a space-filling curve."""
+    path = jobs.write_snapshot(fx.star_particles(spark, d), scratch_path(spark, "star-morton"), 16, layout="morton")
+    return spark.read.parquet(path).where(_REGION)
+
+
 @register("roundtrip_partitioned", O.pairs_sql("star"))
 def roundtrip_partitioned(spark: SparkSession, d: str) -> DataFrame:
     """Pairs written Hive-partitioned by subhalo_id and read back."""
@@ -227,6 +267,22 @@ def export_catalog_csv(spark: SparkSession, d: str) -> DataFrame:
     return _catalog_back(spark, d, "3d", O.CATALOG_3D)
 
 
+@register("catalog_resumed", O.catalog_sql("3d"))
+def catalog_resumed(spark: SparkSession, d: str) -> DataFrame:
+    """The catalogue job is lost after the passes of its sweep that write a table; started again, it goes on from that table."""
+    resume = scratch_path(spark, "resume")
+    pairs = jobs.pair_tables(spark, d)
+    with resumable(resume):
+        jobs.full_sweep(pairs, **NOISE)  # writes the axis table; its result is lost before it is used
+    made = tables_of(spark, resume)
+    paths = jobs.catalog_job(pairs, scratch_path(spark, "catalogs"), resume=resume, **NOISE)
+    if not made or not made < tables_of(spark, resume) or len([t for t in tables_of(spark, resume) if t.startswith("kin-J")]) != 1:
+        raise AssertionError("a finished pass was made again")
+    schema = T.StructType([T.StructField("subhalo_id", T.IntegerType())] + [T.StructField(dst, T.DoubleType()) for _, dst in O.CATALOG_3D] +
+                          [T.StructField("species", T.StringType()), T.StructField("aperture", T.StringType())])
+    return rounded(spark.read.schema(schema).option("header", True).csv(paths["3d"]))
+
+
 @register("export_catalog_2d_csv", O.catalog_sql("2d"))
 def export_catalog_2d_csv(spark: SparkSession, d: str) -> DataFrame:
     """2D catalogue written as CSV per (species, aperture), read back."""
@@ -493,6 +549,13 @@ def enrich_catalog(spark: SparkSession, d: str) -> DataFrame:
     return enrich(pairs, fx.radius_side_table(spark, d), "subhalo_id", ["StarHalfRad"])
 
 
+@register("enrich_side_wins", O.pairs_sql("star"))
+def enrich_side_wins(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs that have a radius column of their own, enriched: the side table's values stand, without a second column."""
+    pairs = jobs.pair_table(spark, d, "star").withColumn("StarHalfRad", F.lit(-1.0).cast("float"))
+    return enrich(pairs, fx.radius_side_table(spark, d))
+
+
 def _rows30(species: str = "star") -> str:
     return O.fixed_rows_sql(species, 30, H)
 

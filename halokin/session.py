@@ -8,12 +8,17 @@ our own when it is unset (tests, local runs).
 
 from __future__ import annotations
 
+import hashlib
 import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -71,14 +76,65 @@ def remove_scratch(spark: SparkSession) -> bool:
     return bool(fs.delete(path, True))
 
 
+_RESUME: ContextVar[str | None] = ContextVar("halokin_resume", default=None)
+
+
+@contextmanager
+def resumable(root: str) -> Iterator[None]:
+    """Within this context ``materialize`` keeps its tables under ``root`` (a shared folder), named by what they are
+    made of, and reads a table that an earlier run has finished instead of making it again."""
+    token = _RESUME.set(root)
+    try:
+        yield
+    finally:
+        _RESUME.reset(token)
+
+
+def fingerprint(df: DataFrame) -> str:
+    """A digest of a frame's plan, and of the path, size and time of every file that it reads.
+
+    The plan is the analysed one, with attribute numbers replaced by their order of appearance. The files' state is a sum of hashes
+    made by Spark over the folders that hold them."""
+    spark = df.sparkSession
+    shown = spark.conf.get("spark.sql.debug.maxToStringFields")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "100000")
+    try:
+        plan = df._jdf.queryExecution().analyzed().toString()
+    finally:
+        spark.conf.set("spark.sql.debug.maxToStringFields", shown)
+    seen: dict[str, str] = {}
+    plan = re.sub(r"#\d+L?", lambda m: seen.setdefault(m[0], f"#{len(seen)}"), plan)
+    folders = sorted({os.path.dirname(f) for f in df.inputFiles()})
+    state = None
+    if folders:
+        files = spark.read.format("binaryFile").load(folders).select("path", "length", "modificationTime")
+        each = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
+        state = files.agg(F.count("path"), F.sum("length"), F.sum(each)).first()
+    return hashlib.sha256(f"{plan}\n{folders}\n{tuple(state) if state else ()}".encode()).hexdigest()
+
+
+def _finished(spark: SparkSession, path: str) -> bool:
+    mark = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(path, "_SUCCESS"))
+    return bool(mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark))
+
+
+def tables_of(spark: SparkSession, root: str) -> set[str]:
+    """The names of the finished tables under a ``resumable`` folder."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    found = hadoop.Path(root).getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop.Path(os.path.join(root, "*", "_SUCCESS")))
+    return {f.getPath().getParent().getName() for f in found or ()}
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
     Cuts the lineage (a lost executor re-reads the file instead of recomputing
     the whole upstream plan) and gives later stages column pruning and exact
-    row counts from Parquet metadata.
+    row counts from Parquet metadata. See ``resumable`` for jobs that are started again.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, tag)
-    df.write.mode("overwrite").parquet(path)
+    root = _RESUME.get()
+    path = os.path.join(root, f"{tag}-{fingerprint(df)[:32]}") if root else scratch_path(spark, tag)
+    if not root or not _finished(spark, path):
+        df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

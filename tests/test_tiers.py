@@ -18,7 +18,7 @@ from halokin.operators.neighbors import neighbour_join, plan_chunks, subhalo_reg
 from halokin.operators.sweep import fixed_apertures, scaled_apertures, shell_axis, sweep
 from halokin.plans import jobs
 from halokin.schemas import MEASURES
-from halokin.session import materialize
+from halokin.session import materialize, scratch_path
 from halokin.sources import fixtures as fx
 from halokin.sources import ingest
 from halokin.streaming import batched_ingest as B
@@ -257,3 +257,80 @@ def test_shells_treat_missing_velocities_as_the_single_runs_do(spark, small_pair
     for k, r in single.items():
         for m in MEASURES:
             assert many[k][m] == pytest.approx(r[m], rel=1e-8, abs=1e-9), (k, m)
+
+
+# ------------------------------------------------------------------ resumed jobs, layout, sinks
+
+def test_a_killed_catalog_job_goes_on_from_its_finished_passes(spark, tmp_path, monkeypatch):
+    from halokin.operators import kinematics as K
+    from halokin.session import tables_of
+
+    resume, out = str(tmp_path / "resume"), str(tmp_path / "out")
+    source = {sp: str(tmp_path / sp) for sp in ("star", "dm")}
+    for sp, path in source.items():
+        jobs.pair_table(spark, SF_SMALL, sp).write.parquet(path)
+    pairs = lambda: {sp: spark.read.parquet(path) for sp, path in source.items()}
+    opts = dict(fixed=(5, 20), scales=(1,))
+    with monkeypatch.context() as m:
+        m.setattr(K, "_final_sums", lambda *a: (_ for _ in ()).throw(Lost("killed")))
+        with pytest.raises(Lost):
+            jobs.catalog_job(pairs(), out, resume=resume, **opts)
+    made = {t: os.path.getmtime(os.path.join(resume, t, "_SUCCESS")) for t in tables_of(spark, resume)}
+    assert [t.split("-")[0] for t in made] == ["kin"]
+    paths = jobs.catalog_job(pairs(), out, resume=resume, **opts)
+    assert tables_of(spark, resume) > set(made) and all(os.path.getmtime(os.path.join(resume, t, "_SUCCESS")) == at for t, at in made.items())
+    want = jobs.catalog_job(pairs(), str(tmp_path / "plain"), **opts)
+    assert same(spark.read.parquet(paths["kinematics"]).select("species", "aperture", "subhalo_id"),
+                spark.read.parquet(want["kinematics"]).select("species", "aperture", "subhalo_id"))
+    # other apertures, or a source that has changed, have tables of their own
+    before = tables_of(spark, resume)
+    jobs.catalog_job(pairs(), out, resume=resume, fixed=(5, 10), scales=(1,))
+    assert len(tables_of(spark, resume) - before) == 2
+    before = tables_of(spark, resume)
+    spark.read.parquet(source["star"]).limit(10).write.mode("append").parquet(source["star"])
+    jobs.catalog_job(pairs(), out, resume=resume, **opts)
+    assert len(tables_of(spark, resume) - before) == 2
+    # a table whose write was not finished is made again
+    os.remove(os.path.join(resume, next(iter(made)), "_SUCCESS"))
+    before = tables_of(spark, resume)
+    assert next(iter(made)) not in before
+
+
+def test_a_region_reads_its_share_of_a_snapshot_along_a_curve(spark):
+    from halokin.functions.grid import morton_key
+
+    keys = spark.createDataFrame([(0.0, 0.0, 0.0), (0.0, 0.0, 1.0), (0.0, 1.0, 0.0), (1.0, 0.0, 0.0), (3.0, 5.0, 6.0), (-1.0, 8.0, 0.0)], "x double, y double, z double")
+    got = [r[0] for r in keys.select(morton_key("x", "y", "z", 8.0, 3)).collect()]
+    assert got == [0, 1, 2, 4, morton_of(3, 5, 6), morton_of(7, 0, 0)]
+    p = spark.range(200_000).select(*[(F.rand(k) * 205000).cast("float").alias(c) for k, c in enumerate(("px", "py", "pz"))], F.col("id"))
+    path = jobs.write_snapshot(p, scratch_path(spark, "t-morton"), layout="morton", file_bytes=6_000)
+    stored = spark.read.parquet(path)
+    spans = stored.groupBy(F.input_file_name().alias("f")).agg(*[F.struct(F.min(c).alias("a"), F.max(c).alias("b")).alias(c) for c in ("px", "py", "pz")]).collect()
+    assert len(spans) >= 512 and stored.count() == 200_000
+    region = {"px": (30e3, 90e3), "py": (60e3, 120e3), "pz": (20e3, 100e3)}
+    share = math.prod((b - a) / 205e3 for a, b in region.values())
+    read = sum(all(s[c]["a"] <= b and s[c]["b"] >= a for c, (a, b) in region.items()) for s in spans)
+    by_x = sum(s["px"]["a"] <= region["px"][1] and s["px"]["b"] >= region["px"][0] for s in spans)
+    assert read <= 3 * share * len(spans) and 3 * read < by_x
+    with pytest.raises(ValueError):
+        jobs.write_snapshot(p, path, layout="other")
+
+
+def morton_of(x, y, z, bits=3):
+    return sum(((x >> k & 1) << 3 * k + 2) | ((y >> k & 1) << 3 * k + 1) | ((z >> k & 1) << 3 * k) for k in range(bits))
+
+
+def test_the_number_of_files_follows_the_bytes(spark):
+    p = fx.star_particles(spark, SF_SMALL)
+    n = p.count()
+    assert jobs.files_for(p, 10**9) == 1 and jobs.files_for(p, 1000) == math.ceil(n * 40 / 1000)
+
+
+def test_enrichment_takes_the_side_tables_columns(spark):
+    from halokin.operators.catalog import enrich
+
+    pairs = spark.createDataFrame([(1, 5.0, "a"), (1, 5.0, "b"), (2, 6.0, "c"), (3, 7.0, "d")], "subhalo_id int, StarHalfRad double, x string")
+    side = spark.createDataFrame([(1, 50.0, "q"), (2, None, "r")], "subhalo_id int, StarHalfRad double, note string")
+    out = enrich(pairs, side)
+    assert sorted(out.columns) == ["StarHalfRad", "note", "subhalo_id", "x"]
+    assert sorted((r["x"], r["StarHalfRad"], r["note"]) for r in out.collect()) == [("a", 50.0, "q"), ("b", 50.0, "q"), ("c", None, "r")]
