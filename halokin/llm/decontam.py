@@ -8,8 +8,9 @@ wavelet tree of prefix counts. All benchmark windows are searched backwards at o
 their rows are located through sampled suffix positions; overlapping occurrences
 merge into removal spans. Documents are never shuffled.
 
-The benchmark goes to the tasks in blocks of at most ``block_bytes`` of text, one
-pass over the batches for each block, so what a task holds does not grow with it.
+The benchmark goes to the tasks in blocks of at most ``block_bytes`` of text, read one at a time. A pass over the documents
+searches one block and is written before the next one begins, so neither a task nor the driver ever holds more
+than one block, however large the benchmark is.
 
 Defined results: null or empty text has no words and is not contaminated. Items whose
 text is null or has no word have no window; an item without an id is searched like others, but has
@@ -30,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
 from . import textbytes as tb
 
 WINDOW = 10
@@ -269,6 +271,7 @@ def mark_passages(docs: DataFrame, items: DataFrame, *, id_col: str = "item_id",
     for b in range(blocks):
         windows = Windows(((r.id, r.text) for r in some.where(part == b).orderBy("id", "text").collect()), window)
         out = _apply(out, windows, text_col, first=b == 0, last=b == blocks - 1, remove=remove)
+        out = materialize(out, "decontamination") if b < blocks - 1 else out
     return out
 
 

@@ -140,6 +140,17 @@ def test_alignment_of_empty_tables(spark):
     assert sorted(r["n_links"] for r in only) == [0, 1]
 
 
+def test_benchmark_blocks_are_searched_one_at_a_time(spark):
+    from halokin.llm import decontam
+
+    docs, items = (queries.table(spark, SF_SMALL, t) for t in ("documents", "benchmark"))
+    docs = docs.select("doc_id", "text")
+    whole, cut = decontam.mark_passages(docs, items), decontam.mark_passages(docs, items, block_bytes=2000)
+    assert cut._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    key = lambda r: (r["doc_id"], r["n_hit"], r["items"], [tuple(s) for s in r["spans"]])
+    assert sorted(map(key, cut.collect())) == sorted(map(key, whole.collect()))
+
+
 # ------------------------------------------------------------------ op13
 
 S = "The quick brown fox jumps over the lazy dog near the river bank, and then it runs home again."
