@@ -90,8 +90,9 @@ def file_headers(spark: SparkSession, paths: Paths, *, recursive: bool = False,
                                              ["file", "header", "opened"])
 
     out = scratch_path(spark, "csv-headers")
-    listed.mapInArrow(read, "file string, header string, opened boolean").write.parquet(out)
-    table = spark.read.parquet(out)
+    schema = "file string, header string, opened boolean"
+    listed.mapInArrow(read, schema).write.parquet(out)
+    table = spark.read.schema(schema).parquet(out)
     if not table.where("NOT opened").head(1):
         return table.where("header IS NOT NULL").select("file", "header")
     reader = spark.read.option("recursiveFileLookup", recursive).option("ignoreMissingFiles", ignore_missing)
