@@ -16,7 +16,10 @@ each document would be several times the corpus:
 4. The answers are joined to their chunks, and scores summed per document.
 
 A very frequent n-gram is one entry for a chunk, so no part is larger than others;
-the number of parts grows with the text.
+the number of parts grows with the text. A chunk makes ``FAN`` requests at most, so that their number doesn't grow with the
+text's square: with more parts, the exchange goes in steps. The requests of ``FAN`` chunks for the same wide
+part are merged to one count table, which asks for ``FAN`` narrower parts in their place, and so on; the answers come
+back the same way. Every step has as many requests as there are chunks, times ``FAN``.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased. Defined results: null text, or
 text without a word, has no words, a score of 0 and a null perplexity. Repeated rows are
@@ -43,6 +46,8 @@ BACKOFF = 0.4
 CHUNK = 8_000_000
 PART = 8_000_000
 LEAST_PARTS = 64
+#: Binary digits of the hash that one step of the exchange tells apart.
+FAN_BITS = 8
 
 
 def _pack(numbers: np.ndarray) -> bytes:
@@ -95,43 +100,87 @@ def _ngrams(text: bytes, sizes: np.ndarray, order: int) -> tuple[np.ndarray, lis
     return row, grams, inside
 
 
+_REQUEST = "chunk string, part int, hashes array<binary>, counts array<binary>"
+_ANSWER = "chunk string, part int, totals array<binary>, words long"
+
+
+def _sliced(chunk: str, part: int, done: int, bits: int, tables: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """Requests of a node that has ``tables`` (by order: sorted hashes, counts) in ``part``, a prefix of ``done`` digits, by ``bits`` more digits."""
+    first = part << bits
+    slices: list[list[tuple[bytes, bytes]]] = [[] for _ in range(1 << bits)]
+    for hashes, counts in tables:
+        edge = np.searchsorted(hashes >> np.uint64(64 - done - bits), np.arange(first, first + (1 << bits) + 1, dtype=np.uint64)) if done + bits else [0, len(hashes)]
+        for p, (a, b) in enumerate(zip(edge, edge[1:])):
+            slices[p].append((_pack(np.diff(hashes[a:b], prepend=np.uint64(0))), _pack(counts[a:b])))
+    return pa.RecordBatch.from_arrays(
+        [pa.array([chunk] * len(slices)), pa.array(range(first, first + len(slices)), pa.int32()),
+         pa.array([[x for x, _ in s] for s in slices], pa.list_(pa.binary())), pa.array([[x for _, x in s] for s in slices], pa.list_(pa.binary()))],
+        ["chunk", "part", "hashes", "counts"])
+
+
 def _requests(chunks: DataFrame, order: int, bits: int) -> DataFrame:
     """(chunk, part, hashes, counts): lists with an entry for each order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, sizes, text in zip(*(batch.column(c) for c in ("chunk", "sizes", "text"))):
                 _, grams, inside = _ngrams(text.as_buffer(), sizes.values.to_numpy(), order)
-                slices: list[list[tuple[bytes, bytes]]] = [[] for _ in range(1 << bits)]
-                for g, w in zip(grams, inside):
-                    hashes, counts = np.unique(g[w], return_counts=True)
-                    edge = np.searchsorted(hashes >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
-                    for p, (a, b) in enumerate(zip(edge, edge[1:])):
-                        slices[p].append((_pack(np.diff(hashes[a:b], prepend=np.uint64(0))), _pack(counts[a:b])))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([chunk.as_py()] * len(slices)), pa.array(range(len(slices)), pa.int32()),
-                     pa.array([[x for x, _ in s] for s in slices], pa.list_(pa.binary())),
-                     pa.array([[x for _, x in s] for s in slices], pa.list_(pa.binary()))], ["chunk", "part", "hashes", "counts"])
-
-    return chunks.mapInArrow(run, "chunk string, part int, hashes array<binary>, counts array<binary>")
-
-
-def _answers(requests: DataFrame, order: int) -> DataFrame:
-    """(chunk, part, totals, words): the totals of every request in its order, and its words."""
+                yield _sliced(chunk.as_py(), 0, 0, bits, [np.unique(g[w], return_counts=True) for g, w in zip(grams, inside)])
+
+    return chunks.mapInArrow(run, _REQUEST)
+
+
+def _summed(group: pa.Table, o: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Of all requests for the same part: the hashes of an order, their counts added up, and where each request has its own."""
+    asked = [np.cumsum(_unpack(h[o])) for h in group.column("hashes").to_pylist()]
+    counts = [_unpack(c[o]) for c in group.column("counts").to_pylist()]
+    known, where = np.unique(np.concatenate(asked), return_inverse=True)
+    sums = np.bincount(where, np.concatenate(counts).astype(float), minlength=len(known)).astype(np.uint64)
+    edge = np.concatenate(([0], np.cumsum([len(a) for a in asked])))
+    return known, sums, [where[a:b] for a, b in zip(edge, edge[1:])]
+
+
+def _answered(group: pa.Table, totals: list[list[bytes]]) -> pa.Table:
+    words = [int(_unpack(c[0]).sum()) for c in group.column("counts").to_pylist()]
+    return pa.table({"chunk": group.column("chunk"), "part": group.column("part"), "totals": pa.array(totals, pa.list_(pa.binary())),
+                     "words": pa.array(words, pa.int64())})
+
+
+def _answers(requests: DataFrame, order: int, done: int, left: int, nodes: int, fan_bits: int = FAN_BITS) -> DataFrame:
+    """(chunk, part, totals, words): the totals of every request in its order, and its words.
+
+    ``requests`` of about ``nodes`` chunks tell ``done`` digits apart; ``left`` more are needed for parts of the size wanted."""
     def count(group: pa.Table) -> pa.Table:
-        hashes, counts = group.column("hashes").to_pylist(), group.column("counts").to_pylist()
-        totals: list[list[bytes]] = [[] for _ in hashes]
-        words = [int(_unpack(c[0]).sum()) for c in counts]
+        totals: list[list[bytes]] = [[] for _ in range(group.num_rows)]
+        for o in range(order):
+            _, sums, where = _summed(group, o)
+            for k, w in enumerate(where):
+                totals[k].append(_pack(sums[w]))
+        return _answered(group, totals)
+
+    if not left:
+        return requests.groupBy("part").applyInArrow(count, _ANSWER)
+
+    bits, groups = min(fan_bits, left), max(1, nodes >> fan_bits)
+    requests = materialize(requests.withColumn("team", F.pmod(F.xxhash64("chunk"), F.lit(groups)).cast("string")), "lm-requests")
+
+    def merge(group: pa.Table) -> pa.Table:
+        team, part = group.column("team")[0].as_py(), group.column("part")[0].as_py()
+        return pa.Table.from_batches([_sliced(team, part, done, bits, [_summed(group, o)[:2] for o in range(order)])])
+
+    merged = requests.groupBy("team", "part").applyInArrow(merge, _REQUEST)
+    wider = _answers(merged, order, done + bits, left - bits, groups, fan_bits).select(
+        F.col("chunk").alias("asker"), F.shiftright("part", bits).alias("parent"), F.col("part").alias("narrow"), "totals")
+
+    def pass_on(group: pa.Table, answers: pa.Table) -> pa.Table:
+        found = answers.sort_by("narrow").column("totals").to_pylist()
+        totals: list[list[bytes]] = [[] for _ in range(group.num_rows)]
         for o in range(order):
-            asked = [np.cumsum(_unpack(h[o])) for h in hashes]
-            known, where = np.unique(np.concatenate(asked), return_inverse=True)
-            sums = np.bincount(where, np.concatenate([_unpack(c[o]) for c in counts]).astype(float), minlength=len(known)).astype(np.uint64)
-            edge = np.concatenate(([0], np.cumsum([len(a) for a in asked])))
-            for k, (a, b) in enumerate(zip(edge, edge[1:])):
-                totals[k].append(_pack(sums[where[a:b]]))
-        return pa.table({"chunk": group.column("chunk"), "part": group.column("part"),
-                         "totals": pa.array(totals, pa.list_(pa.binary())), "words": pa.array(words, pa.int64())})
+            sums = np.concatenate([_unpack(t[o]) for t in found])
+            for k, w in enumerate(_summed(group, o)[2]):
+                totals[k].append(_pack(sums[w]))
+        return _answered(group, totals)
 
-    return requests.groupBy("part").applyInArrow(count, "chunk string, part int, totals array<binary>, words long")
+    return requests.groupBy("team", "part").cogroup(wider.groupBy("asker", "parent")).applyInArrow(pass_on, _ANSWER)
 
 
 def backoff_scores(row: np.ndarray, seen: list[np.ndarray], inside: list[np.ndarray], total: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -147,12 +196,14 @@ def backoff_scores(row: np.ndarray, seen: list[np.ndarray], inside: list[np.ndar
     return score, lower
 
 
-def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", order: int = 3) -> DataFrame:
+def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", order: int = 3, part_bytes: int = PART,
+              least_parts: int = LEAST_PARTS, fan_bits: int = FAN_BITS) -> DataFrame:
     """(id, n_words, n_backoff, log_score, perplexity) of every row."""
     chunks = materialize(_chunks(docs, id_col, text_col), "lm-chunks")
-    size = chunks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
-    bits = (max(LEAST_PARTS, -(-size // PART)) - 1).bit_length()
-    answers = materialize(_answers(_requests(chunks, order, bits), order), "lm-answers")
+    stats = chunks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x)).alias("size"), F.count("chunk").alias("n")).first()
+    bits = (max(least_parts, -(-(stats["size"] or 0) // part_bytes)) - 1).bit_length()
+    first = min(bits, fan_bits)
+    answers = materialize(_answers(_requests(chunks, order, first), order, first, bits - first, stats["n"], fan_bits), "lm-answers")
     words = answers.agg(F.sum("words")).first()[0] or 0
     id_type = docs.schema[id_col].dataType.simpleString()
 

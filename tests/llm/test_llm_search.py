@@ -197,3 +197,34 @@ def test_html_of_the_given_pages(spark):
     pages = {r["page_id"]: r["html"] for r in queries.table(spark, SF_SMALL, "pages").collect()}
     got = {r["page_id"]: r["text"] for r in queries.op13_html_text(spark, SF_SMALL).collect()}
     assert got == {k: article(p) for k, p in pages.items()}
+
+
+# ------------------------------------------------------------------ op8, in steps
+
+def test_backoff_exchange_in_steps(spark, monkeypatch):
+    """With small chunks, parts and steps: the same scores, and requests that follow the text, not its square."""
+    from halokin.llm import lm
+
+    docs = queries.table(spark, SF_SMALL, "documents").select("doc_id", "text").where("length(text) < 3000").limit(60)
+    key = lambda df: sorted((r["doc_id"], r["n_words"], r["n_backoff"], round(r["log_score"], 6)) for r in df.collect())
+    kept, written = lm.materialize, []
+
+    def counting(df, tag):
+        out = kept(df, tag)
+        written.append((tag, out.count()))
+        return out
+
+    monkeypatch.setattr(lm, "CHUNK", 3000)
+    monkeypatch.setattr(lm, "materialize", counting)
+    each = []
+    for times in (1, 2, 4):
+        many = docs.crossJoin(spark.range(times)).selectExpr("doc_id * 10 + id AS doc_id", "text")
+        want = key(lm.lm_scores(many))
+        written.clear()
+        got = key(lm.lm_scores(many, part_bytes=3000, least_parts=1, fan_bits=2))
+        assert got == want
+        chunks = dict(written)["lm-chunks"]
+        steps = [n for tag, n in written if tag in ("lm-requests", "lm-answers")]
+        assert len(steps) >= 3 and all(n <= 4 * chunks + 64 for n in steps), (chunks, steps)
+        each.append(sum(steps) / len(steps) / chunks)
+    assert each[-1] <= 1.3 * each[0]
