@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .bloom import Bloom
+from .names import BLOOM, set_aside
 
 MIN_WORDS = 8
 SPACE = r"[\x20\x09-\x0D]+"
@@ -108,6 +109,7 @@ def _near(candidates: DataFrame) -> DataFrame:
     return both.where(same_place & (_without(F.col("words"), F.col("at")) == _without(F.col("other"), F.col("to")))).select("h1", "h2")
 
 
+@set_aside("__rid", "__gone", *BLOOM)
 def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with the lines removed from the text, and n_lines (with a word), n_exact, n_near (removed as equal to, or
     one edit from, an earlier line; both counts as exact)."""

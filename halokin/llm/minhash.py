@@ -40,6 +40,7 @@ from ..session import materialize
 from . import textbytes as tb
 from .bloom import Bloom
 from .components import components
+from .names import BLOOM, set_aside
 
 MISS = 1e-6
 #: Further stars, which only leave less to the last step; cells of the parity bitmap.
@@ -231,6 +232,7 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, width: int, percent:
                       F.col("id").eqNullSafe(F.col("component_id")).alias("kept"), "node", "label")
 
 
+@set_aside("__rid", "kept", *BLOOM)
 def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component the document of the smallest id stays, once;
     of equal ids that of the smallest hash, and one of a null id only where all are null.

@@ -37,6 +37,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .names import set_aside
+
 #: Marks the places where a valid card or IBAN starts, within a text; it and ESCAPE are escaped in texts that hold them.
 MARK, ESCAPE = "\ufdd0", "\ufdd1"
 #: Length of an IBAN by country code.
@@ -295,6 +297,7 @@ def pseudonym(m: Column, kind: Column, key: str, decrypt: bool = False) -> Colum
     return out
 
 
+@set_aside("__found", "__marked")
 def pseudonymise(docs: DataFrame, key: str, *, text_col: str = "text", decrypt: bool = False) -> DataFrame:
     """``docs`` with the text column replaced, and the columns ``pii`` (array of (kind, value, pseudonym), in
     text order, valid ones only) and ``n_<kind>`` for each kind added (existing ones of these names are replaced)."""
@@ -303,7 +306,7 @@ def pseudonymise(docs: DataFrame, key: str, *, text_col: str = "text", decrypt:
     marked = F.when(text.rlike("[0-9]|@"), _marked(_escaped(text)))
     found = F.when(F.col("__marked").isNotNull(), F.regexp_extract_all("__marked", F.lit(CANDIDATE), F.lit(0)))
     bare = lambda t: F.regexp_replace(t, MARK, "")
-    added = ["pii", *(f"n_{k}" for k in KINDS), "__found", "__marked"]
+    added = ["pii", *(f"n_{k}" for k in KINDS)]
     rest = docs.drop(*[c for c in added if c in docs.columns]).withColumn("__marked", marked)
     judged = rest.withColumn("__found", F.transform(F.coalesce(found, F.array().cast("array<string>")), lambda x: _let(bare(x), lambda m: _let(
         kind_of(m), lambda k: F.struct(k.alias("kind"), m.alias("value"), pseudonym(m, k, key, decrypt).alias("pseudonym"))))))

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .bloom import drop_keys
+from .names import BLOOM, set_aside
 
 SPACE = r"[\x20\x09-\x0D]+"
 #: Statistics that conditions may test; each is a ratio, so that it means the same for any length of text.
@@ -207,6 +208,7 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_i
     return apply_rules(stats, learn_rules(stats, labels, id_col=id_col, **learn))
 
 
+@set_aside("__rid", *BLOOM)
 def filter_documents(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **learn) -> DataFrame:
     """The rows of ``docs`` that the rules keep. Texts are shuffled only where a row goes."""
     rows = docs.withColumn("__rid", F.xxhash64(id_col, text_col))

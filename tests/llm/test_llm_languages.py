@@ -105,3 +105,22 @@ def test_ties_and_very_long_texts(spark):
     model = langid.train(spark.createDataFrame([(1, "the cat and the dog " * 20, "en"), (2, "der hund und die katze " * 20, "de")], "doc_id long, text string, lang string"))
     long = spark.createDataFrame([(1, "the dog and the cat " * 150_000), (2, None)], "doc_id long, text string")
     assert {r["doc_id"]: r["lang_pred"] for r in langid.identify(long, model).collect()} == {1: "en", 2: "und"}
+
+
+def test_callers_columns_keep_their_names(spark):
+    """Columns with the names of helpers come through the functions that return the caller's rows."""
+    from halokin.llm import lines, minhash, pii, quality
+
+    docs = queries.table(spark, SF_SMALL, "documents").where("doc_id < 120")
+    labels = queries.table(spark, SF_SMALL, "labels")
+    extra = ["__rid", "__gone", "__maybe", "__block", "__w0", "__W3", "kept", "rid", "__found", "__marked"]
+    more = docs.selectExpr("*", *[f"concat('{c}', doc_id) AS `{c}`" for c in extra])
+    key = lambda r: (r["doc_id"], r["text"])
+    for f in (lambda d: quality.filter_documents(d, labels), lines.dedup_lines, minhash.one_of_each, lambda d: pii.pseudonymise(d, "k")):
+        plain, own = f(docs).collect(), f(more)
+        assert set(extra) <= set(own.columns)
+        rows = own.collect()
+        assert sorted(map(key, rows), key=repr) == sorted(map(key, plain), key=repr)
+        assert all(r[c] == f"{c}{r['doc_id']}" for r in rows for c in extra)
+    named = docs.withColumnRenamed("doc_id", "kept")
+    assert minhash.one_of_each(named, id_col="kept").count() == minhash.one_of_each(docs).count()
