@@ -59,7 +59,7 @@ def _joined(lists: pa.LargeListArray, between: str = "") -> pa.Array:
 class Aligner:
     def __init__(self, a_path: str, b_path: str) -> None:
         self.a = token_files.Pieces(a_path)
-        self.a.special = []  # their strings are plain text here
+        self.a.special, self.a.tokenizer.encode_special_tokens = [], True  # their strings are plain text here
         byte = {chr(c): b for b, c in self.a.letters.items()}
         vocabulary = self.a.tokenizer.get_vocab()
         raw = [b""] * (max(vocabulary.values()) + 1)

@@ -9,7 +9,8 @@ checkpoint of its bit offset every 1024 ids, beside the table of code lengths.
 The library is the slow part, and most pieces that its pattern cuts a text into occur
 again and again. So tasks cut texts by the same pattern, with arrays, and ask the
 library for each distinct piece once; a text with one of the library's special strings
-goes to it whole. Tests hold the ids against the library's own for whole texts.
+goes to it whole, and so does every text if the tokenizer's file names another normalizer, pattern or kind of model
+than byte-level BPE with the usual pattern. Tests hold the ids against the library's own for whole texts.
 
 Defined results: null text is empty; an empty text has only the end id. Documents are in
 ascending id order, null ids first; rows with equal ids are ordered by a hash of the text.
@@ -18,6 +19,7 @@ An empty table gives files without shards.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -100,6 +102,15 @@ def _byte_letters() -> dict[int, int]:
     return {b: b for b in printed} | {b: 256 + k for k, b in enumerate(others)}
 
 
+def cuts_by_the_pattern(path: str) -> bool:
+    """Whether a tokenizer's file says that ids are those of the pieces of the byte-level pattern, one by one."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    pre, model = spec.get("pre_tokenizer") or {}, spec.get("model") or {}
+    return (spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
+            and model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix")))
+
+
 class Pieces(units.UnitIds):
     """Ids of the pieces that the pattern cuts, by the library's model; of texts with special strings by the whole library."""
 
@@ -111,6 +122,7 @@ class Pieces(units.UnitIds):
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = _byte_letters()
+        self.by_pieces = cuts_by_the_pattern(path)
 
     def encode_new(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         tokenise, letters = self.tokenizer.model.tokenize, self.letters
@@ -120,6 +132,9 @@ class Pieces(units.UnitIds):
     def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, ids of each)."""
         text, chars, at = units.decoded(data, off)
+        if not self.by_pieces:
+            found = [self.tokenizer.encode(text[a:b], add_special_tokens=False).ids for a, b in zip(at.tolist(), at[1:].tolist())]
+            return np.array([i for ids in found for i in ids], np.uint32), np.array([len(ids) for ids in found], np.int64)
         start, end = cut(chars, at)
         ids, size = self.lookup(text, chars, start, end)
         row = np.searchsorted(at, start, "right") - 1

@@ -48,6 +48,15 @@ def test_byte_level_ids(library, texts):
     assert runs(*own.encode(*tb.utf8(pa.array(texts)))) == [whole.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_other_tokenizers_get_whole_texts():
+    """A file with another normalizer and pattern: the library's ids all the same."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    whole, own = Tokenizer.from_file(path), token_files.Pieces(path)
+    assert not own.by_pieces and token_files.Pieces(BPE).by_pieces
+    texts = ["Hello  WORLD, it's 2024!", "", "  ", "é漢 <|endoftext|> x"]
+    assert runs(*own.encode(*tb.utf8(pa.array(texts)))) == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(mixed, min_size=1, max_size=8))
 def test_sentencepiece_ids_and_text(model, texts):
