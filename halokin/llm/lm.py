@@ -125,6 +125,8 @@ def _requests(chunks: DataFrame, order: int, bits: int) -> DataFrame:
             for chunk, sizes, text in zip(*(batch.column(c) for c in ("chunk", "sizes", "text"))):
                 _, grams, inside = _ngrams(text.as_buffer(), sizes.values.to_numpy(), order)
                 yield _sliced(chunk.as_py(), 0, 0, bits, [np.unique(g[w], return_counts=True) for g, w in zip(grams, inside)])
+                del grams, inside
+                tb.give_back()
 
     return chunks.mapInArrow(run, _REQUEST)
 
@@ -155,6 +157,7 @@ def _answers(requests: DataFrame, order: int, done: int, left: int, nodes: int,
             _, sums, where = _summed(group, o)
             for k, w in enumerate(where):
                 totals[k].append(_pack(sums[w]))
+            tb.give_back()
         return _answered(group, totals)
 
     if not left:
@@ -229,6 +232,7 @@ def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
             out.append(pa.table({id_col: ids.values, "n_words": pa.array(n.astype(np.int64)),
                                  "n_backoff": pa.array(np.bincount(row, lower, minlength=len(n)).astype(np.int64)),
                                  "log_score": pa.array(total), "perplexity": pa.array(ppl, mask=n == 0)}))
+            tb.give_back()
         return pa.concat_tables(out) if out else pa.table({id_col: pa.array([]), "n_words": [], "n_backoff": [], "log_score": [], "perplexity": []})
 
     return chunks.groupBy("chunk").cogroup(answers.select("chunk", "part", "totals").groupBy("chunk")).applyInArrow(

@@ -7,6 +7,7 @@ word), so words can be found without decoding.
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -73,13 +74,26 @@ def pieces(off: np.ndarray, limit: int = PIECE) -> Iterator[tuple[int, int]]:
         i = j
 
 
+def _libc_trim() -> Callable[[int], Any]:
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):  # another C library
+        return lambda _: None
+
+
+def give_back() -> None:
+    """Return freed memory, which Arrow's pool and the C library hold for later, to the system."""
+    pa.default_memory_pool().release_unused()
+    per_process("malloc_trim", _libc_trim)(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE) -> Iterator[pa.RecordBatch]:
-    """The batches in slices of at most ``limit`` bytes of text, or one row; memory that Arrow holds unused is given back."""
+    """The batches in slices of at most ``limit`` bytes of text, or one row; unused memory is given back after each."""
     for batch in batches:
         _, off = utf8(batch.column(column))
         for i, j in pieces(off, limit):
             yield batch.slice(i, j - i)
-        pa.default_memory_pool().release_unused()
+            give_back()
 
 
 def word_spans(is_word: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
