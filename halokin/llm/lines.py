@@ -59,8 +59,10 @@ def _half_keys(words: Column, n: Column) -> list[Column]:
 def _occurrences(docs: DataFrame, min_words: int) -> DataFrame:
     """(rid, doc, line, n, h1, h2, k0..k3) of every line with a word."""
     lines = docs.select("rid", "doc", F.posexplode(F.split("text", "\n")).alias("line", "t"))
-    words = lines.select("rid", "doc", "line", line_words(F.col("t")).alias("w")).where(F.size("w") > 0)
-    hashed = words.select("rid", "doc", "line", F.size("w").alias("n"), F.transform("w", lambda x: F.xxhash64(x)).alias("w"))
+    # by a character of a word, not by the number of words: Spark filters first, and would cut each line into words twice.
+    # Words are hashed as they are; a lambda that turns them into numbers would keep the projection from being compiled
+    words = lines.where(F.col("t").rlike(r"[^\x20\x09-\x0D]")).select("rid", "doc", "line", line_words(F.col("t")).alias("w"))
+    hashed = words.select("rid", "doc", "line", F.size("w").alias("n"), "w")
     keys = [F.when(F.col("n") >= min_words, k).alias(c) for c, k in zip(KEYS, _half_keys(F.col("w"), F.col("n")))]
     return hashed.select("rid", "doc", "line", "n", F.xxhash64("w").alias("h1"), F.xxhash64(F.lit("2"), "w").alias("h2"), *keys)
 
