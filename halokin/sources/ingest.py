@@ -62,11 +62,9 @@ def first_line(stream: BinaryIO) -> str | None:
             return head[: min(end)].decode(errors="replace") if end else head.decode(errors="replace") or None
 
 
-def file_headers(spark: SparkSession, paths: Paths, *, recursive: bool = False, ignore_missing: bool = True) -> DataFrame:
-    """(file, header): the first line of every file that has one, as a written table.
-
-    Spark lists the files, and tasks open each for its first block only. Where Python has no file system for a file's address, Spark
-    itself reads the lines of these files."""
+def _first_lines(spark: SparkSession, paths: Paths, *, recursive: bool, ignore_missing: bool) -> DataFrame:
+    """(file, header, opened) of every file, as a plan: Spark lists the files, and tasks open each for its first block only.
+    A file isn't opened if Python has no file system for its address."""
     source = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
     listed = source.load(paths if isinstance(paths, str) else list(paths)).select(F.col("_metadata.file_path").alias("file"))
 
@@ -89,10 +87,17 @@ def file_headers(spark: SparkSession, paths: Paths, *, recursive: bool = False,
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found) if found else ([], [], []), (pa.string(), pa.string(), pa.bool_()))],
                                              ["file", "header", "opened"])
 
+    return listed.mapInArrow(read, "file string, header string, opened boolean")
+
+
+def file_headers(spark: SparkSession, paths: Paths, *, recursive: bool = False, ignore_missing: bool = True) -> DataFrame:
+    """(file, header): the first line of every file that has one, as a written table.
+
+    Where Python has no file system for a file's address, Spark itself reads the lines of these files."""
     out = scratch_path(spark, "csv-headers")
-    schema = "file string, header string, opened boolean"
-    listed.mapInArrow(read, schema).write.parquet(out)
-    table = spark.read.schema(schema).parquet(out)
+    lines = _first_lines(spark, paths, recursive=recursive, ignore_missing=ignore_missing)
+    lines.write.parquet(out)
+    table = spark.read.schema(lines.schema).parquet(out)
     if not table.where("NOT opened").head(1):
         return table.where("header IS NOT NULL").select("file", "header")
     reader = spark.read.option("recursiveFileLookup", recursive).option("ignoreMissingFiles", ignore_missing)
@@ -109,17 +114,22 @@ def _read_by_name(spark: SparkSession, paths: Paths, wanted: Sequence[str], *, s
                   with_file: bool = False) -> DataFrame:
     """The wanted columns, as text, of every file by its own header.
 
-    What reaches the driver are the different headers. With one header all files are one CSV scan; with more, one scan of
-    lines, each parsed by the layout that the table of headers has for its file."""
+    What reaches the driver are the different headers, from one job. With one header all files are one CSV scan; with more, the
+    headers are written as a table, and there is one scan of lines, each parsed by the layout that this table has for its file."""
     lenient = mode.upper() != "FAILFAST"
-    table = file_headers(spark, paths, recursive=recursive, ignore_missing=lenient)
-    headers = [r["header"] for r in table.select("header").distinct().orderBy("header").collect()]
+    table = None
+    found = _first_lines(spark, paths, recursive=recursive, ignore_missing=lenient).select("header", "opened").distinct().collect()
+    if len({r["header"] for r in found if r["header"] is not None}) > 1 or not all(r["opened"] for r in found):
+        table = file_headers(spark, paths, recursive=recursive, ignore_missing=lenient)
+        found = table.select("header").distinct().collect()
+    headers = sorted(r["header"] for r in found if r["header"] is not None)
     if not headers:
         return spark.createDataFrame([], raw_string_schema([*wanted, "file"] if with_file else wanted))
     layouts = []
     for h in headers:
         names = _names(h, sep)
         if missing := [w for w in wanted if w not in names]:
+            table = file_headers(spark, paths, recursive=recursive, ignore_missing=lenient) if table is None else table
             where = table.where(F.col("header") == h).agg(F.count("file").alias("n"), F.min("file").alias("first")).first()
             raise ValueError(f"no column {', '.join(missing)} in the header of {where['n']} files, the first is {where['first']}")
         # only wanted names stay; a repeated name means its first column

@@ -29,6 +29,7 @@ import os
 import uuid
 from typing import Callable, Optional, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,18 +56,28 @@ BROADCAST_CLAIMS = 500_000
 Hook = Callable[[int], None]
 
 
+_ARROW = {"bigint": pa.int64(), "string": pa.string(), "array<string>": pa.list_(pa.string()), "timestamp": pa.timestamp("us", "UTC")}
+
+
+def _local(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
+    """A few rows of the manifest as a frame. From Arrow they are part of the plan: no task runs Python for them."""
+    columns = list(zip(*rows)) if rows else [()] * len(schema)
+    return spark.createDataFrame(pa.table({f.name: pa.array(c, _ARROW[f.dataType.simpleString()]) for f, c in zip(schema, columns)}), schema)
+
+
 def _append(spark: SparkSession, out_root: str, table: str, rows: list[tuple], schema: T.StructType) -> None:
     """One more file of a manifest table: it is there as a whole or not at all."""
-    df = spark.createDataFrame(rows, schema).coalesce(1)
+    df = _local(spark, rows, schema).coalesce(1)
     df = df.withColumn("at", F.current_timestamp()) if table == "commits" else df
-    df.write.parquet(os.path.join(out_root, "_manifest", table, uuid.uuid4().hex))
+    df.write.mode("append").parquet(os.path.join(out_root, "_manifest", table))
 
 
 def _table(spark: SparkSession, out_root: str, table: str, schema: T.StructType) -> DataFrame:
+    # all files are in one folder (of older jobs: in one folder each), so that listing them takes one call
     try:
-        return spark.read.schema(schema).parquet(os.path.join(out_root, "_manifest", table, "*"))
+        return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(os.path.join(out_root, "_manifest", table))
     except AnalysisException:
-        return spark.createDataFrame([], schema)
+        return _local(spark, [], schema)
 
 
 def batch_status(spark: SparkSession, out_root: str) -> DataFrame:
@@ -150,7 +161,7 @@ class _Writer:
 
 
 def _status(spark: SparkSession, rows: list[tuple]) -> DataFrame:
-    return spark.createDataFrame(rows, T.StructType(STATUS_SCHEMA.fields[:-1])).withColumn("at", F.current_timestamp())
+    return _local(spark, rows, T.StructType(STATUS_SCHEMA.fields[:-1])).withColumn("at", F.current_timestamp())
 
 
 def retry_failed(spark: SparkSession, out_root: str, species: str = "dm", *, mode: str = "PERMISSIVE",
@@ -183,10 +194,11 @@ def ingest_in_batches(spark: SparkSession, source_dir: str, out_root: str, speci
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
     statuses: list[tuple] = []
+    # a batch that is run again: what an earlier run committed stays as it is. The stream gives each file once in a run, so
+    # the commits of this run, which come after, aren't needed
+    done = committed_files(spark, out_root).withColumnRenamed("file", "path")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        # a batch that is run again: what an earlier run committed stays as it is
-        done = committed_files(spark, out_root).withColumnRenamed("file", "path")
         files = sorted(r["path"] for r in batch.join(done, "path", "left_anti").collect())  # at most files_per_batch
         if files:
             statuses.extend(write(files, batch_id))
