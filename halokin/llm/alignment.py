@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +56,16 @@ def _joined(lists: pa.LargeListArray, between: str = "") -> pa.Array:
     return pc.binary_join(lists, pa.scalar(between.encode() if pa.types.is_large_binary(kind) else between, kind))
 
 
+def _encoded_lists(encode: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]], texts: pa.Array) -> pa.LargeListArray:
+    """The id list of every text. Encoding takes some 100 bytes of memory for a byte of text, so it goes by pieces of the chunk."""
+    data, off = tb.utf8(texts)
+    found = [(np.zeros(0, np.int32), np.zeros(0, np.int64))]
+    for i, j in tb.pieces(off):
+        ids, n = encode(data[off[i]: off[j]], off[i: j + 1] - off[i])
+        found.append((ids.astype(np.int32), n))
+    return _lists(np.concatenate([n for _, n in found]), pa.array(np.concatenate([ids for ids, _ in found])))
+
+
 class Aligner:
     def __init__(self, a_path: str, b_path: str) -> None:
         self.a = token_files.Pieces(a_path)
@@ -73,8 +83,8 @@ class Aligner:
     def _tokens(self, text: pa.Array) -> tuple[list[pa.LargeListArray], np.ndarray]:
         """The id lists of A and B, and which rows have tokens at all; lists of the others are empty."""
         spaced = pc.binary_join_element_wise(pa.scalar("", pa.large_string()), text, pa.scalar(" ", pa.large_string()))
-        found = [self.a.encode(*tb.utf8(spaced)), self.b.encode(*tb.utf8(text))]
-        lists = [_lists(n, pa.array(ids.astype(np.int32))) for ids, n in found]
+        lists = [_encoded_lists(self.a.encode, spaced), _encoded_lists(self.b.encode, text)]
+        tb.give_back()
         good = pc.not_equal(text, "")
         for ids, raw in zip(lists, self.bytes):
             whole = _joined(pa.LargeListArray.from_arrays(ids.offsets, raw.take(ids.values)))
