@@ -92,8 +92,9 @@ def _without(words: Column, at: Column) -> Column:
 def _near(candidates: DataFrame) -> DataFrame:
     """(h1, h2) of the lines with an earlier line at distance one. ``candidates``: h1, h2, first, words."""
     variants = _variants(candidates)
-    shared = materialize(variants.groupBy("v1", "v2").count().where("count > 1").select("v1", "v2"), "line-variants")
-    met = materialize(Bloom(shared, "v1", shared.count()).keep(variants, "v1").join(shared, ["v1", "v2"]), "line-met")
+    # by one hash: the other is only computed of what is left; a variant that has no equal in both is alone in the groups below
+    shared = materialize(variants.groupBy("v1").count().where("count > 1").select("v1"), "line-variants")
+    met = materialize(Bloom(shared, "v1", shared.count()).keep(variants, "v1").join(shared, "v1"), "line-met")
     own = F.struct("first", "h1", "h2", "at")
     lowest = met.groupBy("v1", "v2", "at").agg(F.min(own).alias("low"))
     # for a deletion: the earliest with the same place, or the whole line; for a whole line: the earliest deletion
@@ -146,7 +147,8 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     none = none.withColumns({"__gone": F.lit(None).cast("array<int>"), "n_exact": F.lit(0).cast("long"), "n_near": F.lit(0).cast("long")})
     out = some.unionByName(none)
     kept = F.array_join(F.filter(F.split(text_col, "\n"), lambda x, i: ~F.array_contains("__gone", i)), "\n")
-    n_lines = F.size(F.filter(F.split(F.coalesce(text_col, F.lit("")), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))).cast("long")
+    # a match goes from the first character of a word to the end of its line; a lambda over the lines would be interpreted
+    n_lines = F.regexp_count(F.coalesce(text_col, F.lit("")), F.lit(r"[^\x20\x09-\x0D][^\n]*")).cast("long")
     return out.withColumns({
         "n_lines": n_lines, "n_exact": F.coalesce("n_exact", F.lit(0)), "n_near": F.coalesce("n_near", F.lit(0)),
         text_col: F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(kept)}).drop("__rid", "__gone")
