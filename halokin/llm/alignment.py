@@ -37,8 +37,10 @@ from ..session import materialize
 from . import pieces, token_files
 from . import textbytes as tb
 
-#: Bytes of text in a chunk.
+#: Bytes of text in a chunk, whose pairs are counted together.
 CHUNK = 4_000_000
+#: Bytes of text that are encoded and joined at a time, which takes some 100 bytes of memory for a byte of text.
+STEP = 1 << 20
 
 _COUNTED = T.StructType([T.StructField(c, T.LongType()) for c in ("n_a", "n_b", "n_groups", "n_links")]
                         + [T.StructField("groups_sha256", T.StringType())])
@@ -57,7 +59,7 @@ def _joined(lists: pa.LargeListArray, between: str = "") -> pa.Array:
 
 
 def _encoded_lists(encode: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]], texts: pa.Array) -> pa.LargeListArray:
-    """The id list of every text. Encoding takes some 100 bytes of memory for a byte of text, so it goes by pieces of the chunk."""
+    """The id list of every text. Encoding takes some 100 bytes of memory for a byte of text, so it goes by pieces."""
     data, off = tb.utf8(texts)
     found = [(np.zeros(0, np.int32), np.zeros(0, np.int64))]
     for i, j in tb.pieces(off):
@@ -84,7 +86,6 @@ class Aligner:
         """The id lists of A and B, and which rows have tokens at all; lists of the others are empty."""
         spaced = pc.binary_join_element_wise(pa.scalar("", pa.large_string()), text, pa.scalar(" ", pa.large_string()))
         lists = [_encoded_lists(self.a.encode, spaced), _encoded_lists(self.b.encode, text)]
-        tb.give_back()
         good = pc.not_equal(text, "")
         for ids, raw in zip(lists, self.bytes):
             whole = _joined(pa.LargeListArray.from_arrays(ids.offsets, raw.take(ids.values)))
@@ -119,6 +120,27 @@ class Aligner:
         return columns, pairs, own, n_links
 
 
+def _chunk(aligner: Aligner, text: pa.Array) -> tuple[dict[str, pa.Array], pa.Table, np.ndarray, np.ndarray]:
+    """``Aligner.align`` of a chunk, step by step; the pairs of its steps are added up."""
+    _, off = tb.utf8(text)
+    steps = []
+    for i, j in tb.pieces(off, STEP):
+        steps.append(aligner.align(text.slice(i, j - i)))
+        tb.give_back()
+    if len(steps) == 1:
+        return steps[0]
+    found = pa.concat_tables([pairs for _, pairs, _, _ in steps]).combine_chunks()
+    key, place = np.unique(found.column("a").to_numpy().astype(np.int64) << 32 | found.column("b").to_numpy(), return_inverse=True)
+    n = np.zeros(len(key), np.int64)
+    np.add.at(n, place, found.column("count_all").to_numpy())
+    before = np.cumsum([0, *[len(pairs) for _, pairs, _, _ in steps]])
+    own = np.concatenate([place[first + links] for first, (_, _, links, _) in zip(before, steps)]).astype(np.int32)
+    pairs = pa.table({"a": pa.array((key >> 32).astype(np.int32)), "b": pa.array((key & 0xFFFFFFFF).astype(np.int32)), "count_all": pa.array(n)})
+    columns = {c: pa.concat_arrays([x[c].combine_chunks() if isinstance(x[c], pa.ChunkedArray) else x[c] for x, _, _, _ in steps])
+               for c in _COUNTED.names}
+    return columns, pairs, own, np.concatenate([n_links for _, _, _, n_links in steps])
+
+
 def _encoded(docs: DataFrame, a_path: str, b_path: str, text_col: str) -> DataFrame:
     """Rows (row, counted columns, chunk, links: the pair of each link within its chunk, pairs: those of the chunk, in its
     first row)."""
@@ -128,7 +150,7 @@ def _encoded(docs: DataFrame, a_path: str, b_path: str, text_col: str) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner: Aligner = tb.per_process(f"aligner {a_path} {b_path}", lambda: Aligner(a_path, b_path))
         for batch in tb.slices(batches, text_col, CHUNK):
-            columns, pairs, own, n_links = aligner.align(batch.column(text_col))
+            columns, pairs, own, n_links = _chunk(aligner, batch.column(text_col))
             found = pa.StructArray.from_arrays([pa.array(np.arange(len(pairs), dtype=np.int32)), *(pairs.column(c).combine_chunks() for c in "ab"),
                                                 pairs.column("count_all").combine_chunks().cast(pa.int64())], names=_PAIR.names)
             first = np.full(batch.num_rows + 1, len(pairs), np.int32)
