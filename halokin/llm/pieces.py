@@ -37,6 +37,8 @@ _BAR = "▁"
 #: Characters that one suffix array indexes (a longer unit goes alone), and pairs of pieces that a worker remembers.
 INDEXED = 100_000
 REMEMBERED_PAIRS = 2_000_000
+#: Bytes of text that are encoded at a time (a longer text goes alone); the arrays of a step take some 100 times that.
+STEP = 256 << 10
 
 
 class PieceModel(units.UnitIds):
@@ -241,7 +243,7 @@ def encode(docs: DataFrame, model: str, *, text_col: str = "text", with_ids: boo
         for batch in tb.slices(batches, text_col):
             data, off = tb.utf8(batch.column(text_col))
             null = batch.column(text_col).is_null().to_numpy(zero_copy_only=False)
-            for i, j in tb.pieces(off):
+            for i, j in tb.pieces(off, STEP):
                 own, at = data[off[i]: off[j]], off[i: j + 1] - off[i]
                 ids, n = pieces.encode(own, at)
                 back, back_at = pieces.decode(ids, n)
@@ -259,6 +261,7 @@ def encode(docs: DataFrame, model: str, *, text_col: str = "text", with_ids: boo
                     cols["ids"] = lists if not mask.any() else pa.array([None if m else x for m, x in zip(mask, lists.to_pylist())], lists.type)
                 yield pa.RecordBatch.from_arrays([batch.column(c).slice(i, j - i) for c in names] + [cols[f.name] for f in added],
                                                  names + [f.name for f in added])
+            del batch, data, off, own  # before the next one is read
 
     return docs.select(*names, text_col).mapInArrow(run, T.StructType(kept + added))
 

@@ -90,9 +90,15 @@ def give_back() -> None:
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE) -> Iterator[pa.RecordBatch]:
     """The batches in slices of at most ``limit`` bytes of text, or one row; unused memory is given back after each."""
     for batch in batches:
-        _, off = utf8(batch.column(column))
-        for i, j in pieces(off, limit):
-            yield batch.slice(i, j - i)
+        size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        off = np.concatenate(([0], np.cumsum(size, dtype=np.int64)))  # and no copy of the texts
+        edges = list(pieces(off, limit))
+        for k, (i, j) in enumerate(edges):
+            own = batch.slice(i, j - i)
+            if k == len(edges) - 1:
+                del batch  # a slice keeps the texts of all its batch: hold none while the next one is read
+            yield own
+            del own
             give_back()
 
 

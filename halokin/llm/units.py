@@ -29,7 +29,7 @@ class UnitIds:
         self.forget()
 
     def forget(self) -> None:
-        self.hash, self.first, self.size, self.ids = (np.zeros(0, t) for t in (np.uint64, np.int64, np.int64, np.uint32))
+        self.hash, self.first, self.size, self.ids = (np.zeros(0, t) for t in (np.uint64, np.int64, np.uint32, np.uint32))
 
     def encode_new(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all units, ids of each)."""
@@ -37,11 +37,14 @@ class UnitIds:
 
     def _learn(self, hashes: np.ndarray, units: list[str]) -> None:
         ids, size = self.encode_new(units)
-        every = np.concatenate((self.hash, hashes))
-        order = np.argsort(every, kind="stable")
         first = len(self.ids) + np.cumsum(size) - size
-        self.hash, self.ids = every[order], np.concatenate((self.ids, ids.astype(np.uint32)))
-        self.first, self.size = np.concatenate((self.first, first))[order], np.concatenate((self.size, size))[order]
+        # one array after the other, so that no two are held twice
+        self.ids = np.concatenate((self.ids, ids.astype(np.uint32)))
+        self.hash = np.concatenate((self.hash, hashes))
+        order = np.argsort(self.hash, kind="stable").astype(np.uint32)
+        self.hash = self.hash[order]
+        self.first = np.concatenate((self.first, first))[order]
+        self.size = np.concatenate((self.size, size.astype(np.uint32)))[order]
 
     def lookup(self, text: str, chars: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all units, ids of each) for the units [start, end) of ``text``."""
@@ -56,4 +59,5 @@ class UnitIds:
             new = example[missing]
             self._learn(distinct[missing], [text[a:b] for a, b in zip(start[new].tolist(), end[new].tolist())])
         k = np.searchsorted(self.hash, distinct)[inverse]
-        return self.ids[tb.ranges(self.first[k], self.size[k])], self.size[k]
+        size = self.size[k].astype(np.int64)
+        return self.ids[tb.ranges(self.first[k], size)], size

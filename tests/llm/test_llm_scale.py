@@ -79,3 +79,19 @@ def test_variants_are_counted_by_one_hash(spark, monkeypatch):
     got = lines.dedup_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
     assert made["line-variants"].columns == ["v1"]
     assert [(r["n_exact"], r["n_near"]) for r in got.orderBy("doc_id").collect()] == [(0, 0), (0, 1), (0, 1), (0, 0), (1, 0)]
+
+
+def test_slices_hold_no_batch_while_the_next_is_read():
+    held = []
+
+    def batches():
+        before = pa.total_allocated_bytes()
+        for _ in range(3):
+            held.append(pa.total_allocated_bytes() - before)
+            yield pa.RecordBatch.from_pydict({"text": ["x" * 1000] * 1000 + [None, ""]})
+
+    rows = []
+    for own in tb.slices(batches(), "text", 300_000):
+        rows.append(own.num_rows)
+        del own
+    assert sum(rows) == 3006 and len(rows) == 12 and max(held) < 100_000
