@@ -221,3 +221,20 @@ def test_older_pipeline_by_command_line(spark):
     assert n == back.count() > 0 and back.select("subhalo_id").distinct().count() <= heavy.count()
     # the joined radius wins over the catalogue's
     assert back.join(fx.radius_side_table(spark, SF_SMALL).withColumnRenamed("StarHalfRad", "r"), "subhalo_id").where("StarHalfRad <> r + 1").count() == 0
+
+
+def test_many_folders_are_listed_by_few_tasks(spark):
+    rows = spark.range(90).select(F.col("id").cast("int").alias("subhalo_id"), F.lit(1.0).alias("x"))
+    path = sinks.write_partitioned(rows, scratch_path(spark, "t-many"))
+    sc, key = spark.sparkContext, "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    sc.setJobGroup("t-listing", "")
+    try:
+        back = sinks.read_partitioned(spark, path)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    tasks = [tracker.getStageInfo(s).numTasks for j in tracker.getJobIdsForGroup("t-listing") for s in tracker.getJobInfo(j).stageIds]
+    assert tasks and max(tasks) <= 4 * sc.defaultParallelism < 90
+    assert spark.conf.get(key) == before
+    assert sorted(r["subhalo_id"] for r in back.collect()) == list(range(90))
